@@ -6,7 +6,7 @@ from importlib import import_module
 
 from skerry.plans.registry import REGISTRY, Query
 
-MODULES = ["rows", "joins"]
+MODULES = ["rows", "joins", "aggregates", "windows", "scalars"]
 
 
 def load_all() -> dict[str, Query]:

@@ -174,11 +174,11 @@ def attach_baseline(t: Tables) -> DataFrame:
 
 @query("""
 SELECT 'part-' || CAST(p_partkey AS VARCHAR) || '.csv' AS filename FROM part
-WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
+WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)
 """)
 def new_only(t: Tables) -> DataFrame:
     name = lambda c: F.concat(F.lit("part-"), F.col(c).cast("string"), F.lit(".csv")).alias("filename")
-    manifest = t.lineitem.filter("l_returnflag = 'R'").select("l_partkey").distinct().select(name("l_partkey"))
+    manifest = t.lineitem.filter("l_returnflag = 'R' AND l_quantity > 45").select("l_partkey").distinct().select(name("l_partkey"))
     return joins.new_only(t.part.select(name("p_partkey")), manifest, "filename")
 
 
@@ -235,14 +235,9 @@ def combine_scores(t: Tables) -> DataFrame:
 
 def neighbours(t: Tables) -> DataFrame:
     """Per customer nation, the supplier nations its lines were bought from."""
-    pairs = (
-        t.lineitem.select("l_orderkey", "l_suppkey")
-        .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-        .select("o_custkey", "l_suppkey")
-        .distinct()
-        .join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-        .join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
-    )
+    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nationkey")
+    bought = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    pairs = sold.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).select("c_nationkey", "s_nationkey").distinct()
     # collect_set holds nation keys only, at most as many as there are nations.
     return pairs.groupBy(F.col("c_nationkey").alias("country_key")).agg(
         F.collect_set("s_nationkey").alias("borders")
