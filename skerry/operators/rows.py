@@ -102,7 +102,7 @@ def regex_gated_cast(
     )
 
 
-def _coerced(col: Column, kind: str) -> Column:
+def coerced(col: Column, kind: str) -> Column:
     if kind == "date":
         return F.try_to_date(col, "yyyy-MM-dd")
     if kind == "timestamp":
@@ -114,7 +114,7 @@ def _coerced(col: Column, kind: str) -> Column:
 
 def coerce_types(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns; what cannot be parsed becomes NULL."""
-    return df.withColumns({c: _coerced(F.col(c), kind) for c, kind in spec.items() if c in df.columns})
+    return df.withColumns({c: coerced(F.col(c), kind) for c, kind in spec.items() if c in df.columns})
 
 
 def coercion_report(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
@@ -122,7 +122,7 @@ def coercion_report(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     present = [c for c in spec if c in df.columns]
     counts = df.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & _coerced(F.col(c), spec[c]).isNull()).alias(c)
+            F.count_if(F.col(c).isNotNull() & coerced(F.col(c), spec[c]).isNull()).alias(c)
             for c in present
         ]
     )

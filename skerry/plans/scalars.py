@@ -101,7 +101,7 @@ def hash_collisions(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT event_id, strftime(make_timestamp(epoch_ms(ts) * 1000), '%Y-%m-%d %H:%M:%S') AS time_text, strftime(ts, '%Y-%m-%d') AS date_text FROM events
+SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%d %H:%M:%S') AS time_text, strftime(ts, '%Y-%m-%d') AS date_text FROM events
 """)
 def epoch_parts(t: Tables) -> DataFrame:
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
