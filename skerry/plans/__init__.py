@@ -6,7 +6,7 @@ from importlib import import_module
 
 from skerry.plans.registry import REGISTRY, Query
 
-MODULES = ["rows", "joins", "aggregates", "windows", "scalars", "quality", "warehouse"]
+MODULES = ["rows", "joins", "aggregates", "windows", "scalars", "quality", "warehouse", "scans", "streams"]
 
 
 def load_all() -> dict[str, Query]:
