@@ -15,17 +15,17 @@ UNIT_CONVERSIONS = {
 
 def nan_to_null(value: Column) -> Column:
     """NaN counts as missing everywhere in this library."""
-    return F.nullif(value.cast("double"), F.lit(float("nan")))
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL.
 
-    The cast alone would also accept a Java type suffix such as `12d`.
+    The cast alone would also accept a Java type suffix such as `12d`. The
+    text is referred to once, so an expensive expression is computed once.
     """
-    as_text = text.cast("string")
-    suffixed = as_text.rlike(r"[0-9.][dDfF]\s*$")
-    return nan_to_null(F.when(~suffixed, as_text.try_cast("double")))
+    marked = F.regexp_replace(text.cast("string"), r"(?<=[0-9.])[dDfF]\s*$", "x")
+    return nan_to_null(marked.try_cast("double"))
 
 
 def convert_units(value: Column, source: str, target: str, digits: int = 1) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skerry.functions.bands import band_index, exceeds
 from skerry.functions.measures import nan_to_null
+from skerry.operators.ordering import order_key
 
 # Named aggregate functions accepted where an aggregation is a parameter.
 AGGREGATES = {
@@ -101,7 +102,7 @@ def argmax_by(df: DataFrame, group: Sequence[str], measure: str, label: str, lar
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
     """Per key and column, the last value that is present."""
     return df.groupBy(*keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in columns]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order_key(order))).alias(c) for c in columns]
     )
 
 
@@ -110,14 +111,33 @@ def pivot_first(
 ) -> DataFrame:
     """Long to wide for the given names; the first present value of a cell is taken."""
     cells = [
-        F.min_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), F.struct(*order))).alias(n) for n in names
+        F.min_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), order_key(order))).alias(n) for n in names
     ]
     return df.groupBy(*index).agg(*cells)
 
 
-def category_distribution(df: DataFrame, entity: str, category: str, domain: Sequence[str]) -> DataFrame:
-    """Counts per entity for every category of the domain, zeros included."""
-    return df.groupBy(entity).agg(*[F.count_if(F.col(category) == c).alias(c) for c in domain])
+def latest_wide(
+    df: DataFrame, index: Sequence[str], col: str, value: str, names: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Long to wide with the latest present value per name: both steps in one aggregate."""
+    cells = [
+        F.max_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), order_key(order))).alias(n) for n in names
+    ]
+    return df.groupBy(*index).agg(*cells)
+
+
+def category_distribution(
+    df: DataFrame, entity: str, category: str, domain: Sequence[str], weight: str | None = None
+) -> DataFrame:
+    """Counts per entity for every category of the domain, zeros included.
+
+    `weight` holds the row counts of an input that was counted before.
+    """
+    def cell(name: str) -> Column:
+        hit = F.col(category) == name
+        return F.count_if(hit) if weight is None else F.sum(F.when(hit, F.col(weight)).otherwise(0))
+
+    return df.groupBy(entity).agg(*[cell(c).alias(c) for c in domain])
 
 
 def exceedance_counts(df: DataFrame, entity: str, limits: Mapping[str, float]) -> DataFrame:

@@ -18,19 +18,24 @@ RANK_ROWS = 1_000_000
 QUANTILE_STEP = 0.001
 
 
+def order_key(order: Sequence[Column]) -> Column:
+    """One comparable column; a single column stays as it is, so primitive keys aggregate by hash."""
+    return order[0] if len(order) == 1 else F.struct(*order)
+
+
 def row_struct(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The whole row with the greatest `order` per key, by aggregation."""
-    best = F.max_by(row_struct(df), F.struct(*order))
+    best = F.max_by(row_struct(df), order_key(order))
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The whole row with the least `order` per key, by aggregation."""
-    best = F.min_by(row_struct(df), F.struct(*order))
+    best = F.min_by(row_struct(df), order_key(order))
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
@@ -111,27 +116,32 @@ def positions(
     )
 
 
-def value_at_rank(df: DataFrame, col: str, rank: int, rows: int) -> object:
-    """The exact value at a 1-based rank among `rows` non-null values of `col`.
+def values_at_ranks(df: DataFrame, col: str, first: int, last: int, rows: int) -> tuple[object, object]:
+    """The exact values at two close 1-based ranks among `rows` non-null values of `col`.
 
-    Approximate quantiles only narrow the search: counts below the bracket are
-    exact, and a bracket that turns out to miss the rank is dropped. Each round
-    returns one row to the driver; the last one ranks the distinct values left.
+    Approximate quantiles only narrow the search: the counts below the bracket
+    are exact, and a bracket that misses a rank or hardly narrows is not used.
+    Each round returns one row to the driver; the last one ranks the distinct
+    values left.
     """
     values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
     skipped, left = 0, rows
     while left > RANK_ROWS:
-        share = (rank - skipped) / left
-        low, high = max(share - QUANTILE_STEP, 0.0), min(share + QUANTILE_STEP, 1.0)
+        low = max((first - skipped) / left - QUANTILE_STEP, 0.0)
+        high = min((last - skipped) / left + QUANTILE_STEP, 1.0)
         bounds = values.agg(F.percentile_approx("v", [low, high], 10_000).alias("q")).first()["q"]
-        inside = F.col("v").between(*bounds)
-        below, kept = values.agg(F.count_if(F.col("v") < bounds[0]), F.count_if(inside)).first()
-        if bounds[0] == bounds[1] and below < rank - skipped <= below + kept:
-            return bounds[0]
-        if not below < rank - skipped <= below + kept or kept > left * 0.9:
+        inside = F.col("v").between(F.lit(bounds[0]), F.lit(bounds[1]))
+        below, kept = values.agg(F.count_if(F.col("v") < F.lit(bounds[0])), F.count_if(inside)).first()
+        if below >= first - skipped or last - skipped > below + kept:
+            break
+        if bounds[0] == bounds[1]:
+            return bounds[0], bounds[0]
+        if kept > left * 0.9:
             break
         values, skipped, left = values.filter(inside), skipped + below, kept
     counted = values.groupBy("v").agg(F.count("*").alias("n"))
     running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("seen", F.sum("n").over(running) + F.lit(skipped))
-    return ranked.filter(F.col("seen") >= rank).agg(F.min("v")).first()[0]
+    return tuple(
+        ranked.agg(*[F.min(F.when(F.col("seen") >= rank, F.col("v"))) for rank in (first, last)]).first()
+    )

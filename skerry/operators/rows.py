@@ -166,13 +166,14 @@ def quarantine_rows(
     hold, so a missing value alone never condemns a row.
     """
     original = [F.col(f"`{c}`") for c in df.columns]
-    hits = F.array_compact(F.array(*[F.when(cond, F.lit(reason)) for reason, cond in rules.items()]))
-    marked = df.withColumn("__reasons", hits)
-    good = marked.filter(F.size("__reasons") == 0).drop("__reasons")
-    bad = marked.filter(F.size("__reasons") > 0).select(
+    # concat_ws skips the rules that do not hold.
+    reasons = F.concat_ws("; ", *[F.when(cond, F.lit(reason)) for reason, cond in rules.items()])
+    marked = df.withColumn("__reason", reasons)
+    good = marked.filter(F.col("__reason") == "").drop("__reason")
+    bad = marked.filter(F.col("__reason") != "").select(
         source.alias("source_file"),
         F.to_json(F.struct(*original)).alias("row_data"),
-        F.array_join("__reasons", "; ").alias("reason"),
+        F.col("__reason").alias("reason"),
     )
     return good, bad
 

@@ -42,8 +42,8 @@ def key_difference_summary(left: DataFrame, right: DataFrame, keys: Sequence[str
 
 
 def key_intersection(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Distinct keys every input has."""
-    return reduce(DataFrame.intersect, [df.select(list(keys)) for df in frames])
+    """Distinct keys every input has; repeats are dropped before the sides meet."""
+    return reduce(DataFrame.intersect, [df.select(list(keys)).distinct() for df in frames])
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

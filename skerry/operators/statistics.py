@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skerry.functions.measures import nan_to_null
-from skerry.operators.ordering import value_at_rank
+from skerry.operators.ordering import values_at_ranks
 
 
 def finite(value: Column) -> Column:
@@ -21,8 +21,7 @@ def exact_median(df: DataFrame, col: str, rows: int) -> float | None:
     """Mean of the two middle values among `rows` present ones."""
     if rows == 0:
         return None
-    low = value_at_rank(df, col, (rows + 1) // 2, rows)
-    high = low if rows % 2 else value_at_rank(df, col, rows // 2 + 1, rows)
+    low, high = values_at_ranks(df, col, (rows + 1) // 2, rows // 2 + 1, rows)
     return (float(low) + float(high)) / 2
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skerry.functions.measures import row_mean, safe_ratio
 from skerry.operators import joins, quality
-from skerry.operators.aggregates import latest_per_key, pivot_first
+from skerry.operators.aggregates import latest_wide
 from skerry.operators.ranking import sort_nulls_last
 from skerry.operators.windows import minmax_scale, sequence_keys
 
@@ -83,10 +83,9 @@ def composite_index(
 ) -> DataFrame:
     """Mean of the 0..100 scaled latest value of each item, best first.
 
-    The fact shrinks to one row per entity and item before anything is ranked.
+    The fact shrinks to one row per entity before anything is ranked.
     """
-    latest = latest_per_key(fact, [entity, item], order, [value])
-    wide = pivot_first(latest, [entity], item, value, items, [F.lit(0)])
+    wide = latest_wide(fact, [entity], item, value, items, order)
     scaled = minmax_scale(wide, items)
     composite = row_mean([F.col(f"{i}_norm") for i in items], digits)
     return scaled.select(entity, composite.alias("composite_score")).orderBy(F.desc("composite_score"), entity)

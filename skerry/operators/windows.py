@@ -13,7 +13,7 @@ from skerry.operators.ordering import (
     latest_rows,
     positions,
     previous_value,
-    value_at_rank,
+    values_at_ranks,
 )
 
 
@@ -184,7 +184,7 @@ def first_half(df: DataFrame, order: str) -> Column:
     n = df.agg(F.count(order)).first()[0]
     if n < 2:
         return F.lit(False)
-    boundary = value_at_rank(df, order, n // 2, n)
+    boundary, _ = values_at_ranks(df, order, n // 2, n // 2, n)
     return F.col(order) <= F.lit(boundary)
 
 

@@ -161,8 +161,9 @@ SELECT c_nationkey, COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS "1-U
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey
 """)
 def category_distribution(t: Tables) -> DataFrame:
-    placed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return agg.category_distribution(placed, "c_nationkey", "o_orderpriority", [*PRIORITIES, "6-NONE"])
+    counted = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
+    placed = counted.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return agg.category_distribution(placed, "c_nationkey", "o_orderpriority", [*PRIORITIES, "6-NONE"], weight="n")
 
 
 @query("""

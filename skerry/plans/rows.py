@@ -122,11 +122,13 @@ JOIN (SELECT c_nationkey AS nk, AVG(o_totalprice) AS mean_price FROM orders JOIN
       GROUP BY c_nationkey) m ON m.nk = c.c_nationkey
 """)
 def score_ratio(t: Tables) -> DataFrame:
-    priced = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_totalprice", "c_nationkey"
+    per_customer = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"), F.count("o_totalprice").alias("n"))
+    homes = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    means = per_customer.join(homes, "o_custkey").groupBy("c_nationkey").agg(
+        (F.sum("s") / F.sum("n")).alias("mean_price")
     )
-    means = priced.groupBy("c_nationkey").agg(F.avg("o_totalprice").alias("mean_price"))
-    return rows.score_ratio(priced.join(means, "c_nationkey"), "o_totalprice", "mean_price", "score").select(
+    known = homes.join(means, "c_nationkey").select("o_custkey", "mean_price")
+    return rows.score_ratio(t.orders.join(known, "o_custkey"), "o_totalprice", "mean_price", "score").select(
         "o_orderkey", "score"
     )
 
