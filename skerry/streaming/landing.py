@@ -91,9 +91,12 @@ def stream_quarantine(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         table, unusable = csv_by_header(batch, columns, required)
+        # Parsed once for both outputs; lost blocks are computed again from the files.
+        table = table.persist()
         good, bad = quarantine_rows(table, rules, F.col("source_file"))
         write_batch(good, f"{target}/clean", batch_id)
         write_batch(bad, f"{target}/rejected", batch_id)
         write_batch(unusable, f"{target}/dead_letters", batch_id)
+        table.unpersist()
 
     return run_to_end(text_lines(spark, landing).writeStream.foreachBatch(handle), checkpoint)
