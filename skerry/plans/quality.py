@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skerry.operators import quality as q, ranking
 from skerry.operators.sets import concat_frames
 from skerry.plans.registry import SCHEMAS, Tables, query
 from skerry.plans.rows import MIXED_SQL, mixed_text
+from skerry.sources import files
+from skerry.workspace import scratch
 
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_quantity", "l_colour"]
 
@@ -131,6 +133,49 @@ def check_nonempty(t: Tables) -> DataFrame:
     return q.check_nonempty({n: getattr(t, n) for n in SCHEMAS})
 
 
+def landed_folders(t: Tables) -> tuple[DataFrame, DataFrame, Column]:
+    """Events landed in a folder per type: the listing, the expected folders and a fixed time half an hour later."""
+    root = scratch(t.spark, "landed")
+    t.events.write.partitionBy("event_type").parquet(root)
+    listing = files.discover_files(t.spark, root, ["parquet"]).groupBy(F.col("folder").alias("path")).agg(
+        F.sum("size").alias("size"), F.max("modified").alias("modified")
+    )
+    kinds = t.events.select("event_type").distinct()
+    known = kinds.select(
+        F.concat(F.lit("event_type="), "event_type").alias("path"),
+        F.when(F.col("event_type") == "view", 60).otherwise(7200).alias("max_age_s"),
+        F.when(F.col("event_type") == "error", 10**15).otherwise(1).alias("min_size"),
+    )
+    absent = kinds.select(F.concat(F.lit("absent="), "event_type").alias("path"), F.lit(7200).alias("max_age_s"), F.lit(1).alias("min_size"))
+    now = listing.agg(F.max("modified") + F.expr("INTERVAL 30 MINUTES")).scalar()
+    return listing, known.unionByName(absent), now
+
+
+@query("""
+SELECT 'event_type=' || k AS path, 'freshness' AS check_name, k <> 'view' AS passed, CASE WHEN k = 'view' THEN 'warning' ELSE 'info' END AS severity
+FROM (SELECT DISTINCT event_type AS k FROM events) UNION ALL SELECT DISTINCT 'absent=' || event_type, 'freshness', FALSE, 'critical' FROM events
+""")
+def check_freshness(t: Tables) -> DataFrame:
+    return q.check_freshness(*landed_folders(t)).drop("details")
+
+
+FILES_SQL = """(SELECT 'event_type=' || k AS path, TRUE AS present, k <> 'view' AS fresh, k <> 'error' AS size_ok FROM (SELECT DISTINCT event_type AS k FROM events)
+UNION ALL SELECT DISTINCT 'absent=' || event_type, FALSE, FALSE, FALSE FROM events)"""
+
+
+@query(f"SELECT * FROM {FILES_SQL} f")
+def check_files(t: Tables) -> DataFrame:
+    return q.check_files(*landed_folders(t))
+
+
+@query(f"""
+SELECT n AS issues, c AS checks, CASE WHEN n = 0 THEN 'HEALTHY' WHEN n <= 2 THEN 'DEGRADED' ELSE 'CRITICAL' END AS status FROM
+ (SELECT COUNT(*) FILTER (WHERE NOT present) + COUNT(*) FILTER (WHERE NOT fresh) + COUNT(*) FILTER (WHERE NOT size_ok) AS n, COUNT(*) * 3 AS c FROM {FILES_SQL} f)
+""")
+def health(t: Tables) -> DataFrame:
+    return q.health(q.check_files(*landed_folders(t)))
+
+
 GAPS_SQL = """(SELECT event_type, event_id, (epoch_us(ts) - epoch_us(date_trunc('hour', ts))) / 1000000.0 AS duration FROM events)"""
 
 

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skerry.session import settle
+from skerry.session import settle, size_shuffles
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -72,6 +72,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = settle(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        size_shuffles(spark, self.sf_dir)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:

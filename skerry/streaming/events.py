@@ -75,6 +75,8 @@ def stream_burst_alerts(
         return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         events = batch.select(*keys, at.alias(ts), number.alias("bucket"))
         events.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{log}/batch_id={batch_id}")
         stored = spark.read.schema(events.schema).parquet(f"{log}/batch_id={batch_id}")
@@ -92,7 +94,10 @@ def stream_burst_alerts(
             .select(*keys, F.explode(F.array("bucket", F.col("bucket") + 1)).alias("bucket")).distinct()
         )
         near = same("e", "w") + [F.col("e.bucket") == F.col("w.bucket")]
-        candidates = spark.read.schema(events.schema).parquet(log).alias("e").join(wanted.alias("w"), near, "left_semi")
+        # Buckets are as few as spans fit into the time covered; listing them prunes the log.
+        spans = [r[0] for r in wanted.select("bucket").distinct().collect()]
+        stored_log = spark.read.schema(events.schema).parquet(log).filter(F.col("bucket").isin(spans))
+        candidates = stored_log.alias("e").join(wanted.alias("w"), near, "left_semi")
         bursts = burst_clusters(candidates, keys, ts, span_seconds, min_count).withColumn(
             "part", F.pmod(F.xxhash64(*keys), F.lit(ALERT_BUCKETS)).cast("int")
         )
