@@ -131,7 +131,8 @@ class Tables:
         a customer holding a large share of the orders costs one row, not many.
         """
         per_customer = self.orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"),
+            # Whole cents add up exactly and much faster than wide decimals.
+            F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),
             F.count_if(F.col("o_orderpriority") != "5-LOW").alias("orders"),
             F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
         )
@@ -139,7 +140,7 @@ class Tables:
             per_customer.join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(F.col("c_nationkey").alias("country_key"), "year")
             .agg(
-                F.sum("revenue").cast("double").alias("revenue"),
+                (F.sum("cents") / 100.0).alias("revenue"),
                 F.sum("orders").cast("double").alias("orders"),
                 F.sum("urgent").cast("double").alias("urgent"),
             )

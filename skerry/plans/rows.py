@@ -140,13 +140,13 @@ def sensor_text(t: Tables) -> DataFrame:
         "l_returnflag",
         F.when(F.col("l_orderkey") % 10 == 3, "ERR")
         .when(F.col("l_orderkey") % 10 == 4, "1.2.3")
-        .otherwise(F.format_string("%.1f", F.col("l_quantity") * 2 - 20))
+        .otherwise((F.col("l_quantity") * 2 - 20).cast("string"))
         .alias("raw_value"),
     )
 
 
 SENSOR_SQL = """(SELECT l_orderkey, l_returnflag, CASE WHEN l_orderkey % 10 = 3 THEN 'ERR' WHEN l_orderkey % 10 = 4 THEN '1.2.3'
-  ELSE printf('%.1f', l_quantity * 2 - 20) END AS raw_value FROM lineitem)"""
+  ELSE CAST(l_quantity * 2 - 20 AS VARCHAR) END AS raw_value FROM lineitem)"""
 GATED_SQL = f"""(SELECT l_orderkey, l_returnflag, raw_value,
   CASE WHEN regexp_matches(raw_value, '^-?[0-9.]+$') THEN TRY_CAST(raw_value AS DOUBLE) END AS value_numeric,
   COALESCE(CASE WHEN regexp_matches(raw_value, '^-?[0-9.]+$') THEN TRY_CAST(raw_value AS DOUBLE) END BETWEEN -50 AND 60,
@@ -159,7 +159,7 @@ def regex_gated_cast(t: Tables) -> DataFrame:
 
 
 MIXED_SQL = """(SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'not_a_number' WHEN o_orderkey % 13 = 0 THEN NULL
-   ELSE printf('%.2f', o_totalprice) END AS price_text,
+   ELSE CAST(o_totalprice AS VARCHAR) END AS price_text,
    CASE WHEN o_orderkey % 17 = 0 THEN 'bad-date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text FROM orders)"""
 
 
@@ -170,7 +170,7 @@ def mixed_text(t: Tables) -> DataFrame:
         key,
         F.when(key % 11 == 0, "not_a_number")
         .when(key % 13 == 0, None)
-        .otherwise(F.format_string("%.2f", "o_totalprice"))
+        .otherwise(F.col("o_totalprice").cast("string"))
         .alias("price_text"),
         F.when(key % 17 == 0, "bad-date").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_text"),
     )
@@ -211,8 +211,8 @@ def split_invalid(t: Tables) -> DataFrame:
 
 
 FAULTY_SQL = """(SELECT record_id, station, CASE WHEN record_id % 17 = 0 THEN 'not_a_number'
-   WHEN temperature_c IS NULL THEN NULL ELSE printf('%.2f', temperature_c) END AS temperature_f,
-   printf('%.1f', humidity_pct) AS humidity_pct FROM @v_obs)"""
+   ELSE CAST(temperature_c AS VARCHAR) END AS temperature_f,
+   CAST(humidity_pct AS VARCHAR) AS humidity_pct FROM @v_obs)"""
 
 
 def faulty_text(t: Tables) -> DataFrame:
@@ -221,9 +221,9 @@ def faulty_text(t: Tables) -> DataFrame:
         "record_id",
         "station",
         F.when(F.col("record_id") % 17 == 0, "not_a_number")
-        .when(F.col("temperature_c").isNotNull(), F.format_string("%.2f", "temperature_c"))
+        .otherwise(F.col("temperature_c").cast("string"))
         .alias("temperature_f"),
-        F.format_string("%.1f", "humidity_pct").alias("humidity_pct"),
+        F.col("humidity_pct").cast("string").alias("humidity_pct"),
     )
 
 
