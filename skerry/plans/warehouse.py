@@ -48,7 +48,7 @@ def build_time_dimension(t: Tables) -> DataFrame:
 
 def indicator_dimension(t: Tables) -> DataFrame:
     """Keys for two of the three indicators; the third is unknown to it."""
-    names = t.v_ind.select("indicator").distinct().filter(F.col("indicator") != "urgent")
+    names = t.pinned_ind.select("indicator").distinct().filter(F.col("indicator") != "urgent")
     return w.build_dimension(names, [F.col("indicator")], "indicator_key")
 
 
@@ -62,7 +62,7 @@ def build_fact(t: Tables) -> DataFrame:
 
 def facts(t: Tables) -> DataFrame:
     out = w.build_fact(
-        t.v_ind,
+        t.pinned_ind,
         [(dimension(t), "country_key", "dim_key"), (w.build_time_dimension(t.orders, "o_orderdate"), "year", "time_key")],
         [(indicator_dimension(t), "indicator", "indicator_key", 0)],
         "value",
@@ -90,7 +90,7 @@ SELECT country_key, ROUND(AVG(n), 4) AS composite_score FROM s GROUP BY country_
 
 @query(COMPOSITE_SQL)
 def composite_index(t: Tables) -> DataFrame:
-    return w.composite_index(t.v_ind, "country_key", "indicator", "value", [F.col("year")], INDICATORS, digits=4)
+    return w.composite_index(t.pinned_ind, "country_key", "indicator", "value", [F.col("year")], INDICATORS, digits=4)
 
 
 def snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -145,7 +145,7 @@ SELECT (SELECT COUNT(*) FROM customer) AS staging_rows, (SELECT COUNT(*) FROM {S
 """)
 def audit_trail(t: Tables) -> DataFrame:
     versions = history(t)
-    trail = w.audit_trail({"staging": t.customer, "scd": versions, "fact": t.v_ind}, versions, "1.0")
+    trail = w.audit_trail({"staging": t.customer, "scd": versions, "fact": t.pinned_ind}, versions, "1.0")
     return trail.drop("recorded_at")
 
 

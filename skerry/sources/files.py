@@ -172,12 +172,15 @@ def upsert_partitions(
     so that the read of the old rows is pruned.
     """
     spark = updates.sparkSession
-    if not path_exists(spark, path):
-        overwrite_partitions(latest_rows(updates, keys, order), path, partition)
-        return
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]
-    current = spark.read.schema(updates.schema).parquet(path).filter(F.col(partition).isin(touched))
-    overwrite_partitions(merge_upsert(current, updates, keys, order), path, partition)
+    # Used for the partition list, the anti join and the output: computed once.
+    latest = latest_rows(updates, keys, order).persist()
+    merged = latest
+    if path_exists(spark, path):
+        touched = [r[0] for r in latest.select(partition).distinct().collect()]
+        current = spark.read.schema(updates.schema).parquet(path).filter(F.col(partition).isin(touched))
+        merged = current.join(latest.select(*keys), list(keys), "left_anti").unionByName(latest)
+    overwrite_partitions(merged, path, partition)
+    latest.unpersist()
 
 
 def backfill_slots(df: DataFrame, path: str, slot: str) -> None:
