@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skerry.operators import aggregates as agg, rows, statistics as stats
 from skerry.operators.sets import concat_frames
-from skerry.plans.registry import INDICATORS, PRIORITIES, Tables, query
+from skerry.plans.registry import INDICATORS, PRIORITIES, Tables, query, round_half_up, rounded
 from skerry.plans.rows import GATED_SQL, harmonized, sensor_text
 
 VALUE_EDGES, VALUE_LABELS = (0, 10, 25, 50, 150), ("low", "mid", "high", "extreme")
@@ -15,10 +15,6 @@ WORST_FIRST = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 ADVICE = {"1-URGENT": "Ship today.", "2-HIGH": "Ship this week.", "3-MEDIUM": "Ship this month.", "5-LOW": "No hurry."}
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
-
-
 @query("""
 SELECT event_type, COUNT(value) AS record_count, ROUND(AVG(value), 4) AS value_mean, MIN(value) AS value_min, MAX(value) AS value_max,
   ROUND(AVG(user_id), 4) AS user_mean FROM events WHERE event_type IS NOT NULL GROUP BY event_type
@@ -69,7 +65,7 @@ GROUP BY c
 """)
 def describe_columns(t: Tables) -> DataFrame:
     out = stats.describe_columns(t.lineitem, ["l_extendedprice", "l_quantity"])
-    return rounded(out, "mean", "median", "std").withColumn("sum", F.round("sum", 2))
+    return rounded(out, "mean", "median", "std").withColumn("sum", round_half_up(F.col("sum"), 2))
 
 
 @query("""
@@ -232,8 +228,8 @@ def linear_trend(t: Tables) -> DataFrame:
     millions = t.indicator("revenue").withColumn("revenue", F.col("revenue") / 1e6)
     out = stats.linear_trend(millions, "year", "revenue", ["country_key"])
     return out.select(
-        "country_key", F.round("slope", 7).alias("slope"), F.round("intercept", 4).alias("intercept"),
-        F.round("trend_per_decade", 6).alias("trend_per_decade"),
+        "country_key", round_half_up(F.col("slope"), 7).alias("slope"), round_half_up(F.col("intercept"), 4).alias("intercept"),
+        round_half_up(F.col("trend_per_decade"), 6).alias("trend_per_decade"),
     )
 
 
@@ -387,7 +383,7 @@ def amplitude_extremes(t: Tables) -> DataFrame:
         .groupBy("c_nationkey", "month").agg(F.sum("revenue").cast("double").alias("revenue"))
     )
     out = agg.amplitude_extremes(monthly, "c_nationkey", "month", "revenue")
-    return out.withColumns({"amplitude": F.round("amplitude", 2), "ratio": F.round("ratio", 6)})
+    return out.withColumns({"amplitude": round_half_up(F.col("amplitude"), 2), "ratio": round_half_up(F.col("ratio"), 6)})
 
 
 @query("""

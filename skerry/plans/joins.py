@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from skerry.operators import joins, rows, sets
-from skerry.plans.registry import PRIORITIES, Tables, query
+from skerry.plans.registry import PRIORITIES, Tables, query, round_half_up
 from skerry.plans.rows import RISK_BANDS, harmonized
 
 
@@ -148,7 +148,7 @@ ON a.event_type = b.event_type AND a.position = b.position
 def zip_series(t: Tables) -> DataFrame:
     """Each type's daily means against its daily counts a week later, paired by position."""
     daily = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        F.round(F.avg("value"), 4).alias("mean_value"), F.count("*").alias("n")
+        round_half_up(F.avg("value"), 4).alias("mean_value"), F.count("*").alias("n")
     )
     later = daily.filter("day >= DATE '2024-01-08'").select("event_type", "day", F.col("n").alias("later_n"))
     paired = joins.zip_series(daily.drop("n"), later, ["event_type"], [F.col("day")])
@@ -167,8 +167,8 @@ def attach_baseline(t: Tables) -> DataFrame:
     out = joins.attach_baseline(monthly, ["month_no"], "urgent", "climatology", "anomaly")
     return out.select(
         F.date_format("month", "yyyy-MM-dd").alias("month"),
-        F.round("climatology", 4).alias("climatology"),
-        F.round("anomaly", 4).alias("anomaly"),
+        round_half_up(F.col("climatology"), 4).alias("climatology"),
+        round_half_up(F.col("anomaly"), 4).alias("anomaly"),
     )
 
 
@@ -230,7 +230,7 @@ def combine_scores(t: Tables) -> DataFrame:
     out = joins.combine_scores(
         sea, river, "country_key", ("sea_score", "river_score"), (0.6, 0.4), RISK_BANDS, "Extreme"
     )
-    return out.withColumn("composite", F.round("composite", 4))
+    return out.withColumn("composite", round_half_up(F.col("composite"), 4))
 
 
 def neighbours(t: Tables) -> DataFrame:

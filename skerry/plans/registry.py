@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skerry.session import settle, size_shuffles
 from skerry.workspace import pin
@@ -192,10 +192,40 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _half_up(sql: str) -> str:
+    """State the rounding rule: half away from zero on the decimal value.
+
+    `ROUND` of a double alone multiplies in binary, where a tie such as
+    38.37875 may fall to either side.
+    """
+    out, rest = "", sql
+    while (start := rest.find("ROUND(")) >= 0:
+        depth, comma, at = 1, -1, start + len("ROUND(")
+        body = at
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[at], 0)
+            if rest[at] == "," and depth == 1:
+                comma = at
+            at += 1
+        inner = _half_up(rest[body:comma])
+        out += f"{rest[:start]}CAST(ROUND(CAST({inner} AS DECIMAL(38,10)), {rest[comma + 1:at - 1].strip()}) AS DOUBLE)"
+        rest = rest[at:]
+    return out + rest
+
+
+def round_half_up(value: Column, digits: int) -> Column:
+    """The same rule for a query's output column."""
+    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
+    return df.withColumns({c: round_half_up(F.col(c), digits) for c in columns})
+
+
 def _expand(sql: str) -> str:
     for name, text in VIEW_SQL.items():
         sql = sql.replace(f"@{name}", f"({text}) AS {name}")
-    return sql
+    return _half_up(sql)
 
 
 def query(oracle: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

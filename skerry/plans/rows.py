@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from skerry.functions.measures import safe_ratio as ratio
 from skerry.operators import rows
 from skerry.operators.sets import concat_frames
-from skerry.plans.registry import Tables, query
+from skerry.plans.registry import Tables, query, round_half_up
 
 # Bands of the public European air quality index, wind and temperature classes.
 AIR_BANDS = [(20, "Good"), (40, "Fair"), (60, "Moderate"), (80, "Poor"), (100, "Very Poor")]
@@ -324,7 +324,7 @@ def filter_threshold(t: Tables) -> DataFrame:
     return kept.groupBy("event_type").agg(
         F.count("*").alias("kept"),
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
-        F.round(F.avg("value"), 4).alias("mean"),
+        round_half_up(F.avg("value"), 4).alias("mean"),
     )
 
 

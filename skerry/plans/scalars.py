@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skerry import functions as fn
 from skerry.operators.joins import join_outer_chain
 from skerry.plans.joins import OUTER_SQL
-from skerry.plans.registry import INDICATORS, Tables, query
+from skerry.plans.registry import INDICATORS, Tables, query, round_half_up
 from skerry.sources import payloads
 
 # Unit and range per type code.
@@ -128,7 +128,7 @@ def duration_units(t: Tables) -> DataFrame:
     status = F.when(F.col("hours_behind") <= 2, "CURRENT").otherwise("CATCHING UP")
     return (
         t.events.select("event_id", hours.alias("hours_behind")).withColumn("status", status)
-        .withColumn("hours_behind", F.round("hours_behind", 6))
+        .withColumn("hours_behind", round_half_up(F.col("hours_behind"), 6))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from skerry.operators.sets import concat_frames
-from skerry.plans.registry import SCHEMAS, Tables, query
+from skerry.plans.registry import SCHEMAS, Tables, query, round_half_up
 from skerry.sources import files, payloads
 from skerry.workspace import hadoop_path, scratch
 
@@ -128,7 +128,7 @@ SELECT d.event_type, strftime(day, '%Y-%m-%d') AS time, mean, CASE WHEN d.event_
 def parallel_arrays_to_rows(t: Tables) -> DataFrame:
     """Daily series per event type packed as parallel arrays, one of them missing for one type."""
     daily = t.events.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("time")).agg(
-        F.round(F.avg("value"), 4).alias("mean"), F.count("*").alias("n")
+        round_half_up(F.avg("value"), 4).alias("mean"), F.count("*").alias("n")
     )
     # One element per calendar day and type, however many events there are.
     packed = daily.groupBy("event_type").agg(F.sort_array(F.collect_list(F.struct("time", "mean", "n"))).alias("s"))

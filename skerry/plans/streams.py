@@ -11,7 +11,7 @@ from skerry import functions as fn
 from skerry.operators import quality as q
 from skerry.operators.rules import RuleRegistry, apply_rules as run_rules
 from skerry.operators.sets import concat_frames
-from skerry.plans.registry import SCHEMAS, Tables, query
+from skerry.plans.registry import SCHEMAS, Tables, query, round_half_up
 from skerry.plans.rows import FAULTY_SQL, fault_rules, faulty_text
 from skerry.plans.scalars import expressions
 from skerry.plans.windows import burst_sql, minute_text
@@ -181,7 +181,7 @@ def stream_window_counts(t: Tables) -> DataFrame:
         ev.stream_window_counts(stream, "ts", "1 day", ["event_type"], "value", f"{root}/out", f"{root}/state")
     out = t.spark.read.parquet(f"{root}/out")
     return out.select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n", F.round("mean", 4).alias("mean")
+        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n", round_half_up(F.col("mean"), 4).alias("mean")
     )
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from skerry.operators import ranking, statistics as stats, windows
 from skerry.operators.joins import join_latest, join_outer_chain
 from skerry.operators.sets import concat_frames
-from skerry.plans.aggregates import ORDER_LINES_SQL, RATE_NAMES, order_lines, rounded
+from skerry.plans.aggregates import ORDER_LINES_SQL, RATE_NAMES, order_lines
 from skerry.plans.joins import OUTER_SQL, orders_by_customer
-from skerry.plans.registry import INDICATORS, Tables, query
+from skerry.plans.registry import INDICATORS, Tables, query, rounded
 from skerry.plans.rows import harmonized
 
 
