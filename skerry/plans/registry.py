@@ -208,14 +208,14 @@ def _half_up(sql: str) -> str:
                 comma = at
             at += 1
         inner = _half_up(rest[body:comma])
-        out += f"{rest[:start]}CAST(ROUND(CAST({inner} AS DECIMAL(38,10)), {rest[comma + 1:at - 1].strip()}) AS DOUBLE)"
+        out += f"{rest[:start]}CAST(ROUND(CAST({inner} AS DECIMAL(38,8)), {rest[comma + 1:at - 1].strip()}) AS DOUBLE)"
         rest = rest[at:]
     return out + rest
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """The same rule for a query's output column."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    """The same rule for a query's output column; eight decimals absorb the noise of summing in another order."""
+    return F.round(value.cast("decimal(38,8)"), digits).cast("double")
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
