@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from skerry.llm import byte_bpe, decontaminate, pii, secret_scan, token_counts, warc
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from skerry.llm import (
+    byte_bpe,
+    decontaminate,
+    jaccard_forest,
+    pii,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from skerry.llm.shared import read_table
 
 PSEUDONYM_KEY = "corpus-2024"
@@ -22,6 +33,17 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, model, cut=0.7)
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"), factor=64)
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
@@ -36,6 +58,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"), length=100)
+
+
+def op9_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +80,14 @@ _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     FOR j IN range(32)], '')"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_topk": """
+WITH v AS (SELECT vec_id, max(CAST([floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS BIGINT[])) AS z FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.z AS DOUBLE[]), CAST(c.z AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.z) = len(q.z)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
     "op6_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT page_id, octet_length(encode(body)) AS n, sha1(body) AS h FROM p),
