@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skerry.functions.bands import band_index, exceeds
 from skerry.functions.measures import nan_to_null
-from skerry.operators.ordering import order_key
+from skerry.operators.ordering import first_key, latest_key
 
 # Named aggregate functions accepted where an aggregation is a parameter.
 AGGREGATES = {
@@ -102,7 +102,7 @@ def argmax_by(df: DataFrame, group: Sequence[str], measure: str, label: str, lar
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
     """Per key and column, the last value that is present."""
     return df.groupBy(*keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), order_key(order))).alias(c) for c in columns]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), latest_key(order))).alias(c) for c in columns]
     )
 
 
@@ -111,7 +111,7 @@ def pivot_first(
 ) -> DataFrame:
     """Long to wide for the given names; the first present value of a cell is taken."""
     cells = [
-        F.min_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), order_key(order))).alias(n) for n in names
+        F.min_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), first_key(order))).alias(n) for n in names
     ]
     return df.groupBy(*index).agg(*cells)
 
@@ -121,7 +121,7 @@ def latest_wide(
 ) -> DataFrame:
     """Long to wide with the latest present value per name: both steps in one aggregate."""
     cells = [
-        F.max_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), order_key(order))).alias(n) for n in names
+        F.max_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), latest_key(order))).alias(n) for n in names
     ]
     return df.groupBy(*index).agg(*cells)
 

@@ -18,9 +18,14 @@ RANK_ROWS = 1_000_000
 QUANTILE_STEP = 0.001
 
 
-def order_key(order: Sequence[Column]) -> Column:
-    """One comparable column; a single column stays as it is, so primitive keys aggregate by hash."""
-    return order[0] if len(order) == 1 else F.struct(*order)
+def latest_key(order: Sequence[Column]) -> Column:
+    """One comparable column for `max_by`, never NULL itself; a missing order value counts as the earliest."""
+    return F.struct(*[part.alias(f"o{i}{n}") for i, c in enumerate(order) for n, part in enumerate((c.isNotNull(), c))])
+
+
+def first_key(order: Sequence[Column]) -> Column:
+    """The same for `min_by`; a missing order value counts as the last."""
+    return F.struct(*[part.alias(f"o{i}{n}") for i, c in enumerate(order) for n, part in enumerate((c.isNull(), c))])
 
 
 def row_struct(df: DataFrame) -> Column:
@@ -29,13 +34,13 @@ def row_struct(df: DataFrame) -> Column:
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The whole row with the greatest `order` per key, by aggregation."""
-    best = F.max_by(row_struct(df), order_key(order))
+    best = F.max_by(row_struct(df), latest_key(order))
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The whole row with the least `order` per key, by aggregation."""
-    best = F.min_by(row_struct(df), order_key(order))
+    best = F.min_by(row_struct(df), first_key(order))
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 

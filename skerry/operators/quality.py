@@ -197,10 +197,18 @@ def check_date_coverage(df: DataFrame, day: str, by: Sequence[str] = ()) -> Data
     good = text("all %d days present", F.col("expected_days"))
     bad = text("%d of %d days missing, first %s", F.col("missing_days"), F.col("expected_days"), F.col("first_missing"))
     ok, details, severity = outcome(passed, good, bad, "warning")
-    return gaps.select(
+    verdicts = gaps.select(
         *by, F.lit("date_coverage").alias("check_name"), ok.alias("passed"), details.alias("details"),
         severity.alias("severity"),
     )
+    if by:
+        return verdicts
+    # Without a single date there is no calendar to compare with, and that is a finding too.
+    nothing = df.agg(F.count(day).alias("n")).filter("n = 0").select(
+        F.lit("date_coverage").alias("check_name"), F.lit(False).alias("passed"), F.lit("no dates at all").alias("details"),
+        F.lit("critical").alias("severity"),
+    )
+    return verdicts.filter("passed IS NOT NULL").unionByName(nothing)
 
 
 def check_reference(detail: DataFrame, master: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -310,13 +318,14 @@ def sla_breaches(runs: DataFrame, task: str, duration: str, limits: DataFrame, d
 
 def score_report(checks: DataFrame, category: str) -> DataFrame:
     """Totals per category and overall (category NULL): counts, score and verdict."""
-    failed = F.count_if(~F.col("passed"))
+    bad = ~F.coalesce(F.col("passed"), F.lit(False))  # a check without a verdict has not passed
+    failed = F.count_if(bad)
     return checks.rollup(category).agg(
         F.count("*").alias("total"),
         F.count_if(F.col("passed")).alias("passed"),
         failed.alias("failed"),
         F.count_if(F.col("severity") == "warning").alias("warnings"),
-        F.count_if((F.col("severity") == "critical") & ~F.col("passed")).alias("critical"),
+        F.count_if((F.col("severity") == "critical") & bad).alias("critical"),
         F.round(F.count_if(F.col("passed")) * 100.0 / F.count("*"), 1).alias("score_pct"),
         F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall"),
     )
@@ -326,10 +335,11 @@ def report_lines(checks: DataFrame) -> DataFrame:
     """The checks as text: a header, two lines per check in severity order, the verdict."""
     from skerry.operators.ranking import severity_rank
 
+    failed = ~F.coalesce(F.col("passed"), F.lit(False))
     totals = checks.agg(
-        F.count("*").alias("n"), F.count_if(F.col("passed")).alias("ok"), F.count_if(~F.col("passed")).alias("bad"),
+        F.count("*").alias("n"), F.count_if(F.col("passed")).alias("ok"), F.count_if(failed).alias("bad"),
         F.count_if(F.col("severity") == "warning").alias("warn"),
-        F.count_if((F.col("severity") == "critical") & ~F.col("passed")).alias("crit"),
+        F.count_if((F.col("severity") == "critical") & failed).alias("crit"),
     )
 
     def line(section: int, body: Column, rank: Column, name: Column, part: int) -> Column:
@@ -370,4 +380,4 @@ def recommend(checks: DataFrame) -> DataFrame:
     advice = F.lit("inspect the check")
     for kind, suggestion in ADVICE.items():
         advice = F.when(F.contains(F.col("check_name"), F.lit(kind)), suggestion).otherwise(advice)
-    return checks.filter(~F.col("passed")).select("check_name", "severity", advice.alias("suggestion"))
+    return checks.filter(~F.coalesce(F.col("passed"), F.lit(False))).select("check_name", "severity", advice.alias("suggestion"))

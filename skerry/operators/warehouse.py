@@ -22,12 +22,6 @@ def stage(df: DataFrame, columns: Mapping[str, tuple[str, str]], required: Seque
     ).dropna(subset=list(required))
 
 
-def publish_views(models: Mapping[str, DataFrame]) -> None:
-    """Register models as temporary views, in order, so SQL can build on them."""
-    for name, df in models.items():
-        df.createOrReplaceTempView(name)
-
-
 def build_dimension(
     df: DataFrame, order: Sequence[Column], key: str, num: str | None = None, den: str | None = None,
     density: str = "density", digits: int = 1,
@@ -141,10 +135,10 @@ def validate_scd(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
         return lambda n: quality.outcome(n == 0, quality.text(good), quality.text(bad, n), "critical")
 
     return quality.run_checks(per_key, [
-        quality.Check("scd_has_current", [F.sum("open")], lambda n: quality.outcome(
+        quality.Check("scd_has_current", [F.coalesce(F.sum("open"), F.lit(0))], lambda n: quality.outcome(
             n > 0, quality.text("%d current rows", n), F.lit("no current rows"), "critical")),
-        quality.Check("no_orphan_keys", [F.max(orphans)], rule("all fact keys present", "%d fact keys unknown")),
-        quality.Check("date_range_validity", [F.sum("bad")], rule("all ranges valid", "%d invalid ranges")),
+        quality.Check("no_orphan_keys", [F.coalesce(F.max(orphans), orphans)], rule("all fact keys present", "%d fact keys unknown")),
+        quality.Check("date_range_validity", [F.coalesce(F.sum("bad"), F.lit(0))], rule("all ranges valid", "%d invalid ranges")),
         quality.Check("one_current_per_key", [F.count_if(F.col("open") > 1)], rule("at most one each", "%d keys with several")),
     ])
 

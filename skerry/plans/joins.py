@@ -279,7 +279,8 @@ def inputs_ready(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
 def concat_frames(t: Tables) -> DataFrame:
-    parts = [t.orders.filter(F.col("o_orderpriority") == p) for p in PRIORITIES]
+    known = F.coalesce(F.col("o_orderpriority").isin(PRIORITIES), F.lit(False))
+    parts = [t.orders.filter(known), t.orders.filter(~known)]
     return sets.concat_frames(parts).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 

@@ -8,7 +8,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skerry.session import settle, size_shuffles
 from skerry.workspace import pin
 
 SCHEMAS = {
@@ -32,7 +31,6 @@ SCHEMAS = {
 }
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 INDICATORS = ["revenue", "orders", "urgent"]
 
 VIEW_SQL = {
@@ -71,9 +69,8 @@ class Tables:
     """Lazy access to the tables of one scale factor and to the derived views."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark = settle(spark)
+        self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        size_shuffles(spark, self.sf_dir)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:

@@ -37,7 +37,7 @@ def stream_new_files(t: Tables) -> DataFrame:
 def stream_file_counts(t: Tables) -> DataFrame:
     """Rows per landed file, counted from the output and totalled."""
     root = scratch(t.spark, "file-counts")
-    t.orders.select("o_orderkey").repartition(4).write.parquet(f"{root}/landing")
+    t.orders.select("o_orderkey").write.parquet(f"{root}/landing")
     ld.stream_new_files(t.spark, f"{root}/landing", "o_orderkey bigint", "parquet", f"{root}/out", f"{root}/state")
     counts = ld.file_counts(t.spark.read.parquet(f"{root}/out"))
     landed = files.discover_files(t.spark, f"{root}/landing", ["parquet"]).agg(F.count("*")).scalar()
@@ -100,7 +100,7 @@ def archive_processed(t: Tables) -> DataFrame:
     text = faulty_text(t).select(*LANDED)
     make_dirs(t.spark, f"{root}/archive")
     for delivery in ("record_id % 2 = 0", "record_id % 2 = 1", "record_id % 2 = 1"):
-        text.filter(delivery).coalesce(1).write.mode("append").option("header", True).csv(f"{root}/landing")
+        text.filter(delivery).write.mode("append").option("header", True).csv(f"{root}/landing")
         ld.stream_landing_zone(
             t.spark, f"{root}/landing", f"{root}/out", f"{root}/state", LANDED, ["record_id"], lambda df: df, f"{root}/archive"
         )
@@ -208,7 +208,7 @@ def stream_dedupe(t: Tables) -> DataFrame:
         repeated.filter(part).write.mode("append").parquet(f"{root}/landing")
         stream = ev.read_stream(t.spark, f"{root}/landing", SCHEMAS["events"])
         ev.stream_dedupe(stream, "ts", ["event_id"], f"{root}/out", f"{root}/state")
-    return t.spark.read.parquet(f"{root}/out").select("event_id", "event_type", "value")
+    return t.spark.read.schema(SCHEMAS["events"]).parquet(f"{root}/out").select("event_id", "event_type", "value")
 
 
 @query("""

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from skerry.workspace import hadoop_path
-
 # Settings that may be changed on a running session. UTC makes date arithmetic
 # comparable across engines; the skew settings let a join split a hot key.
 RUNTIME_SETTINGS = {
@@ -24,26 +22,13 @@ def settle(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Stored bytes per shuffle partition; columns unpack to a few times their stored size.
-PARTITION_BYTES = 64 * 1024 * 1024
-
-
-def size_shuffles(spark: SparkSession, path: str) -> None:
-    """Start shuffles with enough partitions for the data under `path`.
+def build_session(app: str = "skerry", master: str | None = None, **conf: str) -> SparkSession:
+    """Create (or fetch) a session; `conf` keys use `__` in place of dots.
 
-    Adaptive execution merges partitions that turn out small but never adds
-    any, so the start must fit the input: 100 TB need far more than a default.
+    Adaptive execution merges shuffle partitions but adds none, so set
+    `spark.sql.shuffle.partitions` to what the largest shuffle of the job needs.
+    Queries and operators change no setting of the session they are given.
     """
-    fs, target = hadoop_path(spark, path)
-    wanted = fs.getContentSummary(target).getLength() // PARTITION_BYTES + 1
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    else:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-
-
-def build_session(app: str = "skerry", master: str | None = None, **conf: str) -> SparkSession:
-    """Create (or fetch) a session; `conf` keys use `__` in place of dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

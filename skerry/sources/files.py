@@ -150,8 +150,14 @@ def append_dataset(df: DataFrame, path: str) -> None:
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows of the target not updated, and the latest update per key. Repeating it changes nothing."""
-    latest = latest_rows(updates, keys, order)
-    return target.join(latest.select(*keys), list(keys), "left_anti").unionByName(latest)
+    return _merged(target, latest_rows(updates, keys, order), keys)
+
+
+def _merged(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Missing key values are equal to each other, so that repeating an update cannot double their rows."""
+    renamed = latest.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in keys]
+    return target.join(renamed, same, "left_anti").unionByName(latest)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
@@ -167,20 +173,22 @@ def upsert_partitions(
 ) -> None:
     """`merge_upsert` into a partitioned dataset, rewriting the touched partitions only.
 
-    A key must always fall into the same partition. The touched partition
-    values, no more than the dataset has partitions, are listed on the driver
-    so that the read of the old rows is pruned.
+    A key must always fall into the same partition. The old rows are joined to
+    the touched partition values, which prunes the read at run time.
     """
     spark = updates.sparkSession
     # Used for the partition list, the anti join and the output: computed once.
     latest = latest_rows(updates, keys, order).persist()
-    merged = latest
-    if path_exists(spark, path):
-        touched = [r[0] for r in latest.select(partition).distinct().collect()]
-        current = spark.read.schema(updates.schema).parquet(path).filter(F.col(partition).isin(touched))
-        merged = current.join(latest.select(*keys), list(keys), "left_anti").unionByName(latest)
-    overwrite_partitions(merged, path, partition)
-    latest.unpersist()
+    try:
+        merged = latest
+        if path_exists(spark, path):
+            touched = latest.select(F.col(partition).alias("__touched")).distinct()
+            stored = spark.read.schema(updates.schema).parquet(path)
+            current = stored.join(touched, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
+            merged = _merged(current, latest, keys)
+        overwrite_partitions(merged, path, partition)
+    finally:
+        latest.unpersist()
 
 
 def backfill_slots(df: DataFrame, path: str, slot: str) -> None:

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skerry.operators.joins import enrich_lookup
+from skerry.operators.ordering import first_rows
 from skerry.operators.quality import Check, run_checks
 from skerry.operators.rows import quality_gate
 from skerry.operators.windows import burst_clusters
 from skerry.sources.files import upsert_partitions
-from skerry.streaming.runner import large_state, run_to_end, write_batch
+from skerry.streaming.runner import run_to_end, write_batch
+from skerry.workspace import path_exists
 
 # Alerts are kept in this many partitions; a batch rewrites those of its cells.
 ALERT_BUCKETS = 32
@@ -28,25 +30,54 @@ def stream_upsert(
     return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 
 
-def window_counts(stream: DataFrame, ts: str, span: str, keys: Sequence[str], col: str, delay: str) -> DataFrame:
-    """Counts and means per event-time window and key. Rows older than the watermark are dropped."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    counted = timed.groupBy(F.window(ts, span), *keys).agg(F.count("*").alias("n"), F.avg(col).alias("mean"))
-    return counted.select(F.col("window.start").alias("window_start"), *keys, "n", "mean")
+def window_counts(df: DataFrame, ts: str, span: str, keys: Sequence[str], col: str) -> DataFrame:
+    """Per event-time window and key: rows, present values and their sum."""
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    counted = timed.groupBy(F.window(ts, span), *keys).agg(
+        F.count("*").alias("n"), F.count(col).alias("present"), F.sum(col).cast("double").alias("total")
+    )
+    return counted.select(F.col("window.start").alias("window_start"), *keys, "n", "present", "total")
+
+
+SUMS = ["n", "present", "total"]
 
 
 def stream_window_counts(
-    stream: DataFrame, ts: str, span: str, keys: Sequence[str], col: str, target: str, checkpoint: str,
-    delay: str = "1 day",
+    stream: DataFrame, ts: str, span: str, keys: Sequence[str], col: str, target: str, checkpoint: str
 ) -> list[dict]:
-    """Update mode with an upsert by window and key, so open windows are visible too."""
-    large_state(stream.sparkSession)
-    counted = window_counts(stream, ts, span, keys, col, delay).withColumn("day", F.to_date("window_start"))
+    """Counts and means per window and key, kept as sums in a table by day; however late a row comes, it counts.
+
+    Each row remembers the batch that changed it last and its sums before that
+    batch, so a replayed batch replaces its own share and adds nothing twice.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(batch, target, ["window_start", *keys], "day", [F.col("n")])
+        new = window_counts(batch, ts, span, keys, col)
+        names = ["window_start", *keys]
+        before = {f"old_{c}": F.lit(0).cast(new.schema[c].dataType) for c in SUMS}
+        if path_exists(batch.sparkSession, target):
+            stored = batch.sparkSession.read.parquet(target)
+            again = F.col("batch") == batch_id
+            old = stored.select(
+                *[F.col(k).alias(f"__{k}") for k in names],
+                *[F.when(again, F.col(f"old_{c}")).otherwise(F.col(c)).alias(f"old_{c}") for c in SUMS],
+                F.col("day").alias("__day"),
+            )
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in names]
+            same.append(F.to_date("window_start").eqNullSafe(F.col("__day")))  # prunes the days
+            new = new.join(old, same, "left").drop(*[f"__{k}" for k in names], "__day")
+            before = {f"old_{c}": F.coalesce(f"old_{c}", F.lit(0).cast(new.schema[c].dataType)) for c in SUMS}
+        merged = new.withColumns(before).withColumns(
+            {c: F.coalesce(F.col(c), F.lit(0).cast(new.schema[c].dataType)) + F.col(f"old_{c}") for c in SUMS}
+        )
+        out = merged.withColumns({
+            "mean": F.try_divide(F.col("total"), F.col("present")),
+            "batch": F.lit(batch_id).cast("bigint"),
+            "day": F.to_date("window_start"),
+        })
+        upsert_partitions(out, target, names, "day", [F.col("batch")])
 
-    return run_to_end(counted.writeStream.outputMode("update").foreachBatch(handle), checkpoint)
+    return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 
 
 def stream_burst_alerts(
@@ -89,9 +120,7 @@ def stream_burst_alerts(
             .select(*keys, F.explode(F.array("bucket", F.col("bucket") + 1)).alias("bucket")).distinct()
         )
         near = same("e", "w") + [F.col("e.bucket") == F.col("w.bucket")]
-        # Buckets are as few as spans fit into the time covered; listing them prunes the log.
-        spans = [r[0] for r in wanted.select("bucket").distinct().collect()]
-        stored_log = spark.read.schema(events.schema).parquet(log).filter(F.col("bucket").isin(spans))
+        stored_log = spark.read.schema(events.schema).parquet(log)
         candidates = stored_log.alias("e").join(wanted.alias("w"), near, "left_semi")
         bursts = burst_clusters(candidates, keys, ts, span_seconds, min_count).withColumn(
             "part", F.pmod(F.xxhash64(*keys), F.lit(ALERT_BUCKETS)).cast("int")
@@ -101,18 +130,27 @@ def stream_burst_alerts(
     return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 
 
-def dedupe_arrivals(stream: DataFrame, ts: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """First arrival per key; repeats within the delay are dropped and the state stays bounded."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(stream: DataFrame, ts: str, keys: Sequence[str], target: str, checkpoint: str) -> list[dict]:
+    """First arrival per key over the whole life of the stream, whatever the event times.
 
+    Inside one batch the earliest event counts. Keys of earlier batches are read
+    back from the output (only the key columns); a replayed batch overwrites its
+    own folder and does not see it.
+    """
 
-def stream_dedupe(
-    stream: DataFrame, ts: str, keys: Sequence[str], target: str, checkpoint: str, delay: str = "2 days"
-) -> list[dict]:
-    large_state(stream.sparkSession)
-    unique = dedupe_arrivals(stream, ts, keys, delay)
-    return run_to_end(unique.writeStream.format("parquet").option("path", target), checkpoint)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_rows(batch, keys, [F.col(ts)])
+        if batch_id and path_exists(batch.sparkSession, target):
+            seen = batch.sparkSession.read.schema(f"{_ddl(batch, keys)}, batch_id bigint").parquet(target)
+            known = seen.filter(F.col("batch_id") < batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys])
+            fresh = fresh.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
+        write_batch(fresh, target, batch_id)
+
+    return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
+
+
+def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
 def stream_enrich(
@@ -130,10 +168,14 @@ def stream_checks(
     """Check every batch, append the results, and route whole datasets of the batch by the gate."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(run_checks(batch, checks), f"{root}/results", batch_id)
-        publish, quarantine = quality_gate(batch, dataset, col, lo, hi)
-        write_batch(publish, f"{root}/published", batch_id)
-        write_batch(quarantine, f"{root}/quarantined", batch_id)
+        batch = batch.persist()  # read once for the checks and both routes
+        try:
+            write_batch(run_checks(batch, checks), f"{root}/results", batch_id)
+            publish, quarantine = quality_gate(batch, dataset, col, lo, hi)
+            write_batch(publish, f"{root}/published", batch_id)
+            write_batch(quarantine, f"{root}/quarantined", batch_id)
+        finally:
+            batch.unpersist()
 
     return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 

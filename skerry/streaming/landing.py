@@ -62,9 +62,13 @@ def stream_landing_zone(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table, skipped = csv_by_header(batch, columns, required)
-        write_batch(transform(table), f"{target}/rows", batch_id)
-        write_batch(skipped, f"{target}/skipped", batch_id)
+        batch = batch.persist()  # read once for rows and warnings
+        try:
+            table, skipped = csv_by_header(batch, columns, required)
+            write_batch(transform(table), f"{target}/rows", batch_id)
+            write_batch(skipped, f"{target}/skipped", batch_id)
+        finally:
+            batch.unpersist()
 
     return run_to_end(text_lines(spark, landing, archive).writeStream.foreachBatch(handle), checkpoint)
 
@@ -93,10 +97,12 @@ def stream_quarantine(
         table, unusable = csv_by_header(batch, columns, required)
         # Parsed once for both outputs; lost blocks are computed again from the files.
         table = table.persist()
-        good, bad = quarantine_rows(table, rules, F.col("source_file"))
-        write_batch(good, f"{target}/clean", batch_id)
-        write_batch(bad, f"{target}/rejected", batch_id)
-        write_batch(unusable, f"{target}/dead_letters", batch_id)
-        table.unpersist()
+        try:
+            good, bad = quarantine_rows(table, rules, F.col("source_file"))
+            write_batch(good, f"{target}/clean", batch_id)
+            write_batch(bad, f"{target}/rejected", batch_id)
+            write_batch(unusable, f"{target}/dead_letters", batch_id)
+        finally:
+            table.unpersist()
 
     return run_to_end(text_lines(spark, landing).writeStream.foreachBatch(handle), checkpoint)

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def large_state(spark: SparkSession) -> None:
-    """Keep streaming state outside the heap; to be set before a stateful query first starts."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
+def run_to_end(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> list[dict]:
+    """Process everything available, then stop. All progress reports of the run are returned, in order.
 
-def run_to_end(writer: DataStreamWriter, checkpoint: str, timeout: int = 3600) -> list[dict]:
-    """Process everything available, then stop. Progress reports of the run are returned."""
+    A stream takes as long as it needs unless the caller sets a `timeout` in seconds.
+    """
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream still running after {timeout} s")
-    return [dict(p) if isinstance(p, dict) else p for p in query.recentProgress]
+    started, reports = time.monotonic(), {}
+    while True:
+        ended = query.awaitTermination(1)
+        # The query keeps its last reports only, so they are gathered while it runs.
+        reports.update({(p["batchId"], p["timestamp"]): p for p in query.recentProgress})
+        if ended:
+            return [dict(p) if isinstance(p, dict) else p for p in reports.values()]
+        if timeout is not None and time.monotonic() - started > timeout:
+            query.stop()
+            raise TimeoutError(f"stream still running after {timeout} s")
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:

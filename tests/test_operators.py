@@ -32,16 +32,18 @@ def magnitudes(spark, values):
 
 
 def b_brute(values, start=None):
-    """The definition, with numpy."""
+    """Slope of the closed least squares formula over counts at and above each half step below the maximum."""
     if len(values) < 2:
         return 0.0
-    lo = math.floor(min(values) * 2) / 2 if start is None else start
-    bins = [b for b in np.arange(lo, max(values) + 0.5, 0.5)][:-1]
-    points = [(b, sum(v >= b for v in values)) for b in bins]
-    points = [(b, n) for b, n in points if n > 0]
-    if len(points) < 2:
-        return 0.0
-    return float(-np.polyfit([b for b, _ in points], np.log10([n for _, n in points]), 1)[0])
+    top, step = max(values), (math.floor(min(values) * 2) / 2 if start is None else start)
+    pairs = []
+    while step < top:
+        if above := [v for v in values if v >= step]:
+            pairs.append((step, math.log10(len(above))))
+        step += 0.5
+    n, sx, sy = len(pairs), sum(x for x, _ in pairs), sum(y for _, y in pairs)
+    spread = sum(x * x for x, _ in pairs) * n - sx * sx
+    return -(sum(x * y for x, y in pairs) * n - sx * sy) / spread if n > 1 else 0.0
 
 
 def test_b_value_cases(spark):

@@ -79,23 +79,40 @@ def events(spark, *items):
     return spark.createDataFrame(list(items), "t string, k string, v double").select(F.col("t").cast("timestamp").alias("ts"), "k", "v")
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
-    landing, out, state = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "state")
+def test_late_rows_count(spark, tmp_path):
+    landing, out, state = tmp_path / "landing", str(tmp_path / "out"), tmp_path / "state"
+    deliveries = [
+        (("2024-01-03 10:00:00", "a", 5.0), ("2024-01-03 10:05:00", None, None)),
+        (("2024-01-01 10:10:00", "a", 1.0), ("2024-01-01 10:50:00", "a", 3.0)),
+        (("2024-01-01 10:30:00", "a", 11.0), ("2024-01-03 10:30:00", "a", 7.0), ("2024-01-03 10:45:00", None, 2.0)),
+    ]
 
     def run():
-        stream = ev.read_stream(spark, str(landing), EVENTS)
-        return ev.stream_window_counts(stream, "ts", "1 hour", ["k"], "v", out, state, delay="1 hour")
-
-    land(events(spark, ("2024-01-01 10:10:00", "a", 1.0), ("2024-01-01 10:50:00", "a", 3.0)), landing)
-    run()
-    land(events(spark, ("2024-01-03 10:00:00", "a", 5.0)), landing)
-    run()
-    land(events(spark, ("2024-01-01 10:30:00", "a", 9.0), ("2024-01-03 10:30:00", "a", 7.0)), landing)
-    progress = run()
-    dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
-    got = sorted((str(r.window_start), r.n, r.mean) for r in spark.read.parquet(out).collect())
-    assert got == [("2024-01-01 10:00:00", 2, 2.0), ("2024-01-03 10:00:00", 2, 6.0)]
-    assert dropped == 1
+        ev.stream_window_counts(ev.read_stream(spark, str(landing), EVENTS), "ts", "1 hour", ["k"], "v", out, str(state))
+        return sorted(((str(r.window_start), r.k, r.n, r.mean) for r in spark.read.parquet(out).collect()), key=str)
+
+    want = [("2024-01-01 10:00:00", "a", 3, 5.0), ("2024-01-03 10:00:00", "a", 2, 6.0), ("2024-01-03 10:00:00", None, 2, 2.0)]
+    for rows in deliveries:
+        land(events(spark, *rows), landing)
+        got = run()
+    assert got == want
+    replay_last_batch(state)
+    assert run() == want
+
+
+def test_first_arrivals_in_reverse_time_order(spark, tmp_path):
+    landing, out, state = tmp_path / "landing", str(tmp_path / "out"), tmp_path / "state"
+
+    def run():
+        ev.stream_dedupe(ev.read_stream(spark, str(landing), EVENTS), "ts", ["k"], out, str(state))
+        return sorted(((r.k, r.v) for r in spark.read.parquet(out).collect()), key=str)
+
+    land(events(spark, ("2024-03-01 10:00:00", "a", 1.0), ("2024-03-01 09:00:00", "a", 2.0), ("2024-03-01 10:00:00", None, 3.0)), landing)
+    assert run() == [("a", 2.0), (None, 3.0)]
+    land(events(spark, ("2024-01-01 10:00:00", "b", 4.0), ("2024-01-01 10:00:00", "a", 5.0), ("2024-01-01 10:00:00", None, 6.0)), landing)
+    assert run() == [("a", 2.0), ("b", 4.0), (None, 3.0)]
+    replay_last_batch(state)
+    assert run() == [("a", 2.0), ("b", 4.0), (None, 3.0)]
 
 
 def test_alerts_follow_late_events(spark, tmp_path):
