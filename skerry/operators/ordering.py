@@ -8,14 +8,11 @@ column and only one row per slice crosses the cuts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# At most this many distinct values are ranked in one task.
-RANK_ROWS = 1_000_000
-# Neighbouring quantiles are at most this share of the rows apart.
-QUANTILE_STEP = 0.001
+from skerry.workspace import scratch
 
 
 def latest_key(order: Sequence[Column]) -> Column:
@@ -121,32 +118,28 @@ def positions(
     )
 
 
-def values_at_ranks(df: DataFrame, col: str, first: int, last: int, rows: int) -> tuple[object, object]:
-    """The exact values at two close 1-based ranks among `rows` non-null values of `col`.
+def values_at_ranks(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[str, tuple]:
+    """The exact values of several columns at the given 1-based ranks among their present values.
 
-    Approximate quantiles only narrow the search: the counts below the bracket
-    are exact, and a bracket that misses a rank or hardly narrows is not used.
-    Each round returns one row to the driver; the last one ranks the distinct
-    values left.
+    Equal values are counted first, whatever their number; the counts are dealt
+    to ranges of (column, value) and stored. Totals per range, as many rows as
+    partitions, say which range holds a rank, and only inside a range is there
+    an order. One row comes back to the driver. All columns have one type.
     """
-    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    skipped, left = 0, rows
-    while left > RANK_ROWS:
-        low = max((first - skipped) / left - QUANTILE_STEP, 0.0)
-        high = min((last - skipped) / left + QUANTILE_STEP, 1.0)
-        bounds = values.agg(F.percentile_approx("v", [low, high], 10_000).alias("q")).first()["q"]
-        inside = F.col("v").between(F.lit(bounds[0]), F.lit(bounds[1]))
-        below, kept = values.agg(F.count_if(F.col("v") < F.lit(bounds[0])), F.count_if(inside)).first()
-        if below >= first - skipped or last - skipped > below + kept:
-            break
-        if bounds[0] == bounds[1]:
-            return bounds[0], bounds[0]
-        if kept > left * 0.9:
-            break
-        values, skipped, left = values.filter(inside), skipped + below, kept
-    counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("seen", F.sum("n").over(running) + F.lit(skipped))
-    return tuple(
-        ranked.agg(*[F.min(F.when(F.col("seen") >= rank, F.col("v"))) for rank in (first, last)]).first()
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("v")) for c in ranks])
+    counted = df.select(F.inline(cells)).filter("v IS NOT NULL").groupBy("name", "v").agg(F.count("*").alias("n"))
+    path = scratch(df.sparkSession, "ranks")
+    counted.repartitionByRange("name", "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    dealt = df.sparkSession.read.parquet(path)
+    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy("name", "part").agg(F.sum("n").alias("total")).select(
+        "name", "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset")
     )
+    inside = Window.partitionBy("name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    seen = dealt.join(offsets, ["name", "part"]).withColumn("seen", F.sum("n").over(inside) + F.col("offset"))
+    wanted = [(c, rank) for c, own in ranks.items() for rank in own]
+    found = seen.agg(*[
+        F.min(F.when((F.col("name") == c) & (F.col("seen") >= rank), F.col("v"))).alias(f"r{i}") for i, (c, rank) in enumerate(wanted)
+    ]).first()
+    values = iter(found)
+    return {c: tuple(next(values) for _ in own) for c, own in ranks.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -17,23 +17,22 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
-def exact_median(df: DataFrame, col: str, rows: int) -> float | None:
-    """Mean of the two middle values among `rows` present ones."""
-    if rows == 0:
-        return None
-    low, high = values_at_ranks(df, col, (rows + 1) // 2, rows // 2 + 1, rows)
-    return (float(low) + float(high)) / 2
+def exact_medians(df: DataFrame, rows: Mapping[str, int]) -> dict[str, float | None]:
+    """Mean of the two middle values per column, given how many values each has."""
+    middle = {c: ((n + 1) // 2, n // 2 + 1) for c, n in rows.items() if n}
+    found = values_at_ranks(df, middle) if middle else {}
+    return {c: sum(map(float, found[c])) / 2 if c in found else None for c in rows}
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: count, sum, mean, min, max, exact median, population deviation.
 
     The built-in median keeps every distinct value of a column in one task;
-    here the ranks are searched, so only counts and bounds reach the driver.
+    here one shuffle ranks all columns, and only counts and medians reach the driver.
     """
     cleaned = df.select([nan_to_null(F.col(c)).alias(c) for c in columns])
     counts = cleaned.agg(*[F.count(c).alias(c) for c in columns]).first()
-    medians = {c: exact_median(cleaned, c, counts[c]) for c in columns}
+    medians = exact_medians(cleaned, {c: counts[c] for c in columns})
     stats = []
     for c in columns:
         stats.append(F.struct(

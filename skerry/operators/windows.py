@@ -179,12 +179,12 @@ def lead_time_span(stats: DataFrame) -> DataFrame:
 def first_half(df: DataFrame, order: str) -> Column:
     """Condition for the first floor(n/2) rows by a unique order column.
 
-    The boundary is found by rank search, so no task sorts the whole table.
+    The boundary is an exact rank, found without a task that sorts the whole table.
     """
     n = df.agg(F.count(order)).first()[0]
     if n < 2:
         return F.lit(False)
-    boundary, _ = values_at_ranks(df, order, n // 2, n // 2, n)
+    (boundary,) = values_at_ranks(df, {order: [n // 2]})[order]
     return F.col(order) <= F.lit(boundary)
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from skerry.operators.ordering import latest_rows
@@ -69,24 +73,58 @@ def discover_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> D
 
 
 def scan_lenient(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All CSV, JSON and Parquet files under a root; a file that cannot be read gives no rows."""
+    """All CSV, JSON and Parquet files under a root, with `source_path`.
+
+    A line that does not fit the schema stays as a row with its text in
+    `corrupt`; a file that cannot be read gives no rows and is named by
+    `skipped_files`.
+    """
     def reader(fmt: str) -> DataFrame:
-        return (
-            spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True)
-            .option("ignoreCorruptFiles", True).option("mode", "DROPMALFORMED").option("header", True)
-            .format(fmt).load(root).select("*", F.col("_metadata.file_path").alias("source_path"))
+        own = schema if fmt == "parquet" else f"{schema}, corrupt string"
+        rows = (
+            spark.read.schema(own).option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True)
+            .option("ignoreCorruptFiles", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt")
+            .option("header", True).format(fmt).load(root).select("*", F.col("_metadata.file_path").alias("source_path"))
         )
+        return rows.withColumn("corrupt", F.lit(None).cast("string")) if fmt == "parquet" else rows
 
     return reader("csv").unionByName(reader("json")).unionByName(reader("parquet"))
 
 
-def skipped_files(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
-    """Files under the root none of the scanned rows came from."""
-    seen = rows.select(F.col("source_path").alias("path")).distinct()
-    listing = discover_files(spark, root, ["csv", "json", "parquet"]).withColumn(
-        "path", F.regexp_replace("path", "^file:/+", "file:///")
-    )
-    return listing.join(seen.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///")), "path", "left_anti")
+# Bytes of a text file that are looked at to tell text from anything else.
+PROBE_BYTES = 65_536
+
+
+def read_fault(path: str, size: int) -> str | None:
+    """Why a file cannot be read, from its footer or first bytes; None for a readable one, however few rows it has."""
+    if size == 0:
+        return "empty file"
+    system, name = pafs.FileSystem.from_uri(quote(path, safe=":/%"))
+    with system.open_input_file(name) as source:
+        if path.endswith(".parquet"):
+            try:
+                pq.read_metadata(source)
+            except pa.ArrowException as fault:
+                return f"unreadable footer: {str(fault).splitlines()[0][:80]}"
+            return None
+        return "not a text file" if b"\0" in source.read(PROBE_BYTES) else None
+
+
+def skipped_files(spark: SparkSession, root: str) -> DataFrame:
+    """The listed files under the root that cannot be read, with a `reason`; Spark lists no files of zero bytes.
+
+    Only footers and first bytes are read.
+    """
+    listing = discover_files(spark, root, ["csv", "json", "parquet"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, sizes = batch.column("path").to_pylist(), batch.column("size").to_pylist()
+            reasons = pa.array([read_fault(p, s) for p, s in zip(paths, sizes)], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, reasons], names=[*batch.schema.names, "reason"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in listing.schema)
+    return listing.repartition("path").mapInArrow(probe, f"{fields}, reason string").filter("reason IS NOT NULL")
 
 
 def csv_by_header(

@@ -58,3 +58,29 @@ def test_queries_leave_the_session_alone(spark):
     for name in ("summarize_by", "stream_dedupe", "stream_window_counts"):
         load_all()[name].build(Tables(spark, f"{TESTDATA}/sf0.001")).count()
     assert {r[0]: r[1] for r in spark.sql("SET").collect()} == before
+
+
+def test_malformed_lines_and_files_are_reported(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "a b.csv").write_text("id,name\n1,x\nnot a number,y\n")
+    (tmp_path / "head.csv").write_text("id,name\n")
+    (tmp_path / "junk.json").write_bytes(b"\x00\x01\x02")
+    (tmp_path / "c.json").write_text('{"id": 2, "name": "z"}\n{"id": \n')
+    (tmp_path / "bad.parquet").write_bytes(b"not parquet at all")
+    pq.write_table(pa.table({"id": pa.array([], pa.int64()), "name": pa.array([], pa.string())}), tmp_path / "none.parquet")
+    rows = files.scan_lenient(spark, str(tmp_path), "id bigint, name string").collect()
+    good = sorted((r["id"], r["name"]) for r in rows if r["corrupt"] is None)
+    assert good == [(1, "x"), (2, "z")]
+    assert any("not a number" in (r["corrupt"] or "") for r in rows) and any('{"id": ' in (r["corrupt"] or "") for r in rows)
+    faults = {r["name"]: r["reason"].split(":")[0] for r in files.skipped_files(spark, str(tmp_path)).collect()}
+    assert faults == {"junk.json": "not a text file", "bad.parquet": "unreadable footer"}
+
+
+def test_ranks_over_many_ranges(spark):
+    from skerry.operators.ordering import values_at_ranks
+
+    df = spark.range(5000).selectExpr("cast(pmod(hash(id), 700) as double) AS a", "cast(if(id % 3 = 0, null, 7) as double) AS b")
+    a = sorted(r["a"] for r in df.collect())
+    assert values_at_ranks(df, {"a": [1, 2500, 2501, 5000], "b": [1, 3333]}) == {"a": (a[0], a[2499], a[2500], a[-1]), "b": (7.0, 7.0)}

@@ -115,22 +115,14 @@ def test_correlation_with_constant_column(spark):
 
 
 @FEW
-@given(st.lists(st.integers(-5, 30), min_size=1, max_size=60), st.integers(2, 20))
-def test_rank_search_is_exact(spark, values, limit):
-    """Also when the search must narrow: at most `limit` values are ranked at the end."""
+@given(st.lists(st.integers(-5, 30), min_size=1, max_size=60))
+def test_ranks_are_exact(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v int")
-    keep = ordering.RANK_ROWS
-    ordering.RANK_ROWS = limit
-    try:
-        for rank in {1, (len(values) + 1) // 2, len(values)}:
-            got = ordering.values_at_ranks(df, "v", rank, min(rank + 1, len(values)), len(values))
-            assert got == (sorted(values)[rank - 1], sorted(values)[min(rank + 1, len(values)) - 1])
-    finally:
-        ordering.RANK_ROWS = keep
-
-
-def test_median_of_skewed_values(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "RANK_ROWS", 100)
+    ranks = sorted({1, (len(values) + 1) // 2, len(values)})
+    assert ordering.values_at_ranks(df, {"v": ranks})["v"] == tuple(sorted(values)[rank - 1] for rank in ranks)
+
+
+def test_median_of_skewed_values(spark):
     values = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") / 10).alias("v"))
     want = float(np.median([7.0 if i % 3 == 0 else i / 10 for i in range(30_000)]))
     got = stats.describe_columns(values, ["v"]).first()
