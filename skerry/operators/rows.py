@@ -224,19 +224,25 @@ def resolve_name(
     return df.withColumn(out, F.coalesce(found, F.lit(lookup[0][1])))
 
 
-def quality_gate(
-    df: DataFrame, dataset: Sequence[str], col: str, lo: float, hi: float
-) -> tuple[DataFrame, DataFrame]:
-    """Route whole datasets: one missing or out-of-range value sends all rows to quarantine.
+def gate_routes(df: DataFrame, dataset: Sequence[str], col: str, lo: float, hi: float, out: str = "route") -> DataFrame:
+    """Route whole datasets: one missing or out-of-range value sends all rows of a dataset to quarantine.
 
-    The verdicts are one row per dataset, so the join back adds no big shuffle.
+    `out` is `publish` or `quarantine`. Verdicts are one row per dataset; a
+    missing dataset name is a dataset of its own.
     """
     value = measures.nan_to_null(F.col(col))
-    verdicts = df.groupBy(*dataset).agg(
-        (F.count_if(value.isNull() | ~value.between(lo, hi)) == 0).alias("__publish")
-    )
-    routed = df.join(verdicts, list(dataset))
-    return routed.filter("__publish").drop("__publish"), routed.filter("NOT __publish").drop("__publish")
+    route = F.when(F.count_if(value.isNull() | ~value.between(lo, hi)) == 0, "publish").otherwise("quarantine")
+    verdicts = df.groupBy(*[F.col(c).alias(f"__gate_{c}") for c in dataset]).agg(route.alias(out))
+    same = [F.col(c).eqNullSafe(F.col(f"__gate_{c}")) for c in dataset]
+    return df.join(verdicts, same).drop(*[f"__gate_{c}" for c in dataset])
+
+
+def quality_gate(
+    df: DataFrame, dataset: Sequence[str], col: str, lo: float, hi: float
+) -> tuple[DataFrame, DataFrame]:
+    """The rows to publish and the rows to quarantine, for callers that need two frames."""
+    routed = gate_routes(df, dataset, col, lo, hi, "__route")
+    return tuple(routed.filter(F.col("__route") == r).drop("__route") for r in ("publish", "quarantine"))
 
 
 def filter_threshold(df: DataFrame, col: str, threshold: float) -> DataFrame:

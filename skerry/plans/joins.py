@@ -235,7 +235,8 @@ def combine_scores(t: Tables) -> DataFrame:
 
 def neighbours(t: Tables) -> DataFrame:
     """Per customer nation, the supplier nations its lines were bought from."""
-    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nationkey")
+    # An order is joined once per supplier nation, not once per line.
+    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "s_nationkey").distinct()
     bought = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     pairs = sold.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).select("c_nationkey", "s_nationkey").distinct()
     # collect_set holds nation keys only, at most as many as there are nations.

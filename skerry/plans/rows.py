@@ -307,12 +307,7 @@ JOIN (SELECT event_type, user_id % 7 AS batch, COUNT(*) FILTER (WHERE value IS N
 """)
 def quality_gate(t: Tables) -> DataFrame:
     batches = t.events.withColumn("batch", F.col("user_id") % 7)
-    publish, quarantine = rows.quality_gate(batches, ["event_type", "batch"], "value", 0, 300)
-    routed = [
-        df.select("event_id", "event_type", F.lit(name).alias("route"))
-        for df, name in ((publish, "publish"), (quarantine, "quarantine"))
-    ]
-    return concat_frames(routed)
+    return rows.gate_routes(batches, ["event_type", "batch"], "value", 0, 300).select("event_id", "event_type", "route")
 
 
 @query("""
