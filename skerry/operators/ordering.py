@@ -41,6 +41,29 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
+RANGE = "__range"
+
+
+def range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """`df` dealt by ranges of (keys, order) and stored, with the number of its range in `RANGE`.
+
+    Ranges are as many as shuffle partitions (adaptive execution merges small
+    ones) or as stated, so that a key that holds all rows spreads over them. Pass
+    `slice_by=F.col(RANGE)` to the operators below: the number never decreases
+    with the order inside a key. Stored, because the bounds of ranges are drawn
+    from samples and another evaluation might draw others.
+    """
+    path = scratch(df.sparkSession, "ranges")
+    by = [*[F.col(k) for k in keys], *order]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    dealt.withColumn(RANGE, F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.schema(f"{_fields(df)}, {RANGE} int").parquet(path)
+
+
+def _fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def _tails(df: DataFrame, keys: Sequence[str], order: Column, col: str, slice_col: str) -> DataFrame:
     """Per key and slice, the last row's value."""
     return df.groupBy(*keys, slice_col).agg(F.max_by(col, order).alias("__tail"))

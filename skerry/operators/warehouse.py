@@ -24,10 +24,10 @@ def stage(df: DataFrame, columns: Mapping[str, tuple[str, str]], required: Seque
 
 def build_dimension(
     df: DataFrame, order: Sequence[Column], key: str, num: str | None = None, den: str | None = None,
-    density: str = "density", digits: int = 1,
+    density: str = "density", digits: int = 1, slice_by: Column | None = None,
 ) -> DataFrame:
-    """Dense surrogate keys in the declared order, and a derived density."""
-    keyed = sequence_keys(df, order, key)
+    """Dense surrogate keys in the declared order, and a derived density; `slice_by` as for `sequence_keys`."""
+    keyed = sequence_keys(df, order, key, slice_by)
     return keyed if num is None else keyed.withColumn(density, safe_ratio(F.col(num), F.col(den), digits))
 
 

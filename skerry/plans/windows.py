@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skerry.operators import ranking, statistics as stats, windows
+from skerry.operators import ordering, ranking, statistics as stats, windows
 from skerry.operators.joins import join_latest, join_outer_chain
 from skerry.operators.sets import concat_frames
 from skerry.plans.aggregates import ORDER_LINES_SQL, RATE_NAMES, order_lines
@@ -99,8 +99,9 @@ SELECT record_id, LAST_VALUE(temperature_c IGNORE NULLS) OVER (PARTITION BY stat
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS temperature_c FROM @v_obs
 """)
 def forward_fill_sliced(t: Tables) -> DataFrame:
-    """Observations filled per station in daily slices: no task holds a whole station."""
-    filled = windows.forward_fill(t.v_obs, ["station"], "ts", ["temperature_c"], slice_by=F.to_date("ts"))
+    """Observations filled per station in stored ranges: no task holds a whole station, however many rows it has."""
+    dealt = ordering.range_slices(t.v_obs.select("record_id", "station", "ts", "temperature_c"), ["station"], [F.col("ts")])
+    filled = windows.forward_fill(dealt, ["station"], "ts", ["temperature_c"], slice_by=F.col(ordering.RANGE))
     return filled.select("record_id", "temperature_c")
 
 
@@ -213,11 +214,10 @@ def sequence_keys(t: Tables) -> DataFrame:
 
 @query("SELECT CAST(ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS order_no, o_orderkey FROM orders")
 def sequence_keys_sliced(t: Tables) -> DataFrame:
-    """Dense numbers for a large table: numbered by month, shifted by the rows of earlier months."""
-    out = windows.sequence_keys(
-        t.orders.select("o_orderkey", "o_orderdate"), [F.col("o_orderdate"), F.col("o_orderkey")], "order_no",
-        slice_by=F.trunc("o_orderdate", "month"),
-    )
+    """Dense numbers for a large table: numbered inside stored ranges, shifted by the rows of earlier ones."""
+    order = [F.col("o_orderdate"), F.col("o_orderkey")]
+    dealt = ordering.range_slices(t.orders.select("o_orderkey", "o_orderdate"), [], order)
+    out = windows.sequence_keys(dealt, order, "order_no", slice_by=F.col(ordering.RANGE))
     return out.select(F.col("order_no").cast("bigint").alias("order_no"), "o_orderkey")
 
 

@@ -84,3 +84,15 @@ def test_ranks_over_many_ranges(spark):
     df = spark.range(5000).selectExpr("cast(pmod(hash(id), 700) as double) AS a", "cast(if(id % 3 = 0, null, 7) as double) AS b")
     a = sorted(r["a"] for r in df.collect())
     assert values_at_ranks(df, {"a": [1, 2500, 2501, 5000], "b": [1, 3333]}) == {"a": (a[0], a[2499], a[2500], a[-1]), "b": (7.0, 7.0)}
+
+
+def test_one_key_with_all_rows_spreads(spark):
+    from skerry.operators import ordering
+
+    df = spark.range(4000).selectExpr("1 AS k", "id AS o", "if(id % 97 = 0, id, null) AS v").repartition(5)
+    dealt = ordering.range_slices(df, ["k"], [F.col("o")], ranges=7)
+    assert dealt.select(ordering.RANGE).distinct().count() > 4
+    filled = windows.forward_fill(dealt, ["k"], "o", ["v"], slice_by=F.col(ordering.RANGE)).collect()
+    assert all(r["v"] == r["o"] // 97 * 97 for r in filled) and len(filled) == 4000
+    keyed = warehouse.build_dimension(dealt, [F.col("o")], "n", slice_by=F.col(ordering.RANGE)).collect()
+    assert all(r["n"] == r["o"] + 1 for r in keyed)
