@@ -131,7 +131,7 @@ class TextCnn:
 
 
 def fit(
-    texts: list[str], labels: np.ndarray, shape: Shape = Shape(), epochs: int = 6, rate: float = 0.1, seed: int = 7
+    texts: list[str], labels: np.ndarray, shape: Shape = Shape(), epochs: int = 8, rate: float = 0.5, seed: int = 7
 ) -> TextCnn:
     """Train on whole texts, one text at a time, in a fixed random order; classes weigh the same in total."""
     model = TextCnn.fresh(shape, seed)
