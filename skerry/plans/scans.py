@@ -140,9 +140,16 @@ def parallel_arrays_to_rows(t: Tables) -> DataFrame:
     )
 
 
-@query()
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, 'parquet' AS format, TRUE AS sized, COUNT(*) AS rows FROM {name}" for name in SCHEMAS
+))
 def discover_files(t: Tables) -> DataFrame:
-    return files.discover_files(t.spark, t.sf_dir, ["parquet"]).select("name", "format", "size")
+    """The tables found by listing the folder, each with the rows behind its files."""
+    listed = files.discover_files(t.spark, t.sf_dir, ["parquet"])
+    table = F.regexp_extract("path", r"/([a-z]+)\.parquet(/[^/]*)?$", 1).alias("table_name")
+    found = listed.groupBy(table, "format").agg((F.min("size") > 0).alias("sized"))
+    counts = concat_frames([getattr(t, name).agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name)) for name in SCHEMAS])
+    return found.join(counts, "table_name").select("table_name", "format", "sized", "rows")
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal > 0")

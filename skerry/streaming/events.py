@@ -15,9 +15,6 @@ from skerry.sources.files import upsert_partitions
 from skerry.streaming.runner import run_to_end, write_batch
 from skerry.workspace import path_exists
 
-# Alerts are kept in this many partitions; a batch rewrites those of its cells.
-ALERT_BUCKETS = 32
-
 
 def stream_upsert(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], partition: str, order: Sequence[Column]
@@ -82,10 +79,13 @@ def stream_window_counts(
 
 def stream_burst_alerts(
     stream: DataFrame, cell: Sequence[str], ts: str, root: str, checkpoint: str,
-    span_seconds: int = 86_400, min_count: int = 3,
+    span_seconds: int = 86_400, min_count: int = 3, parts: int = 32,
 ) -> list[dict]:
     """First burst per cell, kept current as events arrive.
 
+    Alerts are kept in `parts` partitions, to be chosen for the number of cells;
+    a batch rewrites those of its cells, and the number stays for the life of `root`.
+
     Each batch adds to an event log partitioned by span-long buckets and to
     counts per cell and bucket. Only buckets whose events, together with those
     of the next one, could hold a burst are read back, and only for the cells
@@ -123,7 +123,7 @@ def stream_burst_alerts(
         stored_log = spark.read.schema(events.schema).parquet(log)
         candidates = stored_log.alias("e").join(wanted.alias("w"), near, "left_semi")
         bursts = burst_clusters(candidates, keys, ts, span_seconds, min_count).withColumn(
-            "part", F.pmod(F.xxhash64(*keys), F.lit(ALERT_BUCKETS)).cast("int")
+            "part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
         )
         upsert_partitions(bursts.withColumn("seen", F.lit(batch_id)), alerts, keys, "part", [F.col("seen")])
 
