@@ -4,11 +4,13 @@ Candidates are dealt into blocks. A task takes one block and one batch of
 queries and builds, for every dimension, the list of the block's rows sorted by
 that component. A query reads the lists in step, best contributions first: by
 value from above where the query's component is positive, from below where it
-is negative. What was read gives every row a lower bound (unread lists at their
-worst entry) and an upper bound (unread lists at their frontier). Reading goes
-deeper until no row outside a small set can reach the k-th lower bound; the
-final scores of that set are then resolved. Rows that tie with the k-th bound
-stay in the set, so ties go to the smaller id.
+is negative. What was read gives every row an upper bound (unread lists at their
+frontier). Lower bounds with unread lists at their worst entry are useless here
+(on dense vectors the k-th stays below zero to the end), so the rows that lead
+by upper bound are resolved early and the k-th of their scores is the bound to
+reach. Reading goes deeper until only a small set of rows can reach it; the
+final scores of that set are then resolved. Rows that tie with the bound stay in
+the set, so ties go to the smaller id.
 
 The best k of every block meet in one window per query.
 """
@@ -21,13 +23,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Rows of a block and queries of a batch: the two bound what one task holds.
-BLOCK_ROWS = 2048
-BATCH_QUERIES = 4096
+# Rows of a block and queries of a batch: the two bound what one task holds. A large block has a high k-th score, so
+# its lists can be left early; a batch is what one task does.
+BLOCK_ROWS = 32_768
+BATCH_QUERIES = 512
 # Shares of the lists read before the bounds are looked at.
-DEPTHS = (0.6, 0.75, 0.9, 1.0)
-# Reading stops when at most this many rows (or a quarter of the block) can still qualify.
-RESOLVE_ROWS = 64
+DEPTHS = (0.5, 0.65, 0.8, 1.0)
+# Reading stops when at most this share of the block, or this many rows, can still qualify.
+RESOLVE_SHARE, RESOLVE_ROWS = 0.25, 64
 MADE = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -52,56 +55,61 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
         order = np.argsort(ids)
-        self.ids, self.rows = ids[order], rows[order]
-        self.rank = np.argsort(self.rows, axis=0, kind="stable").T.astype(np.int32)  # per dimension, ascending
-        self.value = np.take_along_axis(self.rows.T, self.rank, axis=1).astype(np.float64)
-        self.low, self.high = self.value[:, 0], self.value[:, -1]
+        self.ids = ids[order]
+        self.most = float(np.abs(rows).max(initial=0))
+        # A type in which every partial sum of an inner product of two rows is exact; else the integers are kept too.
+        reach = self.most * self.most * rows.shape[1]
+        self.rows = rows[order].astype(np.float32 if reach < 2**24 else np.float64)
+        self.exact = rows[order] if reach >= 2**52 else None
+        self.rank = np.ascontiguousarray(np.argsort(self.rows, axis=0, kind="stable").T)  # per dimension, ascending
+        self.value = np.ascontiguousarray(np.take_along_axis(self.rows.T, self.rank, axis=1))
+
+    def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Final scores of some rows."""
+        if self.exact is None:
+            return (self.rows[rows] @ query.astype(self.rows.dtype)).astype(np.int64)
+        return self.exact[rows] @ query
 
     def top(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows other than `skip`."""
+        """Ids and scores of the k best rows other than `skip`.
+
+        The lower bound of the leaders (the rows with the greatest upper bounds)
+        is their final score; the k-th of these is what an outsider must reach.
+        """
         size = len(self.ids)
-        query = query.astype(np.float64)
-        live = np.flatnonzero(query)
-        few = max(RESOLVE_ROWS, k, size // 4)
-        left = np.arange(size)
-        for share in DEPTHS:
-            if len(live) == 0 or size <= few:
-                break
-            depth = max(1, int(size * share))
-            rank, value, frontier, worst = self._read(query, live, depth)
-            seen = rank.ravel()
-            upper = np.bincount(seen, (value - frontier[:, None]).ravel(), size) + frontier.sum()
-            lower = np.bincount(seen, (value - worst[:, None]).ravel(), size) + worst.sum()
-            own = np.searchsorted(self.ids, skip)
-            if own < size and self.ids[own] == skip:
-                upper[own] = lower[own] = -np.inf
-            bound = np.partition(lower, size - k)[size - k]
-            left = np.flatnonzero(upper >= bound - 0.5)
+        few = max(RESOLVE_ROWS, k + 1, int(size * RESOLVE_SHARE))
+        left = np.flatnonzero(self.ids != skip)
+        for share in DEPTHS if query.any() and size > few else ():
+            upper = self.upper_bounds(query.astype(np.float64), max(1, int(size * share)))[left]
+            leaders = left[np.argpartition(upper, len(left) - 4 * k)[-4 * k :]] if len(left) > 4 * k else left
+            bound = np.partition(self.scores(leaders, query), len(leaders) - k)[len(leaders) - k] if len(leaders) >= k else None
+            if bound is not None:
+                left = left[upper >= bound]
             if len(left) <= few:
                 break
-        left = left[self.ids[left] != skip]
-        # Scores are whole numbers; they are exact in doubles as long as the greatest sum stays under 2^53.
-        scores = self.rows[left] @ query.astype(np.int64) if self._wide(query) else (
-            self.rows[left].astype(np.float64) @ query
-        ).astype(np.int64)
-        best = np.lexsort((self.ids[left], -scores))[:k]
-        return self.ids[left][best], scores[best]
-
-    def _read(self, query: np.ndarray, live: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-        """Row numbers and contributions of the first `depth` entries per list, frontier and worst contributions."""
+        found = self.scores(left, query)
+        best = np.lexsort((self.ids[left], -found))[:k]
+        return self.ids[left][best], found[best]
+
+    def upper_bounds(self, query: np.ndarray, depth: int) -> np.ndarray:
+        """Upper bounds of all rows from the first `depth` entries of every list, best contributions first.
+
+        An unread entry is at best the frontier of its list; a read one adds
+        what it is above the frontier to the sum of its row.
+        """
         size = len(self.ids)
-        up = query[live] > 0
-        rank = np.empty((len(live), depth), np.int32)
-        value = np.empty((len(live), depth))
-        rank[up], rank[~up] = self.rank[live[up], size - depth :], self.rank[live[~up], :depth]
-        value[up], value[~up] = self.value[live[up], size - depth :], self.value[live[~up], :depth]
-        value *= query[live][:, None]
-        edge = np.where(up, self.value[live, size - depth], self.value[live, depth - 1]) * query[live]
-        worst = np.where(up, self.low[live], self.high[live]) * query[live]
-        return rank, value, edge, worst
-
-    def _wide(self, query: np.ndarray) -> bool:
-        return float(np.maximum(np.abs(self.low), np.abs(self.high)) @ np.abs(query)) >= 2.0**52
+        total = np.zeros(size)
+        rest = 0.0
+        for at in np.flatnonzero(query):
+            up = query[at] > 0
+            entries = slice(size - depth, None) if up else slice(None, depth)
+            read = self.value[at, entries].astype(np.float64)
+            frontier = read[0 if up else -1]
+            rest += frontier * query[at]
+            total[self.rank[at, entries]] += (read - frontier) * query[at]
+        # Whole numbers are exact here unless they are huge; then the bound is widened by what rounding may take.
+        slack = 0.5 if self.exact is None else 1e-9 * float(np.abs(query).sum()) * self.most + 1
+        return total + rest + slack
 
 
 def _search(k: int):
