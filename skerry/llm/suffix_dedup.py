@@ -14,8 +14,9 @@ suffix sort is done on hashes of prefixes, one bucket of suffixes at a time:
    apart, whose ranks lie on one diagonal of one earlier document, prove that
    everything between them repeats, without looking at bytes.
 4. The suffixes that are left (at the rims of repeats, and first copies) are
-   dealt into buckets by the hash of their prefix and sorted bucket by bucket;
-   all but the earliest of equal ones are repeats.
+   dealt into buckets by the hash of their prefix and sorted bucket by bucket,
+   first by short hashes, then those with a possible equal by full ones; all but
+   the earliest of equal ones are repeats.
 
 Every message names a hash once per block, with its earliest position there: a
 passage that stands in a third of all documents costs a bucket one entry per
@@ -44,6 +45,8 @@ PERIOD = 31
 BLOCK_BYTES = 4_000_000
 BUCKET_HASHES = 2_000_000
 SEGMENT = 1 << 20
+# Short hashes only sort out what cannot repeat; chance meetings cost work, not correctness.
+SHORT_BITS = 28
 NO_ID = -(2**63)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,25 +113,28 @@ class PrefixHash:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays in one compressed value."""
-    raw = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    head = np.array([len(raw), len(arrays[0])], np.int64).tobytes()
-    return head + pa.compress(raw, codec="zstd", asbytes=True)
+    """Arrays of one length in one value: differences, their bytes by significance, compressed."""
+    planes = []
+    for array in arrays:
+        whole = np.ascontiguousarray(array).view(f"u{array.dtype.itemsize}")
+        steps = np.diff(whole, prepend=whole.dtype.type(0))
+        planes.append(steps.view(np.uint8).reshape(-1, whole.dtype.itemsize).T.tobytes())
+    return len(arrays[0]).to_bytes(8, "little") + squeeze(b"".join(planes), 3)
 
 
 def unpack(value: bytes, *types: str) -> list[np.ndarray]:
-    size, count = np.frombuffer(value[:16], np.int64)
-    raw = pa.decompress(value[16:], int(size), codec="zstd", asbytes=True)
+    count, raw = int.from_bytes(value[:8], "little"), unsqueeze(value[8:])
     out, at = [], 0
-    for t in types:
-        width = np.dtype(t).itemsize * int(count)
-        out.append(np.frombuffer(raw[at : at + width], t))
-        at += width
+    for kind in map(np.dtype, types):
+        planes = np.frombuffer(raw, np.uint8, kind.itemsize * count, at).reshape(kind.itemsize, count)
+        steps = np.ascontiguousarray(planes.T).view(f"u{kind.itemsize}").ravel()
+        out.append(np.cumsum(steps, dtype=steps.dtype).view(kind))
+        at += kind.itemsize * count
     return out
 
 
-def squeeze(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def squeeze(raw: bytes, level: int = 9) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", level).compress(raw, asbytes=True)
 
 
 def unsqueeze(value: bytes) -> bytes:
@@ -207,24 +213,39 @@ MESSAGE = "kind string, block bigint, bucket int, data binary"
 ANSWER = "block bigint, bucket int, data binary"
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
-    return np.unique(hashes.astype(np.uint32))
+def short(hashes: np.ndarray) -> np.ndarray:
+    return hashes.astype(np.uint32) & np.uint32((1 << SHORT_BITS) - 1)
+
+
+def short_messages(kind: str, block: int, hashes: np.ndarray, buckets: int) -> list[tuple]:
+    """Per bucket the short hashes of a block, each once, and whether it repeats inside the block."""
+    hashes, counts = np.unique(hashes, return_counts=True)
+    out = []
+    for bucket, part in _by_bucket(hashes, buckets):
+        found, back = np.unique(short(hashes[part]), return_inverse=True)
+        out.append((kind, block, bucket, pack(found, np.bincount(back, counts[part]) > 1)))
+    return out
+
+
+def told_again(hashes: np.ndarray, answers: list | None, buckets: int) -> np.ndarray:
+    """Which hashes the buckets have named as repeated."""
+    hit = np.zeros(len(hashes), bool)
+    told = {a["bucket"]: a["data"] for a in answers or []}
+    for bucket, part in _by_bucket(hashes, buckets):
+        if bucket in told:
+            hit[part] = np.isin(short(hashes[part]), unpack(told[bucket], "u4")[0])
+    return hit
 
 
 def sample_messages(packed: DataFrame, cover: Cover, buckets: int) -> DataFrame:
-    """Per block and bucket the short hashes of its samples; those that repeat inside the block are marked."""
+    """Per block and bucket the short hashes of its samples."""
     types = to_arrow_schema(StructType.fromDDL(MESSAGE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefix = PrefixHash(cover.width)
         for row in _rows(batches):
             data, sizes = np.frombuffer(unsqueeze(row["data"]), np.uint8), np.array(row["sizes"], np.int64)
-            hashes, counts = np.unique(prefix(data, cover.places(sizes)), return_counts=True)
-            out = []
-            for bucket, part in _by_bucket(hashes, buckets):
-                short, back = np.unique(hashes[part].astype(np.uint32), return_inverse=True)
-                often = np.bincount(back, counts[part]) > 1
-                out.append(("short", row["block"], bucket, pack(short, often)))
+            out = short_messages("short", row["block"], prefix(data, cover.places(sizes)), buckets)
             if out:
                 yield _emit(out, types)
 
@@ -251,28 +272,24 @@ def _messages(table: pa.Table, *types: str) -> tuple[np.ndarray, int, list[list[
 
 def _repeated(table: pa.Table) -> list[tuple]:
     """Per message the short hashes that another block has too, or that repeat in their own."""
-    blocks, bucket, (short, often), starts = _messages(table, "u4", "?")
-    order = np.argsort(short, kind="stable")
-    same = np.zeros(len(short) + 1, bool)
-    same[1:-1] = short[order][1:] == short[order][:-1]
-    again = np.empty(len(short), bool)
+    blocks, bucket, (values, often), starts = _messages(table, "u4", "?")
+    order = np.argsort(values, kind="stable")
+    same = np.zeros(len(values) + 1, bool)
+    same[1:-1] = values[order][1:] == values[order][:-1]
+    again = np.empty(len(values), bool)
     again[order] = same[1:] | same[:-1]
     again |= often
     out = []
-    for at, block in enumerate(blocks):
-        found = short[starts[at] : starts[at + 1]][again[starts[at] : starts[at + 1]]]
+    for block, start, end in zip(blocks, starts[:-1], starts[1:]):
+        found = values[start:end][again[start:end]]
         if len(found):
             out.append((int(block), bucket, pack(found)))
     return out
 
 
-def _answers(row: dict) -> list[tuple[int, bytes]]:
-    return sorted((a["bucket"], a["data"]) for a in row["answers"] or [])
-
-
-def gathered(answers: DataFrame) -> DataFrame:
+def gathered(answers: DataFrame, name: str = "answers") -> DataFrame:
     """All answers to one block; there are at most as many as it sent messages."""
-    return answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
+    return answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
 
 
 class Rest:
@@ -284,7 +301,7 @@ class Rest:
         self.index, self.ids, self.sizes = index, ids, sizes
         self.starts = np.cumsum(sizes) - sizes
         self.data = np.frombuffer(unsqueeze(row["data"]), np.uint8)
-        self.places = np.cumsum(unpack(row["places"], "i8")[0])
+        self.places = unpack(row["places"], "i8")[0]
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, side="right") - 1
@@ -307,11 +324,11 @@ class Rest:
         ]
 
 
-REST = f"{MESSAGE}, docs binary, places binary"
+REST = "block bigint, docs binary, data binary, places binary"
 
 
-def ranked_samples(packed: DataFrame, answers: DataFrame, cover: Cover, buckets: int) -> DataFrame:
-    """Rows of kind `rest` (a `Rest` per block) and `sample` (messages with the full hashes of repeated samples)."""
+def kept_rests(packed: DataFrame, answers: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+    """One `Rest` per block: the documents with samples that repeat, and the places of these."""
     types = to_arrow_schema(StructType.fromDDL(REST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,35 +336,37 @@ def ranked_samples(packed: DataFrame, answers: DataFrame, cover: Cover, buckets:
         for row in _rows(batches):
             data, sizes = np.frombuffer(unsqueeze(row["data"]), np.uint8), np.array(row["sizes"], np.int64)
             places = cover.places(sizes)
-            hashes = prefix(data, places)
-            hit = np.zeros(len(places), bool)
-            told = {bucket: unpack(value, "u4")[0] for bucket, value in _answers(row)}
-            for bucket, part in _by_bucket(hashes, buckets):
-                if bucket in told:
-                    hit[part] = np.isin(hashes[part].astype(np.uint32), told[bucket])
+            places = places[told_again(prefix(data, places), row["answers"], buckets)]
             starts = np.cumsum(sizes) - sizes
-            doc = np.searchsorted(starts, places[hit], side="right") - 1
+            doc = np.searchsorted(starts, places, side="right") - 1
+            # Empty documents share their start with the next one; the last of equal starts has the bytes.
             index = np.unique(doc)
             ids = np.array([NO_ID if i is None else i for i in row["ids"]], np.int64)
             kept = sizes[index]
             body = b"".join(data[starts[i] : starts[i] + sizes[i]].tobytes() for i in index)
-            moved = places[hit] + ((np.cumsum(kept) - kept) - starts[index])[np.searchsorted(index, doc)]
-            rest = {
-                "block": row["block"],
-                "docs": pack(index.astype(np.int64), ids[index], kept),
-                "data": squeeze(body),
-                "places": pack(np.diff(moved, prepend=0)),
-            }
-            own = Rest(rest)
-            first, _ = own.first_ones(hashes[hit])
-            out = [("rest", row["block"], -1, rest["data"], rest["docs"], rest["places"])]
-            out += [(*m, None, None) for m in own.messages("sample", hashes[hit][first], moved[first], buckets)]
-            yield _emit(out, types)
+            moved = places + ((np.cumsum(kept) - kept) - starts[index])[np.searchsorted(index, doc)]
+            docs = pack(index.astype(np.int64), ids[index], kept)
+            yield _emit([(row["block"], docs, squeeze(body), pack(moved))], types)
 
     joined = packed.select("block", "ids", "sizes", "data").join(gathered(answers), "block")
     return joined.mapInArrow(run, REST)
 
 
+def rank_messages(rests: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+    """Per block and bucket the full hashes of the samples of a rest."""
+    types = to_arrow_schema(StructType.fromDDL(MESSAGE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefix = PrefixHash(cover.width)
+        for row in _rows(batches):
+            rest = Rest(row)
+            hashes = prefix(rest.data, rest.places)
+            first, _ = rest.first_ones(hashes)
+            yield _emit(rest.messages("sample", hashes[first], rest.places[first], buckets), types)
+
+    return rests.mapInArrow(run, MESSAGE)
+
+
 def _earliest(table: pa.Table) -> tuple[np.ndarray, int, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
     """For every message entry the index of the earliest entry with its hash, over all blocks, and how many there are."""
     blocks, bucket, (hashes, ids, doc, offset), starts = _messages(table, "u8", "i8", "i8", "u4")
@@ -378,10 +397,12 @@ def _mine(table: pa.Table) -> list[tuple]:
     return [(int(b), bucket, pack(own[s:e])) for b, s, e in zip(blocks, starts[:-1], starts[1:])]
 
 
-def _told(rest: Rest, hashes: np.ndarray, row: dict, buckets: int, *types: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def _told(
+    rest: Rest, hashes: np.ndarray, answers: list | None, buckets: int, *types: str
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """First ones, their numbers per entry, and the answers put back into the order of the first ones."""
     first, number = rest.first_ones(hashes)
-    told = dict(_answers(row))
+    told = {a["bucket"]: a["data"] for a in answers or []}
     out = [np.zeros(len(first), t) for t in types]
     for bucket, part in _by_bucket(hashes[first], buckets):
         for whole, piece in zip(out, unpack(told[bucket], *types)):
@@ -391,9 +412,10 @@ def _told(rest: Rest, hashes: np.ndarray, row: dict, buckets: int, *types: str)
 
 def _covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """True at the positions inside any [start, end)."""
-    step = np.bincount(starts, minlength=size + 1)[: size + 1].astype(np.int32)
-    step -= np.bincount(ends, minlength=size + 1)[: size + 1].astype(np.int32)
-    return np.cumsum(step[:size], dtype=np.int32) > 0
+    step = np.zeros(size + 1, np.int32)
+    np.add.at(step, starts, 1)
+    np.subtract.at(step, ends, 1)
+    return np.cumsum(step, out=step)[:size] > 0
 
 
 def _edges(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -405,7 +427,7 @@ def proven_and_open(rest: Rest, row: dict, cover: Cover, prefix: PrefixHash, buc
     """Starts of strings that the ranks prove to be repeats, and of those that are open (both as masks)."""
     places, size = rest.places, len(rest.data)
     hashes = prefix(rest.data, places)
-    first, number, (name, source, several) = _told(rest, hashes, row, buckets, "u8", "u4", "?")
+    first, number, (name, source, several) = _told(rest, hashes, row["answers"], buckets, "u8", "u4", "?")
     doc = rest.doc_of(places)
     offset = places - rest.starts[doc]
     own = _name(np.full(len(doc), rest.block), rest.index[doc])
@@ -428,7 +450,7 @@ def proven_and_open(rest: Rest, row: dict, cover: Cover, prefix: PrefixHash, buc
 
 
 def open_suffixes(rests: DataFrame, answers: DataFrame, cover: Cover, buckets: int) -> DataFrame:
-    """Rows of kind `proven` (starts and ends of runs of proven repeats) and `suffix` (messages of open ones)."""
+    """Rows of kind `proven` and `open` (runs of such starts) and `short` (messages of the open ones)."""
     types = to_arrow_schema(StructType.fromDDL(MESSAGE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,23 +458,42 @@ def open_suffixes(rests: DataFrame, answers: DataFrame, cover: Cover, buckets: i
         for row in _rows(batches):
             rest = Rest(row)
             proven, left = proven_and_open(rest, row, cover, prefix, buckets)
-            places = np.flatnonzero(left)
-            hashes = whole(rest.data, places)
-            first, _ = rest.first_ones(hashes)
-            out = [
-                ("proven", rest.block, -1, pack(*_edges(proven))),
-                ("open", rest.block, -1, pack(*_edges(left))),
-                *rest.messages("suffix", hashes[first], places[first], buckets),
-            ]
+            out = [("proven", rest.block, -1, pack(*_edges(proven))), ("open", rest.block, -1, pack(*_edges(left)))]
+            out += short_messages("short", rest.block, whole(rest.data, np.flatnonzero(left)), buckets)
             yield _emit(out, types)
 
     return rests.join(gathered(answers), "block").mapInArrow(run, MESSAGE)
 
 
+def left_open(rest: Rest, row: dict, whole: PrefixHash, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the open suffixes whose short hash repeats; the others have no equal."""
+    places = np.flatnonzero(_covered(len(rest.data), *unpack(row["open"], "i8", "i8")))
+    hashes = whole(rest.data, places)
+    hit = told_again(hashes, row["again"], buckets)
+    return places[hit], hashes[hit]
+
+
+def suffix_messages(open_rests: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+    """Per block and bucket the full hashes of the open suffixes that may have an equal."""
+    types = to_arrow_schema(StructType.fromDDL(MESSAGE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = PrefixHash(cover.length)
+        for row in _rows(batches):
+            rest = Rest(row)
+            places, hashes = left_open(rest, row, whole, buckets)
+            first, _ = rest.first_ones(hashes)
+            out = rest.messages("suffix", hashes[first], places[first], buckets)
+            if out:
+                yield _emit(out, types)
+
+    return open_rests.where("again IS NOT NULL").mapInArrow(run, MESSAGE)
+
+
 RESULT = "block bigint, at bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def removals(rests: DataFrame, runs: DataFrame, answers: DataFrame, cover: Cover, buckets: int, keep_text: bool) -> DataFrame:
+def removals(open_rests: DataFrame, answers: DataFrame, cover: Cover, buckets: int, keep_text: bool) -> DataFrame:
     """(block, at, n_removed, n_spans, kept_sha256) of every document of a rest; `kept` bytes follow if asked for."""
     schema = RESULT + ", kept binary" * keep_text
     types = to_arrow_schema(StructType.fromDDL(schema))
@@ -463,11 +504,10 @@ def removals(rests: DataFrame, runs: DataFrame, answers: DataFrame, cover: Cover
             rest = Rest(row)
             size = len(rest.data)
             repeats = _covered(size, *unpack(row["proven"], "i8", "i8"))
-            places = np.flatnonzero(_covered(size, *unpack(row["open"], "i8", "i8")))
-            if len(places):
-                first, number, (mine,) = _told(rest, whole(rest.data, places), row, buckets, "?")
-                earliest = mine[number] & (first[number] == np.arange(len(places)))
-                repeats[places[~earliest]] = True
+            places, hashes = left_open(rest, row, whole, buckets)
+            first, number, (mine,) = _told(rest, hashes, row["answers"], buckets, "?")
+            earliest = mine[number] & (first[number] == np.arange(len(places)))
+            repeats[places[~earliest]] = True
             starts, ends = _edges(repeats)
             gone = _covered(size, starts, ends - 1 + cover.length)
             out = []
@@ -483,9 +523,7 @@ def removals(rests: DataFrame, runs: DataFrame, answers: DataFrame, cover: Cover
             if out:
                 yield _emit(out, types)
 
-    kinds = [runs.where(F.col("kind") == k).select("block", F.col("data").alias(k)) for k in ("proven", "open")]
-    joined = rests.join(kinds[0], "block").join(kinds[1], "block").join(gathered(answers), "block", "left")
-    return joined.mapInArrow(run, schema)
+    return open_rests.join(gathered(answers), "block", "left").mapInArrow(run, schema)
 
 
 def deduplicate(
@@ -515,12 +553,15 @@ def deduplicate(
         return messages.select("block", "bucket", "data").groupBy("bucket").applyInArrow(_group_answer(work), ANSWER)
 
     often = per_bucket(sample_messages(packed, cover, buckets), _repeated)
-    second = stored(ranked_samples(packed, often, cover, buckets), "samples")
-    rests = second.where("kind = 'rest'").select("block", "data", "docs", "places")
-    ranks = per_bucket(second.where("kind = 'sample'"), _ranks)
-    third = stored(open_suffixes(rests, ranks, cover, buckets), "suffixes")
-    mine = per_bucket(third.where("kind = 'suffix'"), _mine)
-    changed = removals(rests, third, mine, cover, buckets, keep_text)
+    rests = stored(kept_rests(packed, often, cover, buckets), "rests")
+    ranks = per_bucket(rank_messages(rests, cover, buckets), _ranks)
+    runs = stored(open_suffixes(rests, ranks, cover, buckets), "runs")
+    again = per_bucket(runs.where("kind = 'short'"), _repeated)
+    kinds = [runs.where(F.col("kind") == k).select("block", F.col("data").alias(k)) for k in ("proven", "open")]
+    told = kinds[0].join(kinds[1], "block").join(gathered(again, "again"), "block", "left")
+    told = stored(told, "told")
+    mine = per_bucket(suffix_messages(rests.join(told, "block"), cover, buckets), _mine)
+    changed = removals(rests.join(told, "block"), mine, cover, buckets, keep_text)
     parts = F.posexplode(F.arrays_zip("ids", "sizes", "hashes")).alias("at", "doc")
     every = packed.select("block", parts).select("block", F.col("at").cast("long").alias("at"), "doc.ids", "doc.sizes", "doc.hashes")
     none = F.lit(0).cast("long")
