@@ -75,16 +75,26 @@ class TestTokenCounts:
 
 
 class TestByteBpe:
-    def test_equals_the_rank_library(self, codec, reference):
+    def test_equals_the_rank_library(self, codec, reference, monkeypatch):
         texts = [noise(s, 120, MIXED + ["  ", "   ", "\r\n", "aaaa", "====", "😀"]) for s in range(2000)]
         texts += ["a" * n for n in range(1, 80)] + [" " * n + "x" for n in range(1, 40)] + ["\n" * n for n in range(1, 30)]
         assert codec.encode_batch(texts) == [reference.encode_ordinary(t) for t in texts]
-        assert [[i for p in parts for i in p] for parts in byte_bpe.piecewise(codec)(texts)] == codec.encode_batch(texts)
+        pieces = byte_bpe.Pieces(codec)
+        assert [pieces.encode(t) for t in texts] == codec.encode_batch(texts)
+        monkeypatch.setattr(byte_bpe, "MEMO_PIECES", 500)
+        monkeypatch.setattr(byte_bpe, "CHAIN_PIECES", 7)
+        forgetful = byte_bpe.Pieces(codec)
+        for start in range(0, len(texts), 50):
+            part = texts[start : start + 50]
+            for text, own in zip(part, forgetful.split(part)):
+                assert b"".join(forgetful.decoded[p] for p in own) == text.encode()
+                assert ",".join(forgetful.listed[p] for p in own) == ",".join(map(str, reference.encode_ordinary(text)))
 
     def test_every_character(self, codec, reference):
         texts = [f"a{chr(c)} {chr(c)}1" for c in range(0, 0x30000) if not 0xD800 <= c <= 0xDFFF]
-        pieces = byte_bpe.piecewise(codec)(texts)
-        assert [[i for p in parts for i in p] for parts in pieces] == [reference.encode_ordinary(t) for t in texts]
+        pieces = byte_bpe.Pieces(codec)
+        pieces.split(texts)
+        assert [pieces.encode(t) for t in texts] == [reference.encode_ordinary(t) for t in texts]
 
     def test_split_characters(self, codec):
         text = "x 😀 日本é"
@@ -232,3 +242,31 @@ class TestDecontaminate:
         none = spark.createDataFrame([], "item_id long, text string")
         assert [r["n_hit"] for r in decontaminate.find_contamination(docs(spark, "a b"), none).collect()] == [0]
         assert decontaminate.find_contamination(docs(spark).limit(0), none).count() == 0
+
+
+def contamination(frame):
+    items = frame.sparkSession.createDataFrame([(1, "one two three"), (None, "two"), (2, None)], "item_id long, text string")
+    return decontaminate.find_contamination(frame, items)
+
+
+ODD = {
+    "tokens": lambda df: token_counts.count_tokens(df, WORDS),
+    "secrets": secret_scan.scan_secrets,
+    "private": lambda df: pii.pseudonymise(df, "key"),
+    "bytes": lambda df: byte_bpe.round_trip(df, RANKS, public_tokenizers.PATTERN),
+    "contamination": contamination,
+}
+
+
+@pytest.mark.parametrize("name", list(ODD))
+def test_odd_rows(spark, name):
+    """NULL ids and texts, repeated rows, a very long text, columns named like results, and no rows at all."""
+    long = "one two three 4111111111111111 " * 20_000 + "x" * 70_000
+    rows = [(1, "one two three"), (1, "one two three"), (None, "one two three"), (None, None), (2, None), (3, ""), (4, long)]
+    names = "n_tokens int, spans int, text_key string, masked int, items int, block int"
+    frame = spark.createDataFrame([(i, t, 1, 2, "k", 3, 4, 5) for i, t in rows], f"doc_id long, text string, {names}")
+    got = ODD[name](frame.repartition(2)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in rows)
+    same = [tuple(r)[1:] for r in got if r["doc_id"] == 1]
+    assert same[0] == same[1] and same[0] in [tuple(r)[1:] for r in got if r["doc_id"] is None]
+    assert ODD[name](frame.limit(0)).count() == 0
