@@ -61,30 +61,30 @@ RECORD = "c_custkey bigint, c_name string, c_acctbal double"
 
 
 def landed_pages(t: Tables, last_empty: bool) -> DataFrame:
-    """Customers as pages `[metadata, records]` of five hundred, one file per page."""
+    """Customers as pages `[metadata, records]` of a hundred, one file per page."""
     path = scratch(t.spark, "pages")
     record = F.struct("c_custkey", "c_name", "c_acctbal")
-    pages = t.customer.groupBy((F.floor(F.col("c_custkey") / 500) + 1).cast("int").alias("page")).agg(
+    pages = t.customer.groupBy((F.floor(F.col("c_custkey") / 100) + 1).cast("int").alias("page")).agg(
         F.collect_list(record).alias("records")
     )
-    total = t.customer.agg((F.floor(F.max("c_custkey") / 500) + 1).cast("int")).scalar()
+    total = t.customer.agg((F.floor(F.max("c_custkey") / 100) + 1).cast("int")).scalar()
     body = F.to_json("records")
     if last_empty:
         body = F.when(F.col("page") == total, "null").otherwise(body)
-    meta = F.to_json(F.struct("page", total.alias("pages"), F.lit(500).alias("per_page")))
+    meta = F.to_json(F.struct("page", total.alias("pages"), F.lit(100).alias("per_page")))
     pages.select(F.concat(F.lit("["), meta, F.lit(","), body, F.lit("]")).alias("value")).write.option(
         "maxRecordsPerFile", 1
     ).text(path)
     return files.scan_envelope_pages(t.spark, path, RECORD)
 
 
-@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey // 500 < (SELECT MAX(c_custkey) // 500 FROM customer)")
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey // 100 < (SELECT MAX(c_custkey) // 100 FROM customer)")
 def scan_envelope_pages(t: Tables) -> DataFrame:
     """The last page has no records, which ends the set before it."""
     return payloads.page_records(landed_pages(t, last_empty=True))
 
 
-@query("SELECT MAX(c_custkey) // 500 + 1 AS landed, CAST(MAX(c_custkey) // 500 + 1 AS INT) AS announced, TRUE AS complete FROM customer")
+@query("SELECT MAX(c_custkey) // 100 + 1 AS landed, CAST(MAX(c_custkey) // 100 + 1 AS INT) AS announced, TRUE AS complete FROM customer")
 def page_completeness(t: Tables) -> DataFrame:
     return payloads.page_completeness(landed_pages(t, last_empty=False))
 

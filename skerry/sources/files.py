@@ -244,6 +244,13 @@ def features(df: DataFrame, lon: str, lat: str, properties: Sequence[str], depth
     return df.dropna(subset=[lon, lat]).select(F.to_json(feature).alias("value"))
 
 
+def geometry_features(df: DataFrame, geometry: str, properties: Sequence[str]) -> DataFrame:
+    """One GeoJSON Feature per row around a geometry given as JSON text of any type; rows without one are dropped."""
+    shape = F.try_parse_json(F.col(geometry))
+    feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*properties).alias("properties"))
+    return df.filter(shape.isNotNull()).select(F.to_json(feature).alias("value"))
+
+
 def write_features(df: DataFrame, path: str, lon: str, lat: str, properties: Sequence[str], depth: str | None = None) -> None:
     """Features as text, one to a line, so the output splits and never sits in one task."""
     features(df, lon, lat, properties, depth).write.mode("overwrite").text(path)

@@ -26,8 +26,9 @@ def envelope_pages(df: DataFrame, doc: str, record: str) -> DataFrame:
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Records of all pages up to the first one without records, which ends the set."""
-    stop = pages.filter(F.col("records").isNull()).agg(F.min("page")).scalar()
+    """Records of all pages up to the end of the set: the first page without records, or the last one announced."""
+    ended = F.when(F.col("records").isNull(), F.col("page")).when(F.col("page") >= F.col("pages"), F.col("page") + 1)
+    stop = pages.agg(F.min(ended)).scalar()
     kept = pages.withColumn("__stop", stop).filter(F.col("__stop").isNull() | (F.col("page") < F.col("__stop")))
     return kept.select(F.inline("records"))
 

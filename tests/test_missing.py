@@ -96,3 +96,20 @@ def test_one_key_with_all_rows_spreads(spark):
     assert all(r["v"] == r["o"] // 97 * 97 for r in filled) and len(filled) == 4000
     keyed = warehouse.build_dimension(dealt, [F.col("o")], "n", slice_by=F.col(ordering.RANGE)).collect()
     assert all(r["n"] == r["o"] + 1 for r in keyed)
+
+
+def test_any_geometry_passes_through(spark):
+    import json
+
+    shapes = ['{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}', '{"type":"Point","coordinates":[1.5,2]}', None, "broken {"]
+    df = spark.createDataFrame(list(enumerate(shapes)), "id int, geo string")
+    found = [json.loads(r["value"]) for r in files.geometry_features(df, "geo", ["id"]).collect()]
+    assert [(f["properties"]["id"], f["geometry"]) for f in found] == [(i, json.loads(shapes[i])) for i in (0, 1)]
+    assert {r["geometry_type"]: r["count"] for r in files.geometry_counts(files.geometry_features(df, "geo", ["id"]), "value").collect()} == {"Polygon": 1, "Point": 1}
+
+
+def test_pages_end_with_the_announced_number(spark):
+    from skerry.sources import payloads
+
+    pages = spark.createDataFrame([(1, 2, [("a",)]), (2, 2, [("b",)]), (3, 2, [("c",)])], "page int, pages int, records array<struct<v: string>>")
+    assert sorted(r["v"] for r in payloads.page_records(pages).collect()) == ["a", "b"]

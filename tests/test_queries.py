@@ -21,7 +21,7 @@ def duck():
 def test_matches_sql(spark, duck, name):
     query = REGISTRY[name]
     problem = difference(duck, query.build(Tables(spark, SF_DIR)), query.oracle)
-    assert problem is None or problem == "no rows on either side", problem
+    assert problem is None, problem
 
 
 @pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.oracle])
