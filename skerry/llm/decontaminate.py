@@ -15,15 +15,16 @@ block however large the benchmark grows. Each block is broadcast; its bound is
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from skerry.llm.shared import SLICE_ROWS, keyed_texts, stored
+from skerry.llm.shared import SLICE_ROWS, keyed_texts, map_slices, stored, with_values
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -303,23 +304,25 @@ def remove_contamination(
     return out
 
 
-def _clean_block(docs, held, window: int, max_coverage: float, text_col: str, length_col: str | None) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _clean_block(
+    docs: DataFrame, held: Broadcast, window: int, max_coverage: float, text_col: str, length_col: str | None
+) -> DataFrame:
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         automaton = Automaton(held.value, window)
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
-                old = part.column(text_col).to_pylist()
-                new = [t if t is None else clean_text(t, automaton, max_coverage) for t in old]
-                part = part.set_column(part.schema.get_field_index(text_col), text_col, pa.array(new, pa.string()))
-                if length_col:
-                    size = part.column(length_col).to_pylist()
-                    size = [s if n is None or n == o else len(n) for s, o, n in zip(size, old, new)]
-                    field = part.schema.field(length_col)
-                    part = part.set_column(part.schema.get_field_index(length_col), field, pa.array(size, field.type))
-                yield part.filter(pa.array([n is not None or o is None for o, n in zip(old, new)]))
-
-    return docs.mapInArrow(run, docs.schema)
+
+        def clean(part: pa.RecordBatch) -> pa.RecordBatch:
+            old = part.column(text_col).to_pylist()
+            new = [t if t is None else clean_text(t, automaton, max_coverage) for t in old]
+            part = with_values(part, text_col, new)
+            if length_col:
+                size = part.column(length_col).to_pylist()
+                size = [s if n is None or n == o else len(n) for s, o, n in zip(size, old, new)]
+                part = with_values(part, length_col, size)
+            return part.filter(pa.array([n is not None or o is None for o, n in zip(old, new)], pa.bool_()))
+
+        return clean
+
+    return map_slices(docs, make)
 
 
 def items_digest(items: list[int]) -> str:

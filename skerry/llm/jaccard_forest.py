@@ -31,8 +31,8 @@ THRESHOLD = 0.8
 TREES = 64
 DEEPEST = 10
 TARGET = 0.9999
-BLOCK_NODES = 1024
-MEMO_WORDS = 300_000
+BLOCK_NODES = 512
+MEMO_WORDS = 150_000
 # Words: letters, digits and everything above ASCII; case is folded.
 SEPARATORS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 # Fixed odd multipliers by word position, drawn once from a seed.
@@ -179,8 +179,10 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, threshold: float, limit:
             present = np.zeros((count, step), np.float32)
             present[owner[lo:hi], column[lo:hi] - first] = 1
             shared += present @ present.T
-    together = sizes[:, None] + sizes[None, :] - shared
-    linked = shared >= threshold * together - 1e-6
+    # shared / (a + b - shared) >= threshold, without a division
+    least = (sizes * threshold).astype(np.float32)
+    shared *= 1 + threshold
+    linked = shared >= least[:, None] + least[None, :] - 1e-3
     np.fill_diagonal(linked, False)
     return linked
 
@@ -201,9 +203,9 @@ def _verify(threshold: float):
         if table.column("left")[0].as_py() != table.column("right")[0].as_py():
             linked &= blocks[:, None] != blocks[None, :]  # pairs inside a block have their own task
         links = linked @ copies
-        place = np.arange(len(nodes))
+        place = np.arange(len(nodes), dtype=np.int32)
         while True:  # the least place reachable over links
-            best = np.minimum(place, np.where(linked, place[None, :], len(nodes)).min(axis=1))
+            best = np.minimum(place, np.where(linked, place[None, :], np.int32(len(nodes))).min(axis=1))
             best = best[best]
             if (best == place).all():
                 break

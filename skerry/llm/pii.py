@@ -18,9 +18,10 @@ from bisect import bisect_left
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
-from skerry.llm.shared import keyed_texts, map_texts
+from skerry.llm.shared import keyed_texts, map_slices, map_texts, with_values
 
 ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
@@ -278,9 +279,9 @@ def pseudonymise(
 def pseudonymise_column(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """`docs` with the text column replaced by its pseudonymised form, in one narrow pass; NULL stays NULL."""
 
-    @F.pandas_udf("string")
-    def masked(texts):
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         feistel = Feistel(key.encode())
-        return texts.map(lambda t: None if t is None else _replaced(t, find_private(t, feistel)))
+        masked = lambda t: None if t is None else _replaced(t, find_private(t, feistel))
+        return lambda part: with_values(part, text_col, list(map(masked, part.column(text_col).to_pylist())))
 
-    return docs.withColumn(text_col, masked(F.col(f"`{text_col}`")))
+    return map_slices(docs, make)

@@ -50,6 +50,24 @@ def map_texts(
     return docs.select(*keep, "text").mapInArrow(run, f"{fields}, {schema}")
 
 
+def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """Rows of `df` changed or filtered a few at a time; `make` is called once per task, the columns stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield work(batch.slice(start, SLICE_ROWS))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def with_values(part: pa.RecordBatch, name: str, values: list) -> pa.RecordBatch:
+    """`part` with other values in one of its columns."""
+    at = part.schema.get_field_index(name)
+    return part.set_column(at, part.schema.field(at), pa.array(values, part.schema.field(at).type))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: the lineage is cut and the files outlive executors."""
     path = scratch(df.sparkSession, label)

@@ -15,17 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from typing import Iterator  # pandas_udf reads this annotation
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skerry.llm.shared import map_texts
+from skerry.llm.shared import map_slices, map_texts
 
 MAX_ROWS = 8_000
-MEMO_WORDS = 150_000
+MEMO_WORDS = 100_000
 # Upper- and lower-case of one word are one word; everything outside letters, digits and above ASCII separates.
 SEPARATORS = bytes(b if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -136,8 +135,8 @@ def fit(
     """Train on whole texts, one text at a time, in a fixed random order; classes weigh the same in total."""
     model = TextCnn.fresh(shape, seed)
     number: dict[bytes, int] = {}
-    documents = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
-    features = np.array([shape.features(w) for w in number], np.int64).reshape(-1, 1 + len(shape.stems))
+    documents = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in texts]
+    features = np.array([shape.features(w) for w in number], np.int32).reshape(-1, 1 + len(shape.stems))
     grown = [np.full(a.shape, 1e-2, np.float32) for a in (model.table, model.project, model.bias, model.weight)]
     grown_offset = 1e-2
     share = float(np.clip(labels.mean() if len(labels) else 0.5, 0.02, 0.98))
@@ -298,10 +297,14 @@ def reject(docs: DataFrame, model: TextCnn, text_col: str = "text", lang_col: st
     """The rows of `docs` whose score is under the threshold of their language; one narrow pass, all columns kept."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = held.value.scorer()
-        for texts in batches:
-            yield pd.Series(run([t or "" for t in texts]))
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        limits, run = held.value.thresholds, held.value.scorer()
+
+        def keep(part: pa.RecordBatch) -> pa.RecordBatch:
+            scores = run([t or "" for t in part.column(text_col).to_pylist()])
+            most = [limits.get(lang, limits[None]) for lang in part.column(lang_col).to_pylist()]
+            return part.filter(pa.array(scores < np.array(most)))
+
+        return keep
 
-    return docs.where(score(F.col(f"`{text_col}`")) < _limit(model, lang_col))
+    return map_slices(docs, make)
