@@ -10,7 +10,7 @@ with the reference library in the tests.
 
 Texts are cut before white space that follows something else; no match of the
 splitting pattern lies across such a position and none looks behind it. Each
-distinct piece is encoded by the library once per task while it is remembered.
+distinct piece is encoded by the library once per worker while it is remembered.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable
+from functools import cache
 
+import numpy as np
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
@@ -28,7 +29,10 @@ from skerry.llm.shared import keyed_texts, map_texts
 # White space of the splitting pattern (Unicode White_Space); fixed values.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-MEMO_PIECES = 250_000
+WHITE_CHARACTERS = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))
+# Pieces remembered per worker and generation, and pieces encoded as one text.
+MEMO_PIECES = 75_000
+CHAIN_PIECES = 20_000
 
 
 def byte_characters() -> list[str]:
@@ -82,7 +86,7 @@ class ByteBpe:
         self.bytes_of = {rank: bytes(self.byte_of[c] for c in token) for token, rank in vocabulary.items()}
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_with_offsets(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(id, first byte, end byte, first character, end character); tokens of one split character share its offsets."""
@@ -100,19 +104,61 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
-def piecewise(codec: ByteBpe) -> Callable[[list[str]], list[list[tuple[int, ...]]]]:
-    """Ids of each text as a list of the ids of its pieces."""
-    known: dict[str, tuple[int, ...]] = {}
+class Pieces:
+    """Encoded pieces of texts, remembered: their ids as listed text, and the bytes decoded from the ids.
 
-    def encode(texts: list[str]) -> list[list[tuple[int, ...]]]:
-        if len(known) > MEMO_PIECES:
-            known.clear()
-        pieces = list(map(PIECES.findall, texts))
-        fresh = list({p for own in pieces for p in own if p not in known})
-        known.update(zip(fresh, map(tuple, codec.encode_batch(fresh))) if fresh else ())
-        return [list(map(known.__getitem__, own)) for own in pieces]
+    What was used since the last change of generation stays; the rest of the
+    older one goes when the newer one is full.
+    """
 
-    return encode
+    def __init__(self, codec: ByteBpe) -> None:
+        self.codec = codec
+        self.listed: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.older: tuple[dict[str, str], dict[str, bytes]] = ({}, {})
+
+    def split(self, texts: list[str]) -> list[list[str]]:
+        """The pieces of each text, all of them known afterwards."""
+        if len(self.listed) > MEMO_PIECES:
+            self.older, self.listed, self.decoded = (self.listed, self.decoded), {}, {}
+        pieces = list(map(PIECES.findall, texts))
+        listed, decoded = self.older
+        fresh = []
+        for piece in {p for own in pieces for p in own if p not in self.listed}:
+            if piece in listed:
+                self.listed[piece], self.decoded[piece] = listed[piece], decoded[piece]
+            else:
+                fresh.append(piece)
+        # Between a character that is no white space and white space the splitting pattern always cuts, so pieces
+        # of that kind are encoded as one text and told apart by their bytes.
+        chained = [p for p in fresh if p[0] in WHITE_CHARACTERS and p[-1] not in WHITE_CHARACTERS]
+        for start in range(0, len(chained), CHAIN_PIECES):
+            self._learn_chain(chained[start : start + CHAIN_PIECES])
+        single = [p for p in fresh if p not in self.listed]
+        for piece, ids in zip(single, self.codec.encode_batch(single) if single else ()):
+            self.listed[piece], self.decoded[piece] = ",".join(map(str, ids)), self.codec.decode_bytes(ids)
+        return pieces
+
+    def _learn_chain(self, chain: list[str]) -> None:
+        ids = self.codec.encode_batch(["".join(chain)])[0]
+        tokens, names = list(map(self.codec.bytes_of.__getitem__, ids)), list(map(str, ids))
+        ends = np.cumsum([len(t) for t in tokens])
+        edges = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in chain])) + 1
+        first = 0
+        for piece, end in zip(chain, edges.tolist()):
+            self.listed[piece], self.decoded[piece] = ",".join(names[first:end]), b"".join(tokens[first:end])
+            first = end
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of a text, put together from its pieces."""
+        own = self.split([text])[0]
+        return [int(i) for piece in own for i in self.listed[piece].split(",")]
+
+
+@cache
+def pieces_of(path: str, pattern: str) -> Pieces:
+    """One codec per Python worker, kept from task to task."""
+    return Pieces(ByteBpe(path, pattern))
 
 
 def round_trip(
@@ -124,16 +170,17 @@ def round_trip(
     """
 
     def make():
-        codec = ByteBpe(vocabulary, pattern)
-        encode = piecewise(codec)
+        pieces = pieces_of(vocabulary, pattern)
 
         def work(texts: list[str]) -> list[tuple]:
             rows = []
-            for parts in encode(texts):
-                ids = [i for part in parts for i in part]
-                listed = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-                decoded = hashlib.sha256(codec.decode_bytes(ids)).hexdigest()
-                rows.append((len(ids), listed, decoded, *([ids] if keep_ids else [])))
+            for own in pieces.split(texts):
+                listed = ",".join(map(pieces.listed.__getitem__, own))
+                decoded = b"".join(map(pieces.decoded.__getitem__, own))
+                digests = hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+                count = listed.count(",") + 1 if listed else 0
+                ids = [np.fromstring(listed, np.int64, sep=",") if listed else np.empty(0, np.int64)] if keep_ids else []
+                rows.append((count, *digests, *ids))
             return rows
 
         return work
