@@ -11,9 +11,11 @@ the other pages are revisits that refer to it.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -94,18 +96,28 @@ def _record_id(page, sha1: str, copy: int) -> str:
 
 
 class ArchiveWriter:
-    """Writes records one chunk after another to one archive."""
+    """Writes records one chunk after another to one archive; each record is a gzip member of its own."""
 
     def __init__(self, sink: BinaryIO) -> None:
         self.sink, self.bytes, self.records, self.open = sink, 0, 0, False
+        self.packer = zlib.compressobj(wbits=31)
         info = b"software: skerry\r\nformat: WARC File Format 1.1\r\n"
         fields = [("WARC-Type", "warcinfo"), ("WARC-Date", ARCHIVE_DATE), ("WARC-Record-ID", _record_id("info", "", 0))]
-        self._put(_head([*fields, ("Content-Type", "application/warc-fields")], len(info)) + info + b"\r\n\r\n")
+        self._put(_head([*fields, ("Content-Type", "application/warc-fields")], len(info)) + info)
+        self._close_member()
 
     def _put(self, data: bytes) -> None:
+        self._write(self.packer.compress(data))
+
+    def _write(self, data: bytes) -> None:
         self.sink.write(data)
         self.bytes += len(data)
 
+    def _close_member(self) -> None:
+        self._put(b"\r\n\r\n")
+        self._write(self.packer.flush())
+        self.packer = zlib.compressobj(wbits=31)
+
     def begin(self, page, url: str | None, sha1: str, size: int, response, copy: int) -> None:
         """Start the record of a page; a revisit has a header only."""
         revisit = copy > 0 or page != response
@@ -136,7 +148,7 @@ class ArchiveWriter:
 
     def end(self) -> None:
         if self.open:
-            self._put(b"\r\n\r\n")
+            self._close_member()
             self.open = False
 
 
@@ -160,7 +172,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, chunk: i
     types = to_arrow_schema(StructType.fromDDL(MANIFEST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = f"{folder}/part-{uuid.uuid4().hex}.warc"
+        path = f"{folder}/part-{uuid.uuid4().hex}.warc.gz"
         sink = writer = None
         key = decision = None
         written = -1
@@ -169,7 +181,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, chunk: i
                 page, url, sha1, size, number, data, copies, response = (c[at].as_py() for c in batch.columns)
                 if writer is None:
                     system, name = open_system(path)
-                    sink = system.open_output_stream(name)
+                    sink = system.open_output_stream(name, compression=None)
                     writer = ArchiveWriter(sink)
                 if number == -1:
                     writer.end()
@@ -251,7 +263,7 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES, with_data: bool
 
     def rows(path: str) -> Iterator[tuple]:
         system, name = open_system(path)
-        with system.open_input_file(name) as raw, io.BufferedReader(raw, 1 << 20) as source:
+        with system.open_input_file(name) as raw, gzip.GzipFile(fileobj=raw) as members, io.BufferedReader(members) as source:
             for fields, at, last, done, digest, data in stream_records(source, chunk):
                 if fields["warc-type"] == "warcinfo":
                     continue

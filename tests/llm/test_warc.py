@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 
@@ -56,5 +57,6 @@ def test_broken_archive_is_an_error():
     writer = warc.ArchiveWriter(sink)
     writer.begin(1, "u", hashlib.sha1(b"abc").hexdigest(), 3, 1, 0)
     writer.chunk(b"ab")
+    writer.end()
     with pytest.raises(ValueError):
-        list(warc.stream_records(io.BytesIO(sink.getvalue())))
+        list(warc.stream_records(gzip.GzipFile(fileobj=io.BytesIO(sink.getvalue()))))
