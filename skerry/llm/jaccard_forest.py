@@ -295,7 +295,8 @@ def _verified(texts: DataFrame, wanted: DataFrame, threshold: float, shingle: in
                 columns = [*(part.column(c) for c in names), pa.array([f.tobytes() for f in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema=types).filter(own)
 
-    rows = texts.join(wanted, "doc_id").select("text", *names).mapInArrow(shingled, fields)
+    # The wanted documents grow with the corpus, so neither side is ever broadcast.
+    rows = texts.join(wanted.hint("merge"), "doc_id").select("text", *names).mapInArrow(shingled, fields)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = rows.withColumn("other", other).select(
         "node", "copies", "block", "hashes", "group", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
@@ -311,7 +312,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) ->
     found = near_duplicates(docs, id_col=id_col, **options)
     heads = stored(found.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("__rows")), "heads")
     key = heads.withColumnRenamed("doc_id", "__head")
-    named = docs.join(key, F.col(f"`{id_col}`") == key["__head"]).drop("__head")
+    # One head per class grows with the corpus too.
+    named = docs.join(key.hint("merge"), F.col(f"`{id_col}`") == key["__head"]).drop("__head")
     kept = named.drop("__rows") if heads.where("__rows > 1").isEmpty() else _first_of_repeated(named, docs.columns, id_col)
     return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull())).select(*[f"`{c}`" for c in docs.columns])
 

@@ -12,13 +12,14 @@ ASCII white space or digit takes part in the canonical composition of the
 characters before it. Whatever stands left of an ASCII space or digit therefore
 cannot change a token from there on. The same fact lets shorter texts share the
 counts of their white-space separated pieces: each distinct piece is encoded by
-the library once per task as long as it is remembered.
+the library once per worker as long as it is remembered.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame
 
@@ -28,8 +29,8 @@ from skerry.llm.shared import keyed_texts, map_texts
 CUTS = frozenset(" \t\n\r0123456789")
 HUGE_CHARS = 65_536
 OVERLAP_CHARS = 512
-# Pieces remembered per task; beyond it the memory starts anew.
-MEMO_PIECES = 400_000
+# Pieces remembered per worker; beyond it the memory starts anew.
+MEMO_PIECES = 250_000
 
 Token = tuple[int, int, int]
 
@@ -96,8 +97,9 @@ def count_resynchronised(
     return total + len(_inside(left, cut, size + 1))
 
 
+@cache
 def text_counter(path: str, chunk: int = HUGE_CHARS, overlap: int = OVERLAP_CHARS) -> Callable[[list[str]], list[int]]:
-    """A function from texts to token counts with a bounded memory of pieces."""
+    """A function from texts to token counts with a bounded memory of pieces, one per Python worker."""
     tokenizer = load_tokenizer(path)
     known: dict[bytes, int] = {}
 

@@ -297,7 +297,9 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES, with_data: bool
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*held), types.types)], schema=types)
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(run, schema)
+    # One task per archive: a stated number, because adaptive execution would merge so few bytes into one task.
+    archives = manifest.count()
+    return manifest.select("path").repartition(max(1, archives)).mapInArrow(run, schema)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, chunk: int = CHUNK_BYTES) -> DataFrame:
