@@ -46,5 +46,12 @@ def key_intersection(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
     return reduce(DataFrame.intersect, [df.select(list(keys)).distinct() for df in frames])
 
 
+def common_keys(df: DataFrame, keys: Sequence[str], tag: str, values: Sequence[object]) -> DataFrame:
+    """Distinct keys that occur with every value of a tag column: the intersection of slices of one table, in one pass."""
+    has = [F.max((F.col(tag) == v).cast("int")).alias(f"__has{i}") for i, v in enumerate(values)]
+    seen = df.filter(F.col(tag).isin(list(values))).groupBy(*keys).agg(*has)
+    return seen.filter(" AND ".join(f"__has{i} = 1" for i in range(len(values)))).select(*keys)
+
+
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()

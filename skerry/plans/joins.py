@@ -314,8 +314,7 @@ SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' INTERSECT SELECT l_partk
 INTERSECT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N'
 """)
 def key_intersection(t: Tables) -> DataFrame:
-    parts = [t.lineitem.filter(F.col("l_returnflag") == flag) for flag in ("R", "A", "N")]
-    return sets.key_intersection(parts, ["l_partkey"])
+    return sets.common_keys(t.lineitem, ["l_partkey"], "l_returnflag", ["R", "A", "N"])
 
 
 @query("SELECT DISTINCT p_type FROM part")

@@ -113,3 +113,20 @@ def test_pages_end_with_the_announced_number(spark):
 
     pages = spark.createDataFrame([(1, 2, [("a",)]), (2, 2, [("b",)]), (3, 2, [("c",)])], "page int, pages int, records array<struct<v: string>>")
     assert sorted(r["v"] for r in payloads.page_records(pages).collect()) == ["a", "b"]
+
+
+def test_both_ways_to_intersect_keys(spark):
+    from skerry.operators import sets
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (None, "a"), (None, "b"), (3, "c")], "k int, t string")
+    one_pass = sets.common_keys(df, ["k"], "t", ["a", "b"]).collect()
+    slices = sets.key_intersection([df.filter(F.col("t") == v) for v in ("a", "b")], ["k"]).collect()
+    assert {r["k"] for r in one_pass} == {r["k"] for r in slices} == {1, None}
+
+
+def test_a_missing_dataset_name_is_a_dataset(spark):
+    from skerry.operators import rows
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 500.0), (None, 2.0)], "d string, v double")
+    got = {(r["d"], r["v"]): r["route"] for r in rows.gate_routes(df, ["d"], "v", 0, 300).collect()}
+    assert got == {("a", 1.0): "quarantine", ("a", 500.0): "quarantine", (None, 2.0): "publish"}
