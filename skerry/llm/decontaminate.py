@@ -290,7 +290,8 @@ def remove_contamination(
     """The rows of `docs` with found passages cut out; rows covered above `max_coverage` go.
 
     A cut may bring words together that form a window anew; it is repeated
-    until nothing is found. `length_col`, if given, is set to the new number of
+    until nothing is found (with several blocks of items: nothing of the block
+    at hand). `length_col`, if given, is set to the new number of
     characters of changed texts. Other columns stay, NULL texts stay.
     """
     items, blocks = _item_blocks(benchmark, item_col, item_text_col, block_words)

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from skerry.llm import decontaminate, pii, toxicity
+from skerry.llm import decontaminate, pii
 from skerry.llm.shared import read_table
 from tests.llm.test_jaccard_forest import brute
 
