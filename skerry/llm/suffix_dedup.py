@@ -563,7 +563,9 @@ def deduplicate(
     mine = per_bucket(suffix_messages(rests.join(told, "block"), cover, buckets), _mine)
     changed = removals(rests.join(told, "block"), mine, cover, buckets, keep_text)
     parts = F.posexplode(F.arrays_zip("ids", "sizes", "hashes")).alias("at", "doc")
-    every = packed.select("block", parts).select("block", F.col("at").cast("long").alias("at"), "doc.ids", "doc.sizes", "doc.hashes")
+    every = packed.select("block", parts).select(
+        "block", F.col("at").cast("long").alias("at"), "doc.ids", "doc.sizes", "doc.hashes"
+    )
     none = F.lit(0).cast("long")
     return every.join(changed, ["block", "at"], "left").select(
         F.col("ids").alias("doc_id"),

@@ -57,18 +57,22 @@ class SortedLists:
         order = np.argsort(ids)
         self.ids = ids[order]
         self.most = float(np.abs(rows).max(initial=0))
-        # A type in which every partial sum of an inner product of two rows is exact; else the integers are kept too.
-        reach = self.most * self.most * rows.shape[1]
-        self.rows = rows[order].astype(np.float32 if reach < 2**24 else np.float64)
-        self.exact = rows[order] if reach >= 2**52 else None
+        self.whole = rows[order]
+        self.rows = self.whole.astype(np.float32 if self.most < 2**24 else np.float64)
         self.rank = np.ascontiguousarray(np.argsort(self.rows, axis=0, kind="stable").T)  # per dimension, ascending
         self.value = np.ascontiguousarray(np.take_along_axis(self.rows.T, self.rank, axis=1))
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Final scores of some rows."""
-        if self.exact is None:
-            return (self.rows[rows] @ query.astype(self.rows.dtype)).astype(np.int64)
-        return self.exact[rows] @ query
+        """Final scores of some rows, in the fastest type in which every partial sum is exact."""
+        reach = self.reach(query)
+        if reach < 2**52:
+            kind = np.float32 if reach < 2**24 else np.float64
+            return (self.rows[rows].astype(kind, copy=False) @ query.astype(kind)).astype(np.int64)
+        return self.whole[rows] @ query
+
+    def reach(self, query: np.ndarray) -> float:
+        """What no sum of products of a row and the query can exceed."""
+        return float(np.abs(query.astype(np.float64)).sum()) * self.most
 
     def top(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows other than `skip`.
@@ -81,9 +85,9 @@ class SortedLists:
         left = np.flatnonzero(self.ids != skip)
         for share in DEPTHS if query.any() and size > few else ():
             upper = self.upper_bounds(query.astype(np.float64), max(1, int(size * share)))[left]
-            leaders = left[np.argpartition(upper, len(left) - 4 * k)[-4 * k :]] if len(left) > 4 * k else left
-            bound = np.partition(self.scores(leaders, query), len(leaders) - k)[len(leaders) - k] if len(leaders) >= k else None
-            if bound is not None:
+            leaders = left[np.argpartition(-upper, 4 * k)[: 4 * k]] if len(left) > 4 * k else left
+            if len(leaders) >= k:
+                bound = np.partition(self.scores(leaders, query), len(leaders) - k)[len(leaders) - k]
                 left = left[upper >= bound]
             if len(left) <= few:
                 break
@@ -108,8 +112,8 @@ class SortedLists:
             rest += frontier * query[at]
             total[self.rank[at, entries]] += (read - frontier) * query[at]
         # Whole numbers are exact here unless they are huge; then the bound is widened by what rounding may take.
-        slack = 0.5 if self.exact is None else 1e-9 * float(np.abs(query).sum()) * self.most + 1
-        return total + rest + slack
+        reach = self.reach(query)
+        return total + rest + (0.5 if reach < 2**50 else 1e-9 * reach)
 
 
 def _search(k: int):
@@ -150,7 +154,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK_
     blocks, batches = -(-sizes["n"] // block) or 1, -(-sizes["q"] // batch) or 1
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    candidates = vectors.select("vec_id", "vec", F.lit(False).alias("ask"), deal(blocks, 1).alias("block"), all_of(batches).alias("batch"))
+    candidates = vectors.select(
+        "vec_id", "vec", F.lit(False).alias("ask"), deal(blocks, 1).alias("block"), all_of(batches).alias("batch")
+    )
     queries = vectors.where(is_query).select(
         "vec_id", "vec", F.lit(True).alias("ask"), all_of(blocks).alias("block"), deal(batches, 2).alias("batch")
     )

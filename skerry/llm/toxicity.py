@@ -148,7 +148,7 @@ def fit(
             ids = documents[at]
             unique, back = np.unique(ids, return_inverse=True)
             vectors = model.table[features[unique]].sum(axis=1)
-            outs = model.convolve((vectors @ model.project)[back] if len(ids) else np.zeros((0, model.project.shape[1]), np.float32))
+            outs = model.convolve((vectors @ model.project)[back])
             peaks = [out.argmax(axis=0) for out in outs]
             raw = np.concatenate([out[p, np.arange(n)] for out, p in zip(outs, peaks)]) + model.bias
             pooled = np.maximum(raw, 0)

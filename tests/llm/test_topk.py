@@ -30,6 +30,7 @@ def test_against_brute_force(spark, block, batch):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 0.2) for _ in range(16)]) for i in range(400)]
     rows += [(500 + i, [rng.choice([-0.1, 0.0, 0.1]) for _ in range(16)]) for i in range(200)]  # many ties
+    rows += [(720 + 20 * i, [rng.gauss(0, 1) * 10.0 ** (2 * i + 1) for _ in range(16)]) for i in range(4)]  # huge ones
     rows += [(800, None), (820, [1.0, None]), (840, [float("nan")] * 16), (860, [float("inf")] * 16), (880, [0.0] * 16)]
     rows += [(900, [0.5, -1.0]), (901, [1.0, 1.0]), (920, [3.0]), (None, [0.1] * 16), (0, rows[0][1]), (20, [0.3] * 16), (940, [])]
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, vec int")
