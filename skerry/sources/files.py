@@ -137,13 +137,14 @@ def csv_by_header(
     their columns differently or carry extra ones. A cell that is empty or
     absent is NULL. Quoted cells may hold commas but no line breaks.
     """
-    first = F.min_by(text, F.struct(at, "__line"))
-    headers = lines.withColumn("__line", F.monotonically_increasing_id()).groupBy(file).agg(first.alias("__header")).withColumn(
+    numbered = lines.withColumn("__place", F.struct(F.col(at).alias("at"), F.monotonically_increasing_id().alias("line")))
+    headers = numbered.groupBy(file).agg(F.min_by(text, "__place").alias("__header"), F.min("__place").alias("__first")).withColumn(
         "__names", F.transform(F.split("__header", CELL_BREAK), lambda c: F.trim(F.translate(c, '"', "")))
     ).withColumn("__absent", F.array_except(F.array(*[F.lit(c) for c in required]), "__names"))
     body = (
-        lines.join(headers, file)
-        .filter((F.size("__absent") == 0) & (F.col(text) != F.col("__header")) & (F.length(F.trim(text)) > 0))
+        numbered.join(headers, file)
+        # Only the first line is the header; a later line that looks like it is a row.
+        .filter((F.size("__absent") == 0) & (F.col("__place") != F.col("__first")) & (F.length(F.trim(text)) > 0))
         .withColumn("__cells", F.split(text, CELL_BREAK))
     )
 

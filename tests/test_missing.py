@@ -130,3 +130,15 @@ def test_a_missing_dataset_name_is_a_dataset(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 500.0), (None, 2.0)], "d string, v double")
     got = {(r["d"], r["v"]): r["route"] for r in rows.gate_routes(df, ["d"], "v", 0, 300).collect()}
     assert got == {("a", 1.0): "quarantine", ("a", 500.0): "quarantine", (None, 2.0): "publish"}
+
+
+def test_a_later_line_like_the_header_is_a_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nid,name\n2,y\n")
+    (tmp_path / "b.csv").write_text("name,id\nz,3\n")
+    (tmp_path / "c.csv").write_text("id\n4\n")
+    lines = spark.read.text(str(tmp_path)).select(
+        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block_start")
+    )
+    rows, skipped = files.csv_by_header(lines, ["id", "name"], ["name"])
+    assert sorted((r["id"], r["name"]) for r in rows.collect()) == [("1", "x"), ("2", "y"), ("3", "z"), ("id", "name")]
+    assert skipped.count() == 1
