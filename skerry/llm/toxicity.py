@@ -6,9 +6,10 @@ known stem are known too. Filters of several widths slide over the words, each
 keeps its maximum over the whole text, and a logistic unit turns the maxima
 into a score. Scores see the text only.
 
-`max_rows` bounds the labelled rows that are fitted on the driver; counts of
-labels per row and the thresholds come from the same rows. A quarter of them
-(by hash) is kept from the fit and calibrates one threshold per language.
+`max_rows` bounds the labelled rows drawn for the fit on the driver. A quarter of
+them (by hash) is kept from the fit; this quarter and all labelled rows that were
+not drawn are scored on Spark and calibrate one threshold per language. The driver
+sees their counts per language and score cell (`RESOLUTION`) only.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skerry.llm.shared import map_slices, map_texts
+from skerry.llm.shared import map_slices, map_texts, stored
 
 MAX_ROWS = 8_000
 MEMO_WORDS = 100_000
+# Cells per unit of the log odds in which scores are counted; a threshold lies between two cells.
+RESOLUTION = 1024
 # Upper- and lower-case of one word are one word; everything outside letters, digits and above ASCII separates.
 SEPARATORS = bytes(b if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -195,17 +198,24 @@ def _step_rows(values: np.ndarray, grown: np.ndarray, rows: np.ndarray, slopes:
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, fallback: float) -> float:
     """The middle of the widest range of thresholds with the greatest F1; the fallback without both classes."""
-    if not len(labels) or labels.min() == labels.max():
+    return threshold_of_cells(scores, scores, np.ones(len(labels)), labels, fallback)
+
+
+def threshold_of_cells(
+    least: np.ndarray, most: np.ndarray, rows: np.ndarray, toxic: np.ndarray, fallback: float
+) -> float:
+    """`best_threshold` from the least and greatest score, rows and toxic rows of cells that do not overlap."""
+    if not 0 < toxic.sum() < rows.sum():
         return fallback
-    order = np.argsort(-scores, kind="stable")
-    scores, labels = scores[order], labels[order]
-    hits = np.cumsum(labels)
-    f1 = 2 * hits / (np.arange(1, len(labels) + 1) + labels.sum())
-    ends = np.append(scores[1:], 0.0)
-    f1[scores == ends] = -1  # ties stay together
+    order = np.argsort(-least, kind="stable")
+    least, most, rows, toxic = least[order], most[order], rows[order], toxic[order]
+    hits = np.cumsum(toxic)
+    f1 = 2 * hits / (np.cumsum(rows) + toxic.sum())
+    ends = np.append(most[1:], 0.0)
+    f1[least == ends] = -1  # ties stay together
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
-    at = best[np.argmax(scores[best] - ends[best])]
-    return float((scores[at] + ends[at]) / 2)
+    at = best[np.argmax(least[best] - ends[best])]
+    return float((least[at] + ends[at]) / 2)
 
 
 def train(
@@ -216,13 +226,16 @@ def train(
     max_rows: int = MAX_ROWS,
     shape: Shape = Shape(),
     least_labels: int = 20,
+    least_class: int = 10,
 ) -> TextCnn:
     """Fit on labelled rows whose crc32(doc_id as text) mod 3 is not 1, at most about `max_rows` of them (by hash).
 
-    A document with several labels has the greatest one; NULL labels and ids
-    count as unlabelled, repeated documents once. A language with fewer than
-    `least_labels` calibration rows takes the common threshold. Without labels
-    the model stays as drawn, with threshold 0.5.
+    All labelled rows that were not fitted calibrate the thresholds. A document
+    with several labels has the greatest one; NULL labels and ids count as
+    unlabelled, repeated documents once. A language with fewer than
+    `least_labels` calibration rows, or `least_class` of either class, takes the
+    common threshold.
+    Without labels the model stays as drawn, with threshold 0.5.
     """
     marked = (
         labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -231,27 +244,51 @@ def train(
     )
     rows = marked.count()
     lot = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20))
-    chosen = marked.where(lot < int(min(1.0, max_rows / max(1, rows)) * (1 << 20)))
+    drawn = lot < int(min(1.0, max_rows / max(1, rows)) * (1 << 20))
+    to_fit = drawn & (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) != 0)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
-        F.col(lang_col).alias("lang"),
+        F.col(lang_col).cast("string").alias("lang"),
     )
-    got = chosen.join(texts, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4))).toPandas()
+    got = marked.where(to_fit).join(texts, "doc_id").toPandas()
     got = got.sort_values(["doc_id", "text", "lang"]).drop_duplicates("doc_id")
-    fitted = got[got["part"] != 0]
-    model = fit(list(fitted["text"]), fitted["label"].to_numpy(np.float64), shape)
-    rest = got[got["part"] == 0]
-    scores, truth = model.scorer()(list(rest["text"])), rest["label"].to_numpy(np.float64)
-    common = best_threshold(scores, truth, 0.5)
-    model.thresholds = {None: common}
-    for lang in sorted(x for x in rest["lang"].unique() if isinstance(x, str)):
-        own = (rest["lang"] == lang).to_numpy()
-        if own.sum() >= least_labels:
-            model.thresholds[lang] = best_threshold(scores[own], truth[own], common)
+    model = fit(list(got["text"]), got["label"].to_numpy(np.float64), shape)
+    model.thresholds = calibrate(marked.where(~to_fit).join(texts, "doc_id"), model, least_labels, least_class)
     return model
 
 
+def calibrate(rows: DataFrame, model: TextCnn, least_labels: int, least_class: int) -> dict[str | None, float]:
+    """The common threshold (under None) and those of languages from all of `rows` (doc_id, label, text, lang).
+
+    Of a repeated document the first row counts. Scores are counted in cells of
+    the log odds, so the driver gets at most some 61,000 rows per language.
+    """
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        run = held.value.scorer()
+        return lambda texts: [(float(s),) for s in run(texts)]
+
+    first = F.min(F.struct("text", F.col("lang").isNull().alias("none"), "lang")).alias("row")
+    single = rows.groupBy("doc_id").agg(F.first("label").alias("label"), first).select("label", "row.text", "row.lang")
+    score = F.least(F.greatest("score", F.lit(1e-13)), F.lit(1 - 1e-13))
+    cell = F.floor(F.log(score / (1 - score)) * RESOLUTION).alias("cell")
+    counts = F.min("score").alias("least"), F.max("score").alias("most"), F.count("*").alias("rows"), F.sum("label").alias("toxic")
+    cells = stored(map_texts(single, make, "score double", ("lang", "label")).groupBy("lang", cell).agg(*counts), "cells")
+    merged = F.min("least").alias("least"), F.max("most").alias("most"), F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic")
+    every = cells.groupBy("cell").agg(*merged).toPandas()
+    common = _threshold(every, 0.5)
+    classes = cells.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("toxic").alias("t"), F.sum("rows").alias("n"))
+    enough = classes.where((F.col("n") >= least_labels) & (F.least("t", F.col("n") - F.col("t")) >= least_class)).select("lang")
+    own = cells.join(enough, "lang").toPandas()
+    return {None: common} | {lang: _threshold(part, common) for lang, part in own.groupby("lang")}
+
+
+def _threshold(cells, fallback: float) -> float:
+    return threshold_of_cells(*(cells[c].to_numpy(np.float64) for c in ("least", "most", "rows", "toxic")), fallback)
+
+
 def held_out(id_col: str):
     """True for ids whose crc32 as text leaves 1 by 3; a NULL id is not held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -79,3 +79,32 @@ def test_memory_of_words_is_bounded(frames, monkeypatch):
 def test_threshold():
     assert toxicity.best_threshold(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0]), 0.5) == pytest.approx(0.5)
     assert toxicity.best_threshold(np.array([0.9]), np.array([1]), 0.4) == 0.4
+
+
+def test_thresholds_count_all_labelled_rows(spark, frames, monkeypatch):
+    """Only the fit is bounded: every labelled row that was not fitted calibrates, whatever `max_rows` is."""
+    rows, docs, labels, _ = frames
+    seen, real = [], toxicity.threshold_of_cells
+    monkeypatch.setattr(toxicity, "threshold_of_cells", lambda *a: seen.append(a) or real(*a))
+    fitted, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, *a: fitted.append(len(texts)) or fit(texts, *a))
+    usable = [(d, g, y) for d, _, g, y in rows if crc32(str(d).encode()) % 3 != 1]
+    model = toxicity.train(docs.unionByName(docs), labels, max_rows=200, shape=SMALL)
+    assert 0 < fitted[0] <= 200 and seen[0][2].sum() == len(usable) - fitted[0] > 300
+    assert sum(part[2].sum() for part in seen[1:]) == seen[0][2].sum() and set(model.thresholds) == {None, "en", "de"}
+
+
+def test_both_classes_need_labels(spark, frames):
+    rows, docs, labels, _ = frames
+    none = [d for d, _, g, y in rows if g == "de" and y]
+    few = labels.where(~labels["doc_id"].isin(none[3:]))
+    model = toxicity.train(docs, few, max_rows=200, shape=SMALL)
+    assert set(model.thresholds) == {None, "en"}
+
+
+def test_threshold_of_cells_equals_single_rows():
+    rng = np.random.default_rng(1)
+    scores, labels = rng.random(400).round(2), (rng.random(400) < 0.4).astype(float)
+    values, back = np.unique(scores, return_inverse=True)
+    toxic = np.bincount(back, labels)
+    assert toxicity.threshold_of_cells(values, values, np.bincount(back), toxic, 0.5) == toxicity.best_threshold(scores, labels, 0.5)
