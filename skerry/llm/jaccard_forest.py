@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 from hashlib import blake2b
 
 import numpy as np
@@ -168,7 +169,7 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, threshold: float, limit:
     _, column, seen = np.unique(values, return_inverse=True, return_counts=True)
     common = seen[column] > 1  # a shingle of one set only adds to no intersection
     owner, column = owner[common], column[common]
-    shared = np.zeros((count, count), np.float32)
+    shared = np.zeros((count, count), np.int64)
     if len(column):
         _, column = np.unique(column, return_inverse=True)
         order = np.argsort(column, kind="stable")
@@ -178,11 +179,14 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, threshold: float, limit:
             lo, hi = np.searchsorted(column, (first, first + step))
             present = np.zeros((count, step), np.float32)
             present[owner[lo:hi], column[lo:hi] - first] = 1
-            shared += present @ present.T
-    # shared / (a + b - shared) >= threshold, without a division
-    least = (sizes * threshold).astype(np.float32)
-    shared *= 1 + threshold
-    linked = shared >= least[:, None] + least[None, :] - 1e-3
+            shared += (present @ present.T).astype(np.int64)  # at most `step` shingles, exact in float32
+    # shared / (a + b - shared) >= p / q in whole numbers, a few rows at a time
+    share = Fraction(str(float(threshold))).limit_denominator(10**9)
+    p, q, sizes = share.numerator, share.denominator, sizes.astype(np.int64)
+    linked = np.empty((count, count), bool)
+    for first in range(0, count, 64):
+        rows = slice(first, first + 64)
+        linked[rows] = shared[rows] * (p + q) >= (sizes[rows, None] + sizes[None, :]) * p
     np.fill_diagonal(linked, False)
     return linked
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from skerry.llm import jaccard_forest as forest
@@ -88,3 +89,21 @@ def test_components(spark):
 def test_recall_bound():
     depth = forest.prefix_depth(forest.TREES, forest.DEEPEST, 0.8, forest.TARGET)
     assert 1 - (1 - 0.8**depth) ** forest.TREES >= forest.TARGET > 1 - (1 - 0.8 ** (depth + 1)) ** forest.TREES
+
+
+@pytest.mark.parametrize("step", [2223, 2778, 5557, 11_113])
+def test_exact_ties_of_long_texts(step):
+    """8 of 9 shingles of equal sets are shared at similarity 0.8; one less is below it."""
+    sets = [np.arange(9 * step), np.arange(step, 10 * step), np.arange(step + 1, 10 * step + 1), np.arange(9 * step)]
+    sets = [s.astype(np.uint64) for s in sets]
+    linked = forest._linked(sets, np.array([len(s) for s in sets]), 0.8)
+    near = {(0, 1), (0, 3), (1, 2), (1, 3)}
+    assert {(i, j) for i, j in zip(*np.nonzero(linked)) if i < j} == near and (linked == linked.T).all()
+
+
+def test_exact_ties_of_uneven_texts():
+    for step in range(2500, 2600, 7):
+        small, large = np.arange(8 * step, dtype=np.uint64), np.arange(10 * step, dtype=np.uint64)
+        sizes = lambda *s: np.array([len(x) for x in s])
+        assert forest._linked([small, large], sizes(small, large), 0.8)[0, 1]
+        assert not forest._linked([small[1:], large], sizes(small[1:], large), 0.8)[0, 1]
