@@ -256,24 +256,39 @@ def _merge_blocks(found: DataFrame, blocks: int) -> DataFrame:
 
 def clean_text(text: str, automaton: Automaton, max_coverage: float) -> str | None:
     """`text` without the passages found, again and again until none is left; None above the coverage limit."""
-    while True:
-        raw = text.encode()
-        words, bounds, at = [], [], 0
-        for piece in raw.translate(WORD_BYTES).split(b" "):
-            if piece:
-                words.append(piece)
-                bounds.append((at, at + len(piece)))
-            at += len(piece) + 1
-        spans, _ = automaton.hits(words)
+    while text is not None:
+        spans, _ = automaton.hits([w for w in words_of(text) if w])
         if not spans:
             return text
-        if sum(b - a for a, b in spans) > max_coverage * len(words):
-            return None
-        kept, done = [], 0
-        for a, b in spans:
-            kept.append(raw[done : bounds[a][0]])
-            done = bounds[b - 1][1]
-        text = b"".join([*kept, raw[done:]]).decode()
+        text = cut_spans(text, spans, max_coverage)
+    return None
+
+
+def cut_spans(text: str, spans: list[tuple[int, int]], max_coverage: float) -> str | None:
+    """`text` without these united word ranges; None if they cover more than `max_coverage` of its words."""
+    raw = text.encode()
+    bounds, at = [], 0
+    for piece in raw.translate(WORD_BYTES).split(b" "):
+        if piece:
+            bounds.append((at, at + len(piece)))
+        at += len(piece) + 1
+    if sum(b - a for a, b in spans) > max_coverage * len(bounds):
+        return None
+    kept, done = [], 0
+    for a, b in spans:
+        kept.append(raw[done : bounds[a][0]])
+        done = bounds[b - 1][1]
+    return b"".join([*kept, raw[done:]]).decode()
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            a, b = out[-1][0], max(b, out.pop()[1])
+        out.append((a, b))
+    return out
 
 
 def remove_contamination(
@@ -290,19 +305,68 @@ def remove_contamination(
     """The rows of `docs` with found passages cut out; rows covered above `max_coverage` go.
 
     A cut may bring words together that form a window anew; it is repeated
-    until nothing is found (with several blocks of items: nothing of the block
-    at hand). `length_col`, if given, is set to the new number of
+    until nothing of any block of items is found. Each round unites the passages
+    of all blocks before it judges the coverage and cuts, so the number of
+    blocks changes nothing. `length_col`, if given, is set to the new number of
     characters of changed texts. Other columns stay, NULL texts stay.
     """
     items, blocks = _item_blocks(benchmark, item_col, item_text_col, block_words)
-    out = docs
-    for block in range(blocks):
-        rows = items.where(F.col("block") == block).select(F.col("item_id").cast("long"), "text").collect()
-        held = docs.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
-        # One automaton at a time: the passes of several blocks are kept apart by a written table.
-        source = stored(out, "decontaminate") if block else out
-        out = _clean_block(source, held, window, max_coverage, text_col, length_col)
-    return out
+    if blocks == 1:
+        return _clean_block(docs, _held(items, 0), window, max_coverage, text_col, length_col)
+    none = F.lit(None).cast("array<struct<start: bigint, end: bigint>>")
+    done, rest = [], docs.withColumn(SPANS, none)
+    while True:
+        for block in range(blocks):
+            # One automaton at a time: the passes of several blocks are kept apart by a written table.
+            held = _held(items, block)
+            rest = stored(_mark_block(rest, held, window, text_col), "decontaminate")
+            held.destroy()
+        done.append(rest.where(F.size(SPANS) == 0).drop(SPANS))
+        found = rest.where(F.size(SPANS) > 0)
+        if found.isEmpty():
+            return reduce(DataFrame.unionByName, done).select(*[f"`{c}`" for c in docs.columns])
+        rest = stored(_cut_marked(found, max_coverage, text_col, length_col), "decontaminate")
+
+
+SPANS = "__spans"
+
+
+def _held(items: DataFrame, block: int) -> Broadcast:
+    rows = items.where(F.col("block") == block).select(F.col("item_id").cast("long"), "text").collect()
+    return items.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
+
+
+def _mark_block(docs: DataFrame, held: Broadcast, window: int, text_col: str) -> DataFrame:
+    """`docs` with the passages of one block united with those marked already."""
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        automaton = Automaton(held.value, window)
+
+        def mark(part: pa.RecordBatch) -> pa.RecordBatch:
+            marked = []
+            for text, known in zip(part.column(text_col).to_pylist(), part.column(SPANS).to_pylist()):
+                spans, _ = automaton.hits([w for w in words_of(text) if w])
+                spans = united(spans + [(s["start"], s["end"]) for s in known or []])
+                marked.append([{"start": a, "end": b} for a, b in spans])
+            return with_values(part, SPANS, marked)
+
+        return mark
+
+    return map_slices(docs, make)
+
+
+def _cut_marked(docs: DataFrame, max_coverage: float, text_col: str, length_col: str | None) -> DataFrame:
+    """Marked rows with their passages cut and no marks; rows covered above the limit go."""
+
+    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [[(s["start"], s["end"]) for s in marked] for marked in part.column(SPANS).to_pylist()]
+        new = [cut_spans(t, s, max_coverage) for t, s in zip(part.column(text_col).to_pylist(), spans)]
+        part = with_values(with_values(part, text_col, new), SPANS, [None] * part.num_rows)
+        if length_col:
+            part = with_values(part, length_col, [None if n is None else len(n) for n in new])
+        return part.filter(pa.array([n is not None for n in new], pa.bool_()))
+
+    return map_slices(docs, lambda: cut)
 
 
 def _clean_block(

@@ -238,6 +238,27 @@ class TestDecontaminate:
         again = decontaminate.find_contamination(out, spark.createDataFrame(self.ITEMS, "item_id long, text string"))
         assert not any(r["contaminated"] for r in again.collect())
 
+    def test_removal_in_blocks_equals_one_block(self, spark):
+        """Coverage is judged on the passages of all blocks together, and nothing of any block stays."""
+        names = [f"{a}{i}" for a in "pqrstu" for i in range(30)]
+        items = [(at, " ".join(names[at * 30 : at * 30 + 30])) for at in range(6)]
+        body = [i[1] for i in items]
+        plain = lambda n: " ".join(f"w{i}" for i in range(n))
+        texts = [f"{body[a]} {plain(40)} {body[b]}" for a in range(6) for b in range(6) if a != b]
+        halves = [(" ".join(b.split()[:9]), " ".join(b.split()[9:])) for b in body]
+        texts += [f"{plain(90)} {halves[a][0]} {body[b]} {halves[a][1]}" for a in range(6) for b in range(6) if a != b]
+        texts += [None, "", plain(5), plain(5)]
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        assert decontaminate._item_blocks(bench, "item_id", "text", 20)[1] > 1
+        frame = docs(spark, *texts)
+        got = [
+            sorted(map(tuple, decontaminate.remove_contamination(frame, bench, block_words=n, length_col="n_tokens").collect()), key=str)
+            for n in (10**6, 20)
+        ]
+        assert got[0] == got[1] and 4 < len(got[0]) < len(texts)
+        out = spark.createDataFrame(got[1], SCHEMA)
+        assert not any(r["contaminated"] for r in decontaminate.find_contamination(out, bench).collect())
+
     def test_empty_tables(self, spark):
         none = spark.createDataFrame([], "item_id long, text string")
         assert [r["n_hit"] for r in decontaminate.find_contamination(docs(spark, "a b"), none).collect()] == [0]
