@@ -91,14 +91,45 @@ def iban_check(country: str, body: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
 
 
+# Lengths of the IBAN registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def iban_end(run: str) -> int | None:
+    """Where the valid IBAN at the start of `run` ends, at a space or the end of the run.
+
+    The length of the country comes first, then the whole run, then, for
+    countries without a known length, its shorter ends.
+    """
+    ends = [len(run), *(at for at in range(len(run) - 1, 0, -1) if run[at] == " ")]
+    length = IBAN_LENGTHS.get(run[:2])
+    fitting = [e for e in ends if len(run[:e].replace(" ", "")) == length]
+    for end in [*fitting, *(ends if length is None else ends[:1])]:
+        plain = run[:end].replace(" ", "")
+        if 15 <= len(plain) <= 34 and iban_check(plain[:2], plain[4:]) == plain[2:4]:
+            return end
+    return None
+
+
 def iban(feistel: Feistel, match: re.Match, back: bool) -> str | None:
-    plain = match[0].replace(" ", "")
-    country, body = plain[:2], plain[4:]
-    if not 15 <= len(plain) <= 34 or iban_check(country, body) != plain[2:4]:
+    """The pseudonym of the IBAN at the start of the match, which may be shorter than the match."""
+    end = iban_end(match[0])
+    if end is None:
         return None
-    body = _by_class(feistel, "iban" + country, body, back)
+    shape = match[0][:end]
+    plain = shape.replace(" ", "")
+    country, body = plain[:2], _by_class(feistel, "iban" + plain[:2], plain[4:], back)
     fill = iter(country + iban_check(country, body) + body)
-    return "".join(c if c == " " else next(fill) for c in match[0])
+    return "".join(c if c == " " else next(fill) for c in shape)
 
 
 def ipv4(feistel: Feistel, match: re.Match, back: bool) -> str | None:
@@ -113,13 +144,20 @@ def ssn(feistel: Feistel, match: re.Match, back: bool) -> str | None:
     return _refill(match[0], _permuted_digits(feistel, "ssn", _digits(match[0]), back))
 
 
+# Country codes; no code begins another.
+DIALLING = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})")
+
+
 def phone(feistel: Feistel, match: re.Match, back: bool) -> str | None:
-    """The country code stays; the national number is permuted among those of its length."""
+    """The country code, or the 0 before a number in pairs, stays; the rest is permuted among those of its length."""
     code = re.match(r"\+\d{1,3}(?=[ (.-])", match[0])
+    plain = match["plain"] or match["pairs"]
+    if plain and not code:
+        code = DIALLING.match(match[0]) or re.match("0", match[0])
     kept = code[0] if code else ""
     rest = match[0][len(kept) :]
     digits = _digits(rest)
-    if not 7 <= len(digits) <= 13:
+    if not plain and not 7 <= len(digits) <= 13:
         return None
     return kept + _refill(rest, _permuted_digits(feistel, "phone", digits, back))
 
@@ -195,7 +233,7 @@ FINDERS: list[tuple[str, re.Pattern, Callable]] = [
     (
         "card",
         re.compile(
-            r"(?<![0-9])(?<![0-9][.,-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
+            r"(?<![0-9])(?<![0-9][.,-])(?:(?:(?=0)|(?<!^\+)(?<![^0-9A-Za-z+]\+))[0-9]{13,15}|[0-9]{16,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
             r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])(?![.,-][0-9])"
         ),
         card,
@@ -213,8 +251,10 @@ FINDERS: list[tuple[str, re.Pattern, Callable]] = [
     (
         "phone",
         re.compile(
-            r"(?<![0-9A-Za-z.(+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
-            r"[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9]|[.-][0-9])"
+            r"(?:(?<![0-9A-Za-z.(+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
+            r"[0-9]{3,4}[ .-][0-9]{3,4}|(?<![0-9A-Za-z+])(?P<plain>\+[1-9][0-9]{7,14})"
+            r"|(?<![0-9A-Za-z.+-])(?P<pairs>(?:0[0-9]|\+[1-9][0-9]{0,2}[ .-]?[0-9]{1,2})(?P<gap>[ .-])[0-9]{2}"
+            r"(?:(?P=gap)[0-9]{2}){3}))(?![0-9]|[.-][0-9])"
         ),
         phone,
     ),
@@ -229,12 +269,16 @@ def find_private(text: str, feistel: Feistel, back: bool = False) -> list[tuple[
     for kind, pattern, change in FINDERS:
         if kind == "email" and "@" not in text:
             continue
-        for match in pattern.finditer(text):
-            if any(match.start() < end and start < match.end() for start, end, _, _ in found):
-                continue
+        match = pattern.search(text)
+        while match:
+            # An IBAN run may hold further words; its pseudonym is as long as the IBAN.
             new = change(feistel, match, back)
-            if new is not None:
-                found.append((match.start(), match.end(), kind, new))
+            end = match.start() + len(new) if new is not None and kind == "iban" else match.end()
+            if new is not None and not any(match.start() < e and s < end for s, e, _, _ in found):
+                found.append((match.start(), end, kind, new))
+            elif kind == "iban":
+                end = match.start() + 1
+            match = pattern.search(text, end)
     return sorted(found)
 
 

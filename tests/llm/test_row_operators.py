@@ -183,6 +183,38 @@ class TestPii:
         back = pii.pseudonymise(pii.pseudonymise(frame, "key").drop("spans"), "key", back=True)
         assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
 
+    @pytest.mark.parametrize(
+        "text,values",
+        [
+            ("DE89370400440532013000 BIC COBADEFF", ["DE89370400440532013000"]),
+            ("DE89 3704 0044 0532 0130 00 12", ["DE89 3704 0044 0532 0130 00"]),
+            ("GB82WEST12345698765432 USD 100", ["GB82WEST12345698765432"]),
+            ("AB12 CDEF DE89370400440532013000 DE89 3704 0044 0532 0130 00 END", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"]),
+            ("call +14155550123, or (+33612345678)", ["+14155550123", "+33612345678"]),
+            ("tel 06 12 34 56 78 or 06.12.34.56.79, +33 6 12 34 56 78", ["06 12 34 56 78", "06.12.34.56.79", "+33 6 12 34 56 78"]),
+            ("not 12+34567890 or 10 20 30 or DE00370400440532013000 BIC", []),
+        ],
+    )
+    def test_values_before_other_words(self, text, values):
+        feistel = pii.Feistel(b"k")
+        found = pii.find_private(text, feistel)
+        assert [text[a:b] for a, b, _, _ in found] == values
+        masked = pii._replaced(text, found)
+        assert not any(v in masked for v in values)
+        assert pii._replaced(masked, pii.find_private(masked, feistel, back=True)) == text
+
+    def test_phone_forms_share_pseudonyms_and_come_back(self):
+        rng = random.Random(2)
+        feistel = pii.Feistel(b"k")
+        for _ in range(300):
+            code = rng.choice(["1", "33", "49", "44", "971", "7"])
+            number = code + "".join(rng.choice("0123456789") for _ in range(rng.randint(8, 15) - len(code)))
+            text = f"+{number} 0{rng.randint(0, 9)} " + " ".join(f"{rng.randint(0, 99):02d}" for _ in range(4))
+            found = pii.find_private(text, feistel)
+            assert [k for _, _, k, _ in found] == ["phone", "phone"] and found[0][3].startswith(f"+{code}")
+            masked = pii._replaced(text, found)
+            assert pii._replaced(masked, pii.find_private(masked, feistel, back=True)) == text
+
 
 class TestDecontaminate:
     ITEMS = [
