@@ -1,12 +1,14 @@
 """Secrets in texts: fixed patterns, and windows of high entropy inside long candidate strings.
 
-A candidate is a run of at least `window` characters of [A-Za-z0-9+/_=-]. Its
-class is the narrowest of hex digits, letters and digits, or all of these
-characters. A window slides over it; counts per character are updated by one
+A candidate is a run of at least `window` characters of [A-Za-z0-9+/_=-]. In it,
+a window slides over every maximal run of each class: hex digits, letters and
+digits, all of these characters. Counts per character are updated by one
 character in and one out, and the Shannon entropy follows from the running sum
 of c * log2 c. Windows at or above the threshold of the class are united to
-spans. A candidate on the allow-list gives no spans; the patterns are not
-touched by it.
+spans over all classes; a span is named by the narrowest class that holds it. A
+run of letters, digits or hex digits on the allow-list gives no spans, nor does a
+window whose tokens (between '=' and '/'), taken together, are on the list; the
+patterns are not touched by it.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame
 
@@ -42,7 +45,8 @@ CLASSES = [
     ("entropy_base64", re.compile(r"[0-9A-Za-z+/_=-]+"), 3.8),
 ]
 ORDER = {name: rank for rank, name in enumerate([*(b[0] for b in BASE), *(c[0] for c in CLASSES)])}
-# Candidates that look random and are not secret: identifiers, example values, alphabets, rules and paths of words.
+TOKEN = re.compile(r"[^=/]+|[=/]")
+# Runs and tokens that look random and are not secret: identifiers, example values, alphabets, rules and paths of words.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?i).*(example|sample|placeholder|changeme).*",
@@ -67,11 +71,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def hot_windows(candidate: str, window: int, threshold: float) -> list[tuple[int, int]]:
-    """United [start, end) of all windows whose entropy reaches the threshold."""
+def hot_starts(candidate: str, window: int, threshold: float) -> Iterator[int]:
+    """Starts of all windows whose entropy reaches the threshold."""
     weight = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     counts: dict[str, int] = {}
-    total, spans = 0.0, []
+    total = 0.0
     ceiling = window * (math.log2(window) - threshold) + 1e-9
     for at, char in enumerate(candidate):
         now = counts.get(char, 0)
@@ -83,12 +87,23 @@ def hot_windows(candidate: str, window: int, threshold: float) -> list[tuple[int
             counts[out] = had - 1
             total += weight[had - 1] - weight[had]
         if at >= window - 1 and total <= ceiling:
-            start = at - window + 1
-            if spans and start <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], at + 1)
-            else:
-                spans.append((start, at + 1))
-    return spans
+            yield at - window + 1
+
+
+def _united(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ordered ranges that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def hot_windows(candidate: str, window: int, threshold: float) -> list[tuple[int, int]]:
+    """United [start, end) of all windows whose entropy reaches the threshold."""
+    return _united((at, at + window) for at in hot_starts(candidate, window, threshold))
 
 
 def entropy_spans(
@@ -97,13 +112,33 @@ def entropy_spans(
     found = []
     for match in candidates.finditer(text):
         candidate = match[0]
-        if any(rule.fullmatch(candidate) for rule in allowed):
-            continue
-        kind, _, threshold = next(c for c in CLASSES if c[1].fullmatch(candidate))
-        found += [(match.start() + a, match.start() + b, kind) for a, b in hot_windows(candidate, window, threshold)]
+        known = cache(lambda start, end: any(rule.fullmatch(candidate, start, end) for rule in allowed))
+        hot, searched = [], set()
+        for _, alphabet, threshold in CLASSES:
+            for run in alphabet.finditer(candidate):
+                # What a wider class finds in the run of a narrower one, that class has found.
+                if run.end() - run.start() < window or run.span() in searched:
+                    continue
+                searched.add(run.span())
+                if alphabet is CLASSES[-1][1]:
+                    token = _token_ends(candidate)
+                    starts = (at for at in hot_starts(run[0], window, threshold) if not known(token[at][0], token[at + window - 1][1]))
+                elif known(*run.span()):
+                    continue
+                else:
+                    starts = (run.start() + at for at in hot_starts(run[0], window, threshold))
+                hot += [(at, at + window) for at in starts]
+        for start, end in _united(sorted(hot)):
+            kind = next(name for name, alphabet, _ in CLASSES if alphabet.fullmatch(candidate, start, end))
+            found.append((match.start() + start, match.start() + end, kind))
     return found
 
 
+def _token_ends(candidate: str) -> list[tuple[int, int]]:
+    """Per character the [start, end) of its token; '=' and '/' stand alone."""
+    return [m.span() for m in TOKEN.finditer(candidate) for _ in range(m.end() - m.start())]
+
+
 def _joined(spans: list[tuple[int, int, str]]) -> str:
     ordered = sorted(spans, key=lambda s: (s[0], ORDER[s[2]], s[1]))
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in ordered)

@@ -148,6 +148,19 @@ class TestSecrets:
         assert rows[4]["n_entropy"] == 1 and rows[4]["spans"].startswith("entropy_base64:5:")
         assert rows[5]["n_assign"] == 1
 
+    def test_keys_joined_to_other_characters(self):
+        rules = [re.compile(rule) for rule in secret_scan.ALLOWED]
+        candidates = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+        for seed, (before, after) in enumerate([("id=", ""), ("/v1/", "/get"), ("a_", "-b"), ("/example/dir=", ""), ("path/sample/", "")] * 40):
+            for alphabet, size in (("0123456789ABCDEF", 32), ("0123456789abcdef", 28)):
+                key = noise(seed, size, list(alphabet))
+                alone = secret_scan.entropy_spans(key, candidates, rules)
+                glued = secret_scan.entropy_spans(before + key + after, candidates, rules)
+                place = {p + len(before) for a, b, _ in alone for p in range(a, b)}
+                assert place and place <= {p for a, b, _ in glued for p in range(a, b)}
+        for text in ("src/main/python/package/module", "v=EXAMPLEq8ZrT5yWb2KxLm9vNc", "123e4567-e89b-42d3-a456-426614174000"):
+            assert secret_scan.entropy_spans(text, candidates, rules) == []
+
 
 class TestPii:
     def test_permutation(self):
