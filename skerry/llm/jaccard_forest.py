@@ -2,12 +2,14 @@
 
 1. Documents of equal shingle sets are one node; copies never meet each other.
 2. A node's MinHash signature is cut into `trees` labels of `deepest` one-byte
-   symbols. Label prefixes are the paths of one sorted trie per tree. Matching
-   starts at whole labels and shortens the prefix until the recall bound at the
-   similarity threshold reaches the target (`prefix_depth`).
-3. Nodes under one trie path are candidates of each other. They are tied to the
-   least node of the path, not to each other, and the ties are joined to
-   candidate groups (`components`), so no pair is written anywhere.
+   symbols. Documents are banded by one label prefix per tree, of a depth computed
+   once from the parameters: the longest with which the recall bound at the
+   similarity threshold reaches the target (`prefix_depth`). This is the level of
+   an LSH forest's tries that a threshold join needs; there are no sorted tries
+   and no descent that depends on the data, and symbols below it are not read.
+3. Nodes of one prefix are candidates of each other. They are tied to the least
+   node of the prefix, not to each other, and the ties are joined to candidate
+   groups (`components`), so no pair is written anywhere.
 4. Inside a group all pairs are verified on the exact shingle sets, in square
    blocks: a group of any size becomes tasks of at most two blocks of nodes.
    Blocks give link counts per node and ties of linked nodes, again no pairs.
