@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skerry.llm import (
     byte_bpe,
     decontaminate,
+    infill,
     jaccard_forest,
+    line_dedup,
     pii,
     secret_scan,
     suffix_dedup,
     token_counts,
     topk,
     toxicity,
+    turns,
     warc,
 )
 from skerry.llm.shared import read_table
@@ -70,6 +73,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.restore(infill.fill_in_middle(read_table(spark, sf_dir, "documents"), infill.Plan(seed=7, share=100, suffix_first=50)))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_turns(turns.damage(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in list(globals().items()) if name.startswith("op")
 }
@@ -112,4 +130,22 @@ sp AS (SELECT doc_id, string_agg(CAST(a - 1 AS VARCHAR) || ':' || CAST(b AS VARC
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
     sha256(coalesce(its.l, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated, coalesce(spans, '') AS spans
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN sp USING (doc_id)""",
+    "op11_line_dedup": r"""
+WITH l AS (SELECT doc_id, i, lines[i] AS line, translate(trim(lines[i], E'\t\n\x0b\x0c\r '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+k AS (SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT l.*, coalesce(l.doc_id <> k.first, FALSE) AS gone FROM l LEFT JOIN k USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+    "op12_infill": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+r AS (SELECT doc_id, t, l, CAST('0x' || h[1:8] AS BIGINT) % (len(l) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(l) + 1) AS y,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain, CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS spm FROM d),
+c AS (SELECT *, array_to_string(l[1:least(x, y)], '') AS p, array_to_string(l[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(l[greatest(x, y) + 1:], '') AS s FROM r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    CASE WHEN NOT plain THEN length(p) END AS prefix_chars, CASE WHEN NOT plain THEN length(m) END AS middle_chars,
+    sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM c""",
 }
