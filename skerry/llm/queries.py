@@ -148,4 +148,38 @@ SELECT doc_id, CAST(len(l) AS BIGINT) AS n, CASE WHEN plain THEN 'plain' WHEN sp
     sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
     sha256(t) AS restored_sha256
 FROM c""",
+    # CRC-32 bit by bit; then every state of every conversation keeps its cheapest, least edits, row by row.
+    "op13_turn_repair": r"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda a, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(a, b)), CAST(4294967295 AS BIGINT))) % 20 AS lot
+    FROM conversations),
+e AS (SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role, unnest(CASE WHEN lot = 3 THEN [1, 2] ELSE [1] END) AS copy,
+    CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM d WHERE lot <> 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, trim(text, E'\t\n\x0b\x0c\r ') AS bare FROM e),
+g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, bare <> '' AND bare[-1] NOT IN ('.', '!', '?') AS unended,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS former FROM f),
+r AS (SELECT *, bare = '' OR seen AS must, CASE WHEN starts_with(role, 's') THEN 's' WHEN starts_with(role, 'u') THEN 'u' WHEN starts_with(role, 'a') THEN 'a' ELSE '-' END AS c FROM g),
+t AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE bare = '') AS blank,
+    count(*) FILTER (WHERE bare <> '' AND seen) AS duplicate, count(*) FILTER (WHERE NOT must AND unended) AS truncated,
+    count(*) FILTER (WHERE i > 1 AND former[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM r GROUP BY conv_id),
+edge(q, c, p) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(q, more, p, said) AS (VALUES (0, 0, 0, []), (1, 0, 1, []), (2, 0, 2, []), (3, 0, 3, []),
+    (0, 1, 2, ['user:']), (1, 1, 2, ['user:']), (2, 1, 3, ['assistant:']), (3, 1, 2, ['user:']),
+    (0, 2, 3, ['user:', 'assistant:']), (1, 2, 3, ['user:', 'assistant:'])),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, p AS q, CAST(2 * more AS BIGINT) AS cost, repeat('I', more) AS audit, said AS body FROM t, ins WHERE ins.q = 0
+    UNION ALL SELECT conv_id, i, q, cost, audit, body FROM (
+        SELECT s.conv_id, s.i, ins.p AS q, s.cost + 2 * more AS cost, s.audit || repeat('I', more) AS audit, list_concat(s.body, said) AS body FROM (
+            SELECT w.conv_id, r.i, w.q, w.cost + 3 AS cost, w.audit || 'D' AS audit, w.body FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+            UNION ALL SELECT w.conv_id, r.i, edge.p, w.cost + CAST(unended AS INT), w.audit || 'K', list_append(w.body, role || ':' || text)
+                FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN edge ON edge.q = w.q AND edge.c = r.c WHERE NOT must
+            UNION ALL SELECT w.conv_id, r.i, x.p, w.cost + 2 + CAST(unended AS INT), w.audit || 'R', list_append(w.body, x.said[1] || text)
+                FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN ins x ON x.q = w.q AND x.more = 1 WHERE NOT must) s
+        JOIN ins ON ins.q = s.q)
+    QUALIFY row_number() OVER (PARTITION BY conv_id, i, q ORDER BY cost, audit) = 1),
+z AS (SELECT w.*, row_number() OVER (PARTITION BY w.conv_id ORDER BY cost, audit) AS best FROM w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.i WHERE q IN (0, 3))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(body, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM o.conv_id AND best = 1""",
 }
