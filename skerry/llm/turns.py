@@ -281,7 +281,7 @@ def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return batched(_chunks(rows_of(batches)), CHUNK)
 
 
-def _chunks(ordered: Iterator[tuple]) -> Iterator[tuple]:
+def _chunks(ordered: Iterator[tuple], most: int = CHUNK_ROWS, chars: int = CHUNK_CHARS) -> Iterator[tuple]:
     part, number, talk, rows, size, last = TaskContext.get().partitionId(), 0, None, [], 0, None
 
     def chunk() -> tuple:
@@ -302,7 +302,7 @@ def _chunks(ordered: Iterator[tuple]) -> Iterator[tuple]:
         )
 
     for row in ordered:
-        if rows and (row[0] != talk or len(rows) >= CHUNK_ROWS or size >= CHUNK_CHARS):
+        if rows and (row[0] != talk or len(rows) >= most or size >= chars):
             yield chunk()
             number, rows, size = number + 1, [], 0
         talk = row[0]
