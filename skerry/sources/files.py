@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator, Sequence
 from urllib.parse import quote
 
@@ -12,10 +13,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from skerry.operators.ordering import latest_rows
 from skerry.sources import payloads
-from skerry.workspace import path_exists
-
-# A comma outside double quotes.
-CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+from skerry.sources.delimited import csv_by_header  # noqa: F401
+from skerry.workspace import hadoop_path, path_exists
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str, corrupt: str = "_corrupt") -> DataFrame:
@@ -54,11 +53,20 @@ def scan_envelope_pages(spark: SparkSession, path: str, record: str) -> DataFram
 
 def discover_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> DataFrame:
     """Recursive listing: path, name, first folder under the root, format, size and time. Contents are not read."""
+    return _listing(spark, root, suffixes).drop("uri")
+
+
+def _listing(spark: SparkSession, root: str, suffixes: Sequence[str]) -> DataFrame:
+    """`discover_files` with `uri`, the path as the rows of other scans state it."""
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{{{','.join(suffixes)}}}").option("recursiveFileLookup", True)
-        .load(root).select("path", "length", "modificationTime")
+        .load(root).select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("uri"))
     )
+    return _described(listed, root)
+
+
+def _described(listed: DataFrame, root: str) -> DataFrame:
     bare = root.split(":", 1)[-1].rstrip("/")
     inside = F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), f"^\\Q/{bare.lstrip('/')}\\E/", "")
     parts = F.split(inside, "/")
@@ -69,15 +77,19 @@ def discover_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> D
         F.element_at(F.split("path", "[.]"), -1).alias("format"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
+        "uri",
     )
 
 
+LENIENT = ["csv", "json", "parquet"]
+
+
 def scan_lenient(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """All CSV, JSON and Parquet files under a root, with `source_path`.
 
     A line that does not fit the schema stays as a row with its text in
-    `corrupt`; a file that cannot be read gives no rows and is named by
-    `skipped_files`.
+    `corrupt`. A file that cannot be read to its end gives no rows, not even
+    those before the fault, and is named by `skipped_files`.
     """
     def reader(fmt: str) -> DataFrame:
         own = schema if fmt == "parquet" else f"{schema}, corrupt string"
@@ -88,34 +100,63 @@ def scan_lenient(spark: SparkSession, root: str, schema: str) -> DataFrame:
         )
         return rows.withColumn("corrupt", F.lit(None).cast("string")) if fmt == "parquet" else rows
 
-    return reader("csv").unionByName(reader("json")).unionByName(reader("parquet"))
+    faulty = _faulty(spark, root).select(F.col("uri").alias("source_path"))
+    return reader("csv").unionByName(reader("json")).unionByName(reader("parquet")).join(faulty, "source_path", "left_anti")
 
 
-# Bytes of a text file that are looked at to tell text from anything else.
-PROBE_BYTES = 65_536
+# Bytes read at a time from files that are looked through.
+READ_BYTES = 4 << 20
 
 
 def read_fault(path: str, size: int) -> str | None:
-    """Why a file cannot be read, from its footer or first bytes; None for a readable one, however few rows it has."""
+    """Why a file cannot be read, from all its bytes; None for a readable one, however few rows it has."""
     if size == 0:
-        return "empty file"
+        return EMPTY
     system, name = pafs.FileSystem.from_uri(quote(path, safe=":/%"))
     with system.open_input_file(name) as source:
-        if path.endswith(".parquet"):
-            try:
-                pq.read_metadata(source)
-            except pa.ArrowException as fault:
-                return f"unreadable footer: {str(fault).splitlines()[0][:80]}"
-            return None
-        return "not a text file" if b"\0" in source.read(PROBE_BYTES) else None
+        return _parquet_fault(source) if path.endswith(".parquet") else _text_fault(source)
+
+
+def _parquet_fault(source: pa.NativeFile) -> str | None:
+    try:
+        table = pq.ParquetFile(source, page_checksum_verification=True)
+    except (pa.ArrowException, OSError) as fault:
+        return f"unreadable footer: {str(fault).splitlines()[0][:80]}"
+    try:
+        for _ in table.iter_batches():
+            pass
+    except (pa.ArrowException, OSError) as fault:
+        return f"unreadable data: {str(fault).splitlines()[0][:80]}"
+    return None
+
+
+def _text_fault(source: pa.NativeFile) -> str | None:
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    try:
+        while chunk := source.read(READ_BYTES):
+            if b"\0" in chunk:
+                return "not a text file"
+            decoder.decode(chunk)
+        decoder.decode(b"", final=True)
+    except UnicodeDecodeError:
+        return "not UTF-8 text"
+    return None
+
+
+EMPTY = "empty file"
 
 
 def skipped_files(spark: SparkSession, root: str) -> DataFrame:
-    """The listed files under the root that cannot be read, with a `reason`; Spark lists no files of zero bytes.
+    """The files under the root that cannot be read, with a `reason`, files of zero bytes included.
 
-    Only footers and first bytes are read.
+    Each file is read to its end by one task: text for bytes that are none,
+    Parquet row group by row group.
     """
-    listing = discover_files(spark, root, ["csv", "json", "parquet"])
+    return _faulty(spark, root).drop("uri")
+
+
+def _faulty(spark: SparkSession, root: str) -> DataFrame:
+    listing = _listing(spark, root, LENIENT)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,39 +165,30 @@ def skipped_files(spark: SparkSession, root: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, reasons], names=[*batch.schema.names, "reason"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in listing.schema)
-    return listing.repartition("path").mapInArrow(probe, f"{fields}, reason string").filter("reason IS NOT NULL")
+    probed = listing.repartition("path").mapInArrow(probe, f"{fields}, reason string").filter("reason IS NOT NULL")
+    found = empty_files(spark, root, LENIENT)
+    if not found:
+        return probed
+    rows = spark.createDataFrame(found, "path string, milliseconds long").select(
+        "path", F.lit(0).cast("long").alias("length"), F.timestamp_millis("milliseconds").alias("modificationTime"), F.col("path").alias("uri")
+    )
+    return probed.unionByName(_described(rows, root).withColumn("reason", F.lit(EMPTY)))
 
 
-def csv_by_header(
-    lines: DataFrame, columns: Sequence[str], required: Sequence[str], text: str = "value", file: str = "source_file",
-    at: str = "block_start",
-) -> tuple[DataFrame, DataFrame]:
-    """CSV text lines of many files to named text columns, and the files that lack a required column.
+def empty_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> list[tuple[str, int]]:
+    """Path and time of change (milliseconds) of files of zero bytes under a folder; Spark's scans list none.
 
-    Column positions come from each file's own header line, so files may order
-    their columns differently or carry extra ones. A cell that is empty or
-    absent is NULL. Quoted cells may hold commas but no line breaks.
+    The file system is listed on the driver, as Spark does for the others.
     """
-    numbered = lines.withColumn("__place", F.struct(F.col(at).alias("at"), F.monotonically_increasing_id().alias("line")))
-    headers = numbered.groupBy(file).agg(F.min_by(text, "__place").alias("__header"), F.min("__place").alias("__first")).withColumn(
-        "__names", F.transform(F.split("__header", CELL_BREAK), lambda c: F.trim(F.translate(c, '"', "")))
-    ).withColumn("__absent", F.array_except(F.array(*[F.lit(c) for c in required]), "__names"))
-    body = (
-        numbered.join(headers, file)
-        # Only the first line is the header; a later line that looks like it is a row.
-        .filter((F.size("__absent") == 0) & (F.col("__place") != F.col("__first")) & (F.length(F.trim(text)) > 0))
-        .withColumn("__cells", F.split(text, CELL_BREAK))
-    )
-
-    def cell(name: str) -> Column:
-        raw = F.get("__cells", F.array_position("__names", name).cast("int") - 1)
-        bare = F.replace(F.regexp_replace(raw, '^\\s*"(.*)"\\s*$', "$1"), F.lit('""'), F.lit('"'))
-        return F.nullif(F.trim(bare), F.lit("")).alias(name)
-
-    skipped = headers.filter(F.size("__absent") > 0).select(
-        file, F.concat(F.lit("missing columns: "), F.array_join("__absent", ", ")).alias("reason")
-    )
-    return body.select(file, *[cell(c) for c in columns]), skipped
+    fs, target = hadoop_path(spark, root)
+    if not fs.exists(target):
+        return []
+    listed, found = fs.listFiles(target, True), []
+    while listed.hasNext():
+        status = listed.next()
+        if status.getLen() == 0 and (path := status.getPath().toString()).endswith(tuple(f".{s}" for s in suffixes)):
+            found.append((path, status.getModificationTime()))
+    return found
 
 
 def load_table(df: DataFrame, table: str, mode: str = "replace", path: str | None = None) -> None:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+
 def run_to_end(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> list[dict]:
     """Process everything available, then stop. All progress reports of the run are returned, in order.
 
@@ -25,9 +27,9 @@ def run_to_end(writer: DataStreamWriter, checkpoint: str, timeout: int | None =
             raise TimeoutError(f"stream still running after {timeout} s")
 
 
-def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    """One folder per batch, overwritten when the batch is replayed, so nothing doubles."""
-    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+def write_batch(df: DataFrame, root: str, batch_id: int, by: Sequence[str] = ()) -> None:
+    """One folder per batch, overwritten when the batch is replayed, so nothing doubles; in it one per value of `by`."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{root}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:

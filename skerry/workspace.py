@@ -42,6 +42,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def child_names(spark: SparkSession, path: str, prefix: str) -> set[str]:
+    """Names of what lies in a folder, if they start with `prefix`; none if there is no such folder."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return set()
+    return {name for s in fs.listStatus(target) if (name := s.getPath().getName()).startswith(prefix)}
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Make sure `DataFrame.checkpoint()` has its shared directory."""
     if spark.sparkContext.getCheckpointDir() is None:
