@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from skerry.operators.sets import concat_frames
 from skerry.plans.registry import SCHEMAS, Tables, query, round_half_up
 from skerry.sources import files, payloads
-from skerry.workspace import hadoop_path, scratch
+from skerry.workspace import scratch, write_bytes
 
 LINE_STAMP = "yyyy-MM-dd'T'HH:mm"
 
@@ -236,9 +236,25 @@ def write_features(t: Tables) -> DataFrame:
     return payloads.flatten_features(docs, "value", "id: bigint, magnitude: double")
 
 
-@query("SELECT 'Point' AS geometry_type, COUNT(*) AS count FROM @v_geo")
+@query("""
+SELECT CASE WHEN id % 4 = 0 THEN 'Polygon' WHEN id % 4 = 1 THEN 'LineString' WHEN id % 4 = 2 THEN 'Point' ELSE 'GeometryCollection' END AS geometry_type, COUNT(*) AS count
+FROM @v_geo WHERE id % 9 <> 0 AND id % 10 <> 0 GROUP BY 1
+""")
 def geometry_counts(t: Tables) -> DataFrame:
-    return files.geometry_counts(files.features(t.v_geo, "lon", "lat", ["id"]), "value")
+    """Features of several geometries, written as text and read back; some rows have none, some one that is no JSON."""
+    path = scratch(t.spark, "geometries")
+    point = F.array("lon", "lat")
+    square = F.array(*[F.array(F.col("lon") + x, F.col("lat") + y) for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))])
+    shape = lambda kind, body, name="coordinates": F.to_json(F.struct(F.lit(kind).alias("type"), body.alias(name)))
+    member = F.array(F.struct(F.lit("Point").alias("type"), point.alias("coordinates")))
+    kind = F.col("id") % 4
+    geometry = (
+        F.when(F.col("id") % 10 == 0, "no geometry {").when(F.col("id") % 9 == 0, F.lit(None)).when(kind == 0, shape("Polygon", F.array(square)))
+        .when(kind == 1, shape("LineString", F.array(point, point))).when(kind == 2, shape("Point", point))
+        .otherwise(shape("GeometryCollection", member, "geometries"))
+    )
+    files.geometry_features(t.v_geo.withColumn("geometry", geometry), "geometry", ["id", "magnitude"]).write.text(path)
+    return files.geometry_counts(t.spark.read.text(path), "value")
 
 
 @query("""
@@ -282,10 +298,9 @@ def mixed_folder(t: Tables) -> str:
     shape(t.supplier, "s_suppkey", "s_name").write.option("header", True).csv(f"{root}/suppliers")
     shape(t.part, "p_partkey", "p_name").write.json(f"{root}/parts")
     shape(t.customer, "c_custkey", "c_name").write.parquet(f"{root}/customers")
-    fs, target = hadoop_path(t.spark, f"{root}/broken/bad.parquet")
-    out = fs.create(target)
-    out.write(bytearray(b"this is not a parquet file"))
-    out.close()
+    write_bytes(t.spark, f"{root}/broken/bad.parquet", b"this is not a parquet file")
+    write_bytes(t.spark, f"{root}/broken/late.csv", b"id,name\n" + b"1,x\n" * 50_000 + b"2,\x00\n")
+    write_bytes(t.spark, f"{root}/broken/none.json", b"")
     return root
 
 
@@ -297,10 +312,11 @@ def scan_lenient(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT 'bad.parquet' AS name, 'broken' AS folder, 'unreadable footer' AS reason, (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM customer) AS rows_elsewhere
+SELECT f.*, (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM customer) AS rows_elsewhere FROM (VALUES
+ ('bad.parquet', 'broken', 'unreadable footer'), ('late.csv', 'broken', 'not a text file'), ('none.json', 'broken', 'empty file')) f(name, folder, reason)
 """)
 def skipped_files(t: Tables) -> DataFrame:
-    """The one unreadable file with its reason, and the rows of all the others."""
+    """The unreadable files with their reasons, and the rows of all the others."""
     root = mixed_folder(t)
     rows = files.scan_lenient(t.spark, root, "id bigint, name string").filter("corrupt IS NULL").agg(F.count("id")).scalar()
     found = files.skipped_files(t.spark, root)

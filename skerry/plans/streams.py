@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skerry import functions as fn
 from skerry.operators import quality as q
@@ -18,7 +18,7 @@ from skerry.plans.windows import burst_sql, minute_text
 from skerry.sources import files
 from skerry.streaming import events as ev, landing as ld
 from skerry.streaming.runner import read_batches
-from skerry.workspace import make_dirs, scratch
+from skerry.workspace import scratch, write_bytes
 
 
 @query("SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
@@ -45,14 +45,25 @@ def stream_file_counts(t: Tables) -> DataFrame:
 
 
 LANDED = ["record_id", "station", "temperature_f", "humidity_pct"]
+NOTED = [*LANDED, "note"]
+# Cells with quotes, commas and line breaks, and the same in SQL.
+NOTE_SQL = """CASE WHEN record_id % 5 = 0 THEN 'seen at "' || station || '",' || chr(10) || 'by ' || record_id WHEN record_id % 5 = 1 THEN chr(10) || 'late, "so"' END"""
+QUOTED = {"header": "true", "escape": '"'}
+
+
+def noted_text(t: Tables) -> DataFrame:
+    kind = F.col("record_id") % 5
+    seen = F.concat(F.lit('seen at "'), "station", F.lit('",\nby '), "record_id")
+    return faulty_text(t).withColumn("note", F.when(kind == 0, seen).when(kind == 1, F.lit('\nlate, "so"')))
 
 
 def land_observations(t: Tables, path: str) -> None:
     """Observations as CSV: two deliveries with different column orders, and one without temperatures."""
-    text = faulty_text(t)
-    options = {"header": "true"}
-    text.filter("record_id % 2 = 0").select(*LANDED).write.options(**options).csv(f"{path}/a")
-    text.filter("record_id % 2 = 1").select(*reversed(LANDED)).write.options(**options).csv(f"{path}/b")
+    text = noted_text(t)
+    # Blanks at the ends of cells are kept, so that a line break stays where it is.
+    options = {**QUOTED, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    text.filter("record_id % 2 = 0").select(*NOTED).write.options(**options).csv(f"{path}/a")
+    text.filter("record_id % 2 = 1").select(*reversed(NOTED)).write.options(**options).csv(f"{path}/b")
     text.filter("record_id % 2 = 1").select("record_id", "station").write.options(**options).csv(f"{path}/c")
 
 
@@ -61,50 +72,70 @@ def land_flat(t: Tables, root: str) -> str:
     return f"{root}/landing/*"
 
 
+def delivery(file: str) -> Column:
+    """The folder a file was landed in."""
+    return F.element_at(F.split(file, "/"), -2).alias("delivery")
+
+
 @query(f"""
-SELECT record_id, ROUND((COALESCE(TRY_CAST(temperature_f AS DOUBLE), 32) - 32) * 5 / 9, 2) AS temperature_c, COALESCE(CAST(humidity_pct AS DOUBLE), 50.0) AS humidity_pct
+SELECT record_id, ROUND((COALESCE(TRY_CAST(temperature_f AS DOUBLE), 32) - 32) * 5 / 9, 2) AS temperature_c, COALESCE(CAST(humidity_pct AS DOUBLE), 50.0) AS humidity_pct,
+ {NOTE_SQL} AS note, CASE WHEN record_id % 2 = 0 THEN 'a' ELSE 'b' END AS delivery, TRUE AS under_its_file
 FROM {FAULTY_SQL} f
 """)
 def stream_landing_zone(t: Tables) -> DataFrame:
+    """Rows by source file; some cells hold quotes and line breaks."""
     root = scratch(t.spark, "landing-zone")
 
     def transform(table: DataFrame) -> DataFrame:
         fahrenheit = F.coalesce(fn.to_number(F.col("temperature_f")), F.lit(32.0))
         return table.select(
+            "source_file",
             F.col("record_id").cast("bigint").alias("record_id"),
             fn.convert_units(fahrenheit, "F", "C", 2).alias("temperature_c"),
             F.coalesce(fn.to_number(F.col("humidity_pct")), F.lit(50.0)).alias("humidity_pct"),
+            "note",
         )
 
     ld.stream_landing_zone(
-        t.spark, land_flat(t, root), f"{root}/out", f"{root}/state", LANDED, ["record_id", "temperature_f"], transform
+        t.spark, land_flat(t, root), f"{root}/out", f"{root}/state", NOTED, ["record_id", "temperature_f"], transform
+    )
+    rows = t.spark.read.parquet(f"{root}/out/rows")
+    name = F.element_at(F.split("source_file", "/"), -1)
+    return rows.select(
+        "record_id", "temperature_c", "humidity_pct", "note", delivery("source_file"), (F.col("source") == name).alias("under_its_file")
     )
-    return t.spark.read.parquet(f"{root}/out/rows").drop("batch_id")
 
 
-@query("SELECT 'missing columns: temperature_f' AS reason, COUNT(*) > 0 AS any_rows FROM events")
+@query("""
+SELECT 'c' AS delivery, 'missing columns: temperature_f' AS reason, (SELECT COUNT(*) FROM events) AS rows_elsewhere
+""")
 def stream_skipped_files(t: Tables) -> DataFrame:
-    """Files without a required column leave a warning and no rows."""
+    """Files without a required column leave a warning and no rows; all rows of the others are there."""
     root = scratch(t.spark, "skipped-files")
     ld.stream_landing_zone(
         t.spark, land_flat(t, root), f"{root}/out", f"{root}/state", LANDED, ["record_id", "temperature_f"], lambda df: df
     )
-    rows = t.spark.read.parquet(f"{root}/out/rows").agg(F.count("*") > 0).scalar()
-    return t.spark.read.parquet(f"{root}/out/skipped").select("reason").distinct().withColumn("any_rows", rows)
+    rows = t.spark.read.parquet(f"{root}/out/rows").agg(F.count("record_id")).scalar()
+    skipped = t.spark.read.parquet(f"{root}/out/skipped")
+    return skipped.select(delivery("source_file"), "reason").distinct().withColumn("rows_elsewhere", rows)
 
 
-@query()
+@query(f"SELECT record_id, station, {NOTE_SQL} AS note, TRUE AS stamped FROM {FAULTY_SQL} f")
 def archive_processed(t: Tables) -> DataFrame:
-    """Names of landed files found in the archive after a later batch."""
+    """Rows of the originals in the archive, read back; the last delivery is there too, and nothing is left behind."""
     root = scratch(t.spark, "archive")
-    text = faulty_text(t).select(*LANDED)
-    make_dirs(t.spark, f"{root}/archive")
-    for delivery in ("record_id % 2 = 0", "record_id % 2 = 1", "record_id % 2 = 1"):
-        text.filter(delivery).write.mode("append").option("header", True).csv(f"{root}/landing")
+    for even in ("record_id % 2 = 0", "record_id % 2 = 1"):
+        noted_text(t).filter(even).select(*NOTED).write.mode("append").options(**QUOTED, ignoreLeadingWhiteSpace="false").csv(f"{root}/landing")
         ld.stream_landing_zone(
-            t.spark, f"{root}/landing", f"{root}/out", f"{root}/state", LANDED, ["record_id"], lambda df: df, f"{root}/archive"
+            t.spark, f"{root}/landing", f"{root}/out", f"{root}/state", NOTED, ["record_id"], lambda df: df, f"{root}/archive"
         )
-    return files.discover_files(t.spark, f"{root}/archive", ["csv"]).select("name", "size")
+    left = files.discover_files(t.spark, f"{root}/landing", ["csv"]).select(F.lit(-1).cast("bigint"), "name", "path", F.lit(False))
+    back = (
+        t.spark.read.schema("record_id bigint, station string, temperature_f string, humidity_pct string, note string")
+        .options(**QUOTED, multiLine=True, ignoreLeadingWhiteSpace="false").csv(f"{root}/archive")
+    )
+    stamped = F.col("_metadata.file_name").rlike(r"^\d{8}T\d{6}_").alias("stamped")
+    return back.select("record_id", "station", "note", stamped).unionAll(left)
 
 
 @query("""
@@ -122,24 +153,48 @@ def stream_json_events(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/out")
 
 
+# Files that must give a dead letter and no row: their bytes behind a sound header and a sound row.
+UNUSABLE = {
+    "binary.csv": (b"4,x,5,6,7\n\x00\xff\xfe\n5,x,6,7,8\n", "not a text file"),
+    "latin.csv": ("4,caf\u00e9,5,6,7\n".encode("latin-1"), "not UTF-8 text"),
+    "cut.csv": (b"4,x,5,6,7\n5,x", "the last record is cut off"),
+    "open.csv": (b'4,"x,5,6,7\n5,x,6,7,8\n', "a quoted cell is never closed"),
+}
+
+
 @query(f"""
-SELECT record_id, 'clean' AS route, NULL AS reason FROM {FAULTY_SQL} f WHERE NOT (record_id % 17 = 0 OR CAST(humidity_pct AS DOUBLE) > 100)
+SELECT record_id, 'clean' AS route, NULL AS reason, NULL AS file FROM {FAULTY_SQL} f WHERE NOT (record_id % 17 = 0 OR CAST(humidity_pct AS DOUBLE) > 100)
 UNION ALL SELECT record_id, 'rejected', CASE WHEN record_id % 17 = 0 AND CAST(humidity_pct AS DOUBLE) > 100 THEN 'temperature_f is not numeric; humidity_pct outside 0..100'
- WHEN record_id % 17 = 0 THEN 'temperature_f is not numeric' ELSE 'humidity_pct outside 0..100' END FROM {FAULTY_SQL} f
+ WHEN record_id % 17 = 0 THEN 'temperature_f is not numeric' ELSE 'humidity_pct outside 0..100' END, NULL FROM {FAULTY_SQL} f
  WHERE record_id % 17 = 0 OR CAST(humidity_pct AS DOUBLE) > 100
-UNION ALL SELECT NULL, 'dead letter', 'missing columns: temperature_f, humidity_pct'
+UNION ALL SELECT NULL, 'dead letter', 'missing columns: temperature_f, humidity_pct', 'c'
+UNION ALL SELECT NULL, 'dead letter', 'empty file', 'empty.csv'
+{"".join(f"UNION ALL SELECT NULL, 'dead letter', '{reason}', '{name}' " for name, (_, reason) in UNUSABLE.items())}
 """)
 def stream_quarantine(t: Tables) -> DataFrame:
+    """Observations among files that cannot be used: none of their rows is clean or rejected, and they are set aside."""
     root = scratch(t.spark, "quarantine")
+    landed = land_flat(t, root)
+    head = f"{','.join(NOTED)}\n1,x,2,3,4\n".encode()
+    write_bytes(t.spark, f"{root}/landing/d/empty.csv", b"")
+    for name, (body, _) in UNUSABLE.items():
+        write_bytes(t.spark, f"{root}/landing/d/{name}", head + body)
     ld.stream_quarantine(
-        t.spark, land_flat(t, root), f"{root}/out", f"{root}/state", LANDED, ["temperature_f", "humidity_pct"], fault_rules()
+        t.spark, landed, f"{root}/out", f"{root}/state", NOTED, ["temperature_f", "humidity_pct"], fault_rules(), f"{root}/aside"
+    )
+    empty = F.lit(None).cast("string")
+    clean = t.spark.read.parquet(f"{root}/out/clean").select(
+        F.col("record_id").cast("bigint").alias("record_id"), F.lit("clean").alias("route"), empty.alias("reason"), empty.alias("file")
     )
-    clean = t.spark.read.parquet(f"{root}/out/clean").select(F.col("record_id").cast("bigint").alias("record_id"), F.lit("clean").alias("route"))
     rejected = t.spark.read.parquet(f"{root}/out/rejected").select(
-        F.get_json_object("row_data", "$.record_id").cast("bigint").alias("record_id"), F.lit("rejected").alias("route"), "reason"
+        F.get_json_object("row_data", "$.record_id").cast("bigint").alias("record_id"), F.lit("rejected").alias("route"), "reason", empty.alias("file")
+    )
+    folder, name = F.element_at(F.split("source_file", "/"), -2), F.element_at(F.split("source_file", "/"), -1)
+    dead = t.spark.read.parquet(f"{root}/out/dead_letters").select(
+        F.lit(None).cast("bigint").alias("record_id"), F.lit("dead letter").alias("route"), "reason",
+        F.when(folder == "d", name).otherwise(folder).alias("file"),
     )
-    dead = t.spark.read.parquet(f"{root}/out/dead_letters").select(F.lit("dead letter").alias("route"), "reason").distinct()
-    return concat_frames([clean, rejected, dead])
+    return concat_frames([clean, rejected, dead.distinct()])
 
 
 @query("""

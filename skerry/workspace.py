@@ -37,6 +37,14 @@ def make_dirs(spark: SparkSession, path: str) -> str:
     return path
 
 
+def write_bytes(spark: SparkSession, path: str, body: bytes) -> None:
+    """A small file with the given bytes."""
+    fs, target = hadoop_path(spark, path)
+    out = fs.create(target)
+    out.write(bytearray(body))
+    out.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = hadoop_path(spark, path)
     return bool(fs.exists(target))
