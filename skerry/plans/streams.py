@@ -16,6 +16,7 @@ from skerry.plans.rows import FAULTY_SQL, fault_rules, faulty_text
 from skerry.plans.scalars import expressions
 from skerry.plans.windows import burst_sql, minute_text
 from skerry.sources import files
+from skerry.sources.tables import KeyedTable
 from skerry.streaming import events as ev, landing as ld
 from skerry.streaming.runner import read_batches
 from skerry.workspace import scratch, write_bytes
@@ -201,21 +202,20 @@ def stream_quarantine(t: Tables) -> DataFrame:
 SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 3 ELSE c_acctbal END AS c_acctbal FROM customer
 """)
 def stream_upsert(t: Tables) -> DataFrame:
-    """Customers, then two deliveries of updates; the second delivery arrives twice."""
+    """Customers, then two deliveries of updates; the second delivery arrives twice. Each batch is one commit."""
     root = scratch(t.spark, "upsert")
-    schema = "c_custkey bigint, c_name string, c_acctbal double, version int, bucket int"
-    bucket = F.pmod(F.xxhash64("c_custkey"), F.lit(8)).cast("int")
-    base = t.customer.select("c_custkey", "c_name", "c_acctbal", F.lit(0).alias("version"), bucket.alias("bucket"))
+    schema = "c_custkey bigint, c_name string, c_acctbal double, version int"
+    base = t.customer.select("c_custkey", "c_name", "c_acctbal", F.lit(0).alias("version"))
     changes = base.filter("c_custkey % 7 = 0")
+    table = KeyedTable(t.spark, f"{root}/table", schema, ("c_custkey",))
 
     def version(n: int) -> DataFrame:
         return changes.withColumn("c_acctbal", F.col("c_acctbal") + n).withColumn("version", F.lit(n))
 
     for delivery in (base, version(1).unionByName(version(3)), version(3)):
         delivery.write.mode("append").parquet(f"{root}/landing")
-        stream = ev.read_stream(t.spark, f"{root}/landing", schema)
-        ev.stream_upsert(stream, f"{root}/out", f"{root}/state", ["c_custkey"], "bucket", [F.col("version")])
-    return t.spark.read.schema(schema).parquet(f"{root}/out").select("c_custkey", "c_name", "c_acctbal")
+        ev.stream_upsert_table(ev.read_stream(t.spark, f"{root}/landing", schema), table, f"{root}/state", [F.col("version")])
+    return table.read().select("c_custkey", "c_name", "c_acctbal")
 
 
 def land_events(t: Tables, root: str) -> list[DataFrame]:

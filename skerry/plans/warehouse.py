@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from skerry.operators import warehouse as w
+from skerry.operators.history import history_schema, load_delivery, snapshots as full_dates, versions
 from skerry.plans.registry import INDICATORS, Tables, query
+from skerry.sources.tables import KeyedTable
 from skerry.workspace import scratch
 
 DIM_SQL = """(SELECT CAST(ROW_NUMBER() OVER (ORDER BY country) AS BIGINT) AS dim_key, country_key, country, region, population, area_km2,
@@ -126,6 +130,48 @@ def scd2_merge(t: Tables) -> DataFrame:
     return history(t).withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("valid_from", "valid_to")})
 
 
+DELIVERIES = {"2024-01-01": True, "2024-06-01": False, "2024-09-01": False, "2025-01-01": True}
+
+
+def delivered(t: Tables, on: str) -> DataFrame:
+    """Customers as stated on a date: two full snapshots without some keys, and changes in between."""
+    key, balance = F.col("c_custkey"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal"))
+    rows = t.customer.select(key, F.concat("c_name", F.lit(f" {on[:4]}")).alias("c_name"), balance.alias("c_acctbal"), "c_mktsegment")
+    return {
+        "2024-01-01": rows.where(key % 13 != 0),
+        "2024-06-01": rows.where(key % 7 == 0).withColumn("c_acctbal", F.coalesce("c_acctbal", F.lit(0.0)) + 1),
+        "2024-09-01": rows.where(key % 14 == 0).withColumn("c_mktsegment", F.lit("MOVED")),
+        "2025-01-01": rows.where(key % 11 != 0),
+    }[on]
+
+
+@query("""
+WITH r AS (SELECT c_custkey AS k, c_name AS n, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS b, c_mktsegment AS s FROM customer),
+o AS (SELECT k, DATE '2024-01-01' AS d, n || ' 2024' AS n, b, s FROM r WHERE k % 13 <> 0
+  UNION ALL SELECT k, DATE '2024-06-01', n || ' 2024', COALESCE(b, 0.0) + 1, s FROM r WHERE k % 7 = 0
+  UNION ALL SELECT k, DATE '2024-09-01', n || ' 2024', b, 'MOVED' FROM r WHERE k % 14 = 0
+  UNION ALL SELECT k, DATE '2025-01-01', n || ' 2025', b, s FROM r WHERE k % 11 <> 0),
+p AS (SELECT *, lead(d) OVER w AS nx, CASE WHEN d < DATE '2025-01-01' THEN DATE '2025-01-01' END AS f FROM o WINDOW w AS (PARTITION BY k ORDER BY d)),
+q AS (SELECT *, f IS NOT NULL AND (nx IS NULL OR f < nx) AS ends FROM p),
+x AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR b IS DISTINCT FROM lag(b) OVER w OR s IS DISTINCT FROM lag(s) OVER w OR lag(ends) OVER w THEN 1 ELSE 0 END AS starts
+  FROM q WINDOW w AS (PARTITION BY k ORDER BY d)),
+y AS (SELECT *, SUM(starts) OVER (PARTITION BY k ORDER BY d) AS v FROM x)
+SELECT k AS c_custkey, arg_max(n, d) AS c_name, MAX(b) AS c_acctbal, MAX(s) AS c_mktsegment, strftime(MIN(d), '%Y-%m-%d') AS valid_from,
+  strftime(arg_max(CASE WHEN ends THEN f ELSE COALESCE(nx, DATE '9999-12-31') END, d), '%Y-%m-%d') AS valid_to,
+  arg_max(CASE WHEN ends THEN f ELSE COALESCE(nx, DATE '9999-12-31') END, d) = DATE '9999-12-31' AS is_current
+FROM y GROUP BY k, v
+""")
+def scd2_deliveries(t: Tables) -> DataFrame:
+    """Four deliveries, the latest first and one of them twice, each committed onto the history so far."""
+    attributes = "c_name string, c_acctbal double, c_mktsegment string"
+    schema = history_schema("c_custkey bigint", attributes)
+    table = KeyedTable(t.spark, scratch(t.spark, "history"), schema, ("c_custkey",), part_rows=20_000)
+    for on in ("2025-01-01", "2024-06-01", "2024-01-01", "2024-06-01", "2024-09-01"):
+        load_delivery(table, delivered(t, on), date.fromisoformat(on), DELIVERIES[on])
+    found = versions(table.read(), "c_custkey", ["c_acctbal", "c_mktsegment"], full_dates(table))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("valid_from", "valid_to")})
+
+
 @query(f"""
 WITH s AS (SELECT * FROM {SCD_SQL} x), o AS (SELECT COUNT(DISTINCT o_custkey + CASE WHEN o_orderkey % 100 = 0 THEN 5000000000 ELSE 0 END) AS n FROM orders
   WHERE o_custkey + CASE WHEN o_orderkey % 100 = 0 THEN 5000000000 ELSE 0 END NOT IN (SELECT c_custkey FROM s))

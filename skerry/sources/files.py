@@ -221,10 +221,10 @@ def append_dataset(df: DataFrame, path: str) -> None:
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows of the target not updated, and the latest update per key. Repeating it changes nothing."""
-    return _merged(target, latest_rows(updates, keys, order), keys)
+    return merge_latest(target, latest_rows(updates, keys, order), keys)
 
 
-def _merged(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Missing key values are equal to each other, so that repeating an update cannot double their rows."""
     renamed = latest.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in keys]
@@ -256,7 +256,7 @@ def upsert_partitions(
             touched = latest.select(F.col(partition).alias("__touched")).distinct()
             stored = spark.read.schema(updates.schema).parquet(path)
             current = stored.join(touched, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
-            merged = _merged(current, latest, keys)
+            merged = merge_latest(current, latest, keys)
         overwrite_partitions(merged, path, partition)
     finally:
         latest.unpersist()

@@ -12,6 +12,7 @@ from skerry.operators.quality import Check, run_checks
 from skerry.operators.rows import quality_gate
 from skerry.operators.windows import burst_clusters
 from skerry.sources.files import upsert_partitions
+from skerry.sources.tables import KeyedTable
 from skerry.streaming.runner import run_to_end, write_batch
 from skerry.workspace import path_exists
 
@@ -27,6 +28,18 @@ def stream_upsert(
     return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 
 
+def stream_upsert_table(stream: DataFrame, table: KeyedTable, checkpoint: str, order: Sequence[Column]) -> list[dict]:
+    """Each batch is one commit of the table; a batch that was committed before is not written again.
+
+    A run that dies before its commit leaves the table as it was.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, order, writer=checkpoint, batch=batch_id)
+
+    return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
+
+
 def window_counts(df: DataFrame, ts: str, span: str, keys: Sequence[str], col: str) -> DataFrame:
     """Per event-time window and key: rows, present values and their sum."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -50,6 +50,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all it holds."""
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str, prefix: str) -> set[str]:
     """Names of what lies in a folder, if they start with `prefix`; none if there is no such folder."""
     fs, target = hadoop_path(spark, path)
