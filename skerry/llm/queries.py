@@ -37,9 +37,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, model, cut=0.7)
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), cut=0.7)
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

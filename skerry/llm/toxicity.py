@@ -14,15 +14,16 @@ sees their counts per language and score cell (`RESOLUTION`) only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from skerry.llm.shared import map_slices, map_texts, stored
+from skerry.llm.shared import SLICE_ROWS, map_slices, stored
 
 MAX_ROWS = 8_000
 MEMO_WORDS = 100_000
@@ -237,45 +238,84 @@ def train(
     common threshold.
     Without labels the model stays as drawn, with threshold 0.5.
     """
+    return learn(docs, labels, label_col, lang_col, max_rows, shape, least_labels, least_class)[0]
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", lang_col: str = "lang", max_rows: int = MAX_ROWS,
+    shape: Shape = Shape(), least_labels: int = 20, least_class: int = 10, keep: tuple[str, ...] = (), text_col: str = "text",
+) -> tuple[TextCnn, DataFrame]:
+    """`train`, and the stored scores it calibrated on: a row per row of `docs` with doc_id, lang, score and the columns `keep`.
+
+    Every text is scored once; labels meet scores, so no text is shuffled.
+    """
     marked = (
         labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("label"))
     )
+    marked = stored(marked, "labels")
     rows = marked.count()
     lot = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20))
     drawn = lot < int(min(1.0, max_rows / max(1, rows)) * (1 << 20))
     to_fit = drawn & (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) != 0)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.col(lang_col).cast("string").alias("lang"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"),
     )
-    got = marked.where(to_fit).join(texts, "doc_id").toPandas()
+    # About `max_rows` ids at most, so this side is bounded by the parameter.
+    got = texts.join(F.broadcast(marked.where(to_fit)), "doc_id").toPandas()
     got = got.sort_values(["doc_id", "text", "lang"]).drop_duplicates("doc_id")
     model = fit(list(got["text"]), got["label"].to_numpy(np.float64), shape)
-    model.thresholds = calibrate(marked.where(~to_fit).join(texts, "doc_id"), model, least_labels, least_class)
-    return model
+    scored = stored(_scored(docs, model, keep, text_col, lang_col), "scores")
+    light = scored.select("doc_id", SCORE_LANG, SCORE_TEXT, SCORE)
+    model.thresholds = calibrate(light.join(marked.where(~to_fit), "doc_id"), least_labels, least_class)
+    return model, scored
 
 
-def calibrate(rows: DataFrame, model: TextCnn, least_labels: int, least_class: int) -> dict[str | None, float]:
-    """The common threshold (under None) and those of languages from all of `rows` (doc_id, label, text, lang).
+# Names no column of documents has.
+SCORE_LANG, SCORE_TEXT, SCORE = "__lang", "__text", "__score"
 
-    Of a repeated document the first row counts. Scores are counted in cells of
-    the log odds, so the driver gets at most some 61,000 rows per language.
-    """
-    held = rows.sparkSession.sparkContext.broadcast(model)
 
-    def make():
-        run = held.value.scorer()
-        return lambda texts: [(float(s),) for s in run(texts)]
+def _scored(docs: DataFrame, model: TextCnn, keep: tuple[str, ...], text_col: str, lang_col: str) -> DataFrame:
+    """doc_id, language, a hash of the text and its score, besides the columns `keep`; one narrow pass."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    own = [F.col("doc_id").cast("long").alias("doc_id")] if "doc_id" not in keep else []
+    source = docs.select(
+        *[F.col(f"`{c}`") for c in keep], *own, F.col(f"`{lang_col}`").cast("string").alias(SCORE_LANG),
+        F.xxhash64(text).alias(SCORE_TEXT), text.alias("__read"),
+    )
+    names = source.columns[:-1]
+    fields = StructType([*(source.schema[c] for c in names), StructField(SCORE, DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = held.value.scorer()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                made = pa.array(score(part.column(len(names)).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], made], names=[*names, SCORE])
+
+    return source.mapInArrow(run, fields)
+
 
-    first = F.min(F.struct("text", F.col("lang").isNull().alias("none"), "lang")).alias("row")
-    single = rows.groupBy("doc_id").agg(F.first("label").alias("label"), first).select("label", "row.text", "row.lang")
+def calibrate(rows: DataFrame, least_labels: int, least_class: int) -> dict[str | None, float]:
+    """The common threshold (under None) and those of languages from all of `rows`: scores with labels.
+
+    Of a repeated document one row counts: the first by hash of its text and by
+    language. Scores are counted in cells of the log odds, so the driver gets at
+    most some 61,000 rows per language.
+    """
+    first = F.min(F.struct(SCORE_TEXT, F.col(SCORE_LANG).isNull().alias("none"), SCORE_LANG, SCORE)).alias("row")
+    single = rows.groupBy("doc_id").agg(F.first("label").alias("label"), first).select(
+        "label", F.col(f"row.{SCORE}").alias("score"), F.col(f"row.{SCORE_LANG}").alias("lang")
+    )
     score = F.least(F.greatest("score", F.lit(1e-13)), F.lit(1 - 1e-13))
     cell = F.floor(F.log(score / (1 - score)) * RESOLUTION).alias("cell")
     counts = F.min("score").alias("least"), F.max("score").alias("most"), F.count("*").alias("rows"), F.sum("label").alias("toxic")
-    cells = stored(map_texts(single, make, "score double", ("lang", "label")).groupBy("lang", cell).agg(*counts), "cells")
+    cells = stored(single.groupBy("lang", cell).agg(*counts), "cells")
     merged = F.min("least").alias("least"), F.max("most").alias("most"), F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic")
     every = cells.groupBy("cell").agg(*merged).toPandas()
     common = _threshold(every, 0.5)
@@ -301,25 +341,24 @@ def score_texts(docs: DataFrame, model: TextCnn, cut: float = 0.7, lang_col: str
     calibrated threshold. A NULL or empty text gets the score of no words. The
     model is broadcast: its size is set by its shape, whatever the corpus.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    return _judged(_scored(docs, model, (), "text", lang_col), model, cut)
 
-    def make():
-        run = held.value.scorer()
-        return lambda texts: [(float(s),) for s in run(texts)]
 
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        _limit(model, lang_col).alias("threshold"),
-    )
-    scored = map_texts(texts, make, "score double", ("doc_id", "threshold"))
+def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.7, lang_col: str = "lang", **options) -> DataFrame:
+    """`train` and `score_texts` on the same rows, each text scored once."""
+    model, scored = learn(docs, labels, lang_col=lang_col, **options)
+    return _judged(scored, model, cut)
+
+
+def _judged(scored: DataFrame, model: TextCnn, cut: float) -> DataFrame:
+    limit = _limit(model, SCORE_LANG)
     return scored.select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
-        "score",
-        (F.col("score") >= cut).cast("int").alias("predicted"),
-        "threshold",
-        (F.col("score") >= F.col("threshold")).alias("rejected"),
+        F.col(SCORE).alias("score"),
+        (F.col(SCORE) >= cut).cast("int").alias("predicted"),
+        limit.alias("threshold"),
+        (F.col(SCORE) >= limit).alias("rejected"),
     )
 
 
@@ -345,3 +384,10 @@ def reject(docs: DataFrame, model: TextCnn, text_col: str = "text", lang_col: st
         return keep
 
     return map_slices(docs, make)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """`train` and `reject` on the same rows: all columns stored once beside the score, so each text is scored once."""
+    model, scored = learn(docs, labels, keep=tuple(docs.columns), **options)
+    kept = scored.where(F.col(SCORE) < _limit(model, SCORE_LANG))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
