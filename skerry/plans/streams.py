@@ -245,12 +245,13 @@ def stream_burst_alerts(t: Tables) -> DataFrame:
     """The later half of the events arrives first: alerts follow the earlier ones."""
     root = scratch(t.spark, "bursts")
     cells = F.col("user_id") % 100
+    schema = "event_type string, cell bigint, start timestamp, count bigint"
+    alerts = KeyedTable(t.spark, f"{root}/alerts", schema, ("event_type", "cell"))
     for part in ("ts >= TIMESTAMP_NTZ '2024-01-15'", "ts < TIMESTAMP_NTZ '2024-01-15'"):
         t.events.filter(part).write.mode("append").parquet(f"{root}/landing")
         stream = ev.read_stream(t.spark, f"{root}/landing", SCHEMAS["events"]).withColumn("cell", cells)
-        ev.stream_burst_alerts(stream, ["event_type", "cell"], "ts", f"{root}/out", f"{root}/state")
-    out = t.spark.read.parquet(f"{root}/out/alerts")
-    return minute_text(out.select("event_type", "cell", "start", "count"))
+        ev.stream_burst_state(stream, ["event_type", "cell"], "ts", alerts, f"{root}/state")
+    return minute_text(alerts.read().select("event_type", "cell", "start", "count"))
 
 
 @query("SELECT event_id, event_type, value FROM events")

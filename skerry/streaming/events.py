@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skerry.operators.joins import enrich_lookup
-from skerry.operators.ordering import first_rows
+from skerry.operators.ordering import first_key, row_struct
 from skerry.operators.quality import Check, run_checks
 from skerry.operators.rows import quality_gate
 from skerry.operators.windows import burst_clusters
 from skerry.sources.files import upsert_partitions
 from skerry.sources.tables import KeyedTable
-from skerry.streaming.runner import run_to_end, write_batch
+from skerry.streaming.runner import run_to_end, settings, write_batch
+from skerry.streaming.state import ROCKSDB, FirstBurst
 from skerry.workspace import path_exists
 
 
@@ -143,23 +144,54 @@ def stream_burst_alerts(
     return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
 
 
+def stream_burst_state(
+    stream: DataFrame, cell: Sequence[str], ts: str, alerts: KeyedTable, checkpoint: str, span_seconds: int = 86_400, min_count: int = 3
+) -> list[dict]:
+    """`stream_burst_alerts` from state: a batch reads and writes what its own cells remember (`FirstBurst`).
+
+    `alerts` holds the cell, `start` and `count`; its parts change by commits. The
+    number of state partitions is that of shuffle partitions when the checkpoint
+    is new. Events without a time take no part.
+    """
+    spark = stream.sparkSession
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    timed = stream.select(*cell, at.alias("__t")).where("__t IS NOT NULL")
+    fields = f"{_ddl(timed, cell)}, __start bigint, count bigint"
+    found = timed.groupBy(*cell).transformWithStateInPandas(
+        FirstBurst(cell, span_seconds * 1_000_000, min_count), fields, "update", "none"
+    )
+    current = found.select(*cell, F.timestamp_micros("__start").alias("start"), "count")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if alerts.upsert(batch, [F.lit(1)], writer=checkpoint, batch=batch_id) is None:
+            # Committed before, but the state of the batch is written while its rows are read.
+            batch.write.format("noop").mode("overwrite").save()
+
+    with settings(spark, ROCKSDB):
+        return run_to_end(current.writeStream.outputMode("update").foreachBatch(handle), checkpoint)
+
+
 def stream_dedupe(stream: DataFrame, ts: str, keys: Sequence[str], target: str, checkpoint: str) -> list[dict]:
     """First arrival per key over the whole life of the stream, whatever the event times.
 
-    Inside one batch the earliest event counts. Keys of earlier batches are read
-    back from the output (only the key columns); a replayed batch overwrites its
-    own folder and does not see it.
+    Inside one batch the earliest event counts. The state store holds the first
+    row of each key and the times of the batches that brought its first and its
+    last row: a batch looks up its own keys only, however many came before, and a
+    key is new if both times are the batch's. A replayed batch keeps its time and
+    overwrites its own folder.
     """
+    arrival = F.current_timestamp()  # one time per batch
+    marked = stream.withColumn("__arrival", arrival)
+    first = F.min_by(row_struct(stream), F.struct("__arrival", first_key([F.col(ts)])))
+    kept = marked.groupBy(*keys).agg(
+        first.alias("__row"), F.min("__arrival").alias("__first"), F.max("__arrival").alias("__last")
+    ).select("__row", (F.col("__first") == F.col("__last")).alias("__new"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_rows(batch, keys, [F.col(ts)])
-        if batch_id and path_exists(batch.sparkSession, target):
-            seen = batch.sparkSession.read.schema(f"{_ddl(batch, keys)}, batch_id bigint").parquet(target)
-            known = seen.filter(F.col("batch_id") < batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys])
-            fresh = fresh.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
-        write_batch(fresh, target, batch_id)
+        write_batch(batch.where("__new").select("__row.*"), target, batch_id)
 
-    return run_to_end(stream.writeStream.foreachBatch(handle), checkpoint)
+    with settings(stream.sparkSession, ROCKSDB):
+        return run_to_end(kept.writeStream.outputMode("update").foreachBatch(handle), checkpoint)
 
 
 def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
