@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skerry.functions.bands import ladder
 from skerry.operators.ordering import latest_rows, positions
+from skerry.operators.sets import common_keys
 
 
 def join_inner(left: DataFrame, right: DataFrame, keys: Sequence[str], integer_keys: Sequence[str] = ()) -> DataFrame:
@@ -179,6 +180,11 @@ def graph_nodes(df: DataFrame, node: str, edges: DataFrame) -> DataFrame:
     return df.select(node).unionByName(ends).distinct()
 
 
+def nodes_of(df: DataFrame, node: str, neighbours: str) -> DataFrame:
+    """`graph_nodes` from the neighbour arrays themselves, in the pass that makes them."""
+    return df.select(F.explode(F.array_union(F.array(node), F.coalesce(neighbours, F.array()))).alias(node)).distinct()
+
+
 def ready_slots(frames: Sequence[DataFrame], slot: str) -> DataFrame:
     """Slots every input has."""
     return reduce(lambda a, b: a.join(b, slot), [df.select(slot).distinct() for df in frames])
@@ -188,3 +194,14 @@ def inputs_ready(frames: Sequence[DataFrame], slot: str) -> list[DataFrame]:
     """Each input cut to the slots all of them have."""
     ready = ready_slots(frames, slot)
     return [df.join(ready, slot, "left_semi") for df in frames]
+
+
+def tagged_inputs_ready(df: DataFrame, slot: Sequence[str], tag: str, tags: Sequence[str]) -> DataFrame:
+    """`inputs_ready` for inputs that are kinds of rows of one table: rows of the slots that hold every kind.
+
+    One pass finds the slots, reduced before they move, and one keeps the rows; a
+    single pass would have to hold all rows of a slot together.
+    """
+    wanted = df.where(F.col(tag).isin(list(tags)))
+    ready = common_keys(wanted, slot, tag, tags)
+    return wanted.join(ready.select(*[F.col(k).alias(f"__{k}") for k in slot]), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in slot], "left_semi")

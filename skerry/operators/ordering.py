@@ -60,6 +60,40 @@ def range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ra
     return df.sparkSession.read.schema(f"{_fields(df)}, {RANGE} int").parquet(path)
 
 
+HALO = "__halo"
+
+
+def with_halo(dealt: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int) -> DataFrame:
+    """Stored ranges (`range_slices`), each with the `rows` rows that stand before its first one, marked in `HALO`.
+
+    A frame of `rows` rows back can then run in every range of a key alone. Only
+    the last rows of ranges are copied, to the ranges that begin within reach,
+    however short these are.
+    """
+    counts = dealt.groupBy(*keys, RANGE).agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    last = Window.partitionBy(*keys, RANGE).orderBy(*[c.desc() for c in order])
+    tails = dealt.withColumn("__back", F.row_number().over(last)).where(F.col("__back") <= rows)
+
+    def named(df: DataFrame, tag: str, *others: Column) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"__{tag}{i}") for i, k in enumerate(keys)], *others)
+
+    ends = named(starts, "s", F.col(RANGE).alias("__from"), (F.col("__start") + F.col("__n")).alias("__end"))
+    own = [F.col(k).eqNullSafe(F.col(f"__s{i}")) for i, k in enumerate(keys)] + [F.col(RANGE) == F.col("__from")]
+    placed = tails.join(ends, own)
+    # A range starting at s takes the rows at positions s - rows + 1 to s; ranges of a key are as many as partitions.
+    lists = starts.groupBy(*keys).agg(F.collect_list(F.struct(F.col("__start").alias("s"), F.col(RANGE).alias("r"))).alias("__ranges"))
+    targets = named(lists, "t", F.col("__ranges"))
+    same = [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)] or [F.lit(True)]
+    position = F.col("__end") - F.col("__back") + 1
+    reach = F.filter("__ranges", lambda x: (x["r"] > F.col("__from")) & (x["s"] >= position) & (x["s"] < position + rows))
+    joined = placed.join(targets, same) if keys else placed.withColumn("__ranges", lists.select("__ranges").scalar())
+    copies = joined.withColumn("__to", F.explode(reach)).withColumn(RANGE, F.col("__to.r"))
+    columns = [F.col(f"`{c}`") for c in dealt.columns]
+    return dealt.select(*columns, F.lit(False).alias(HALO)).unionByName(copies.select(*columns, F.lit(True).alias(HALO)))
+
+
 def _fields(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 

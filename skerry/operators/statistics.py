@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skerry.functions.measures import nan_to_null
+from skerry.operators.gram import correlation_blocks
 from skerry.operators.ordering import values_at_ranks
 
 
@@ -76,11 +77,18 @@ def pearson_safe(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataF
     return out.withColumn("p_approx", p).select(*by, "r", "t_stat", "p_approx", "n")
 
 
+# Up to here all pairs are expressions of one aggregate, with no Python in the plan.
+FEW_COLUMNS = 24
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete correlations of all pairs, long form, both triangles.
 
-    One aggregate holds the upper triangle; mirroring happens on its single row.
+    For few columns one aggregate holds the upper triangle, and mirroring happens
+    on its single row; many are summed in blocks (`correlation_blocks`).
     """
+    if len(columns) > FEW_COLUMNS:
+        return correlation_blocks(df, columns)
     pairs = list(combinations(columns, 2))
     values = {c: nan_to_null(F.col(c)) for c in columns}
     one = df.agg(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from skerry.functions.measures import row_mean, safe_ratio
 from skerry.operators import joins, quality
@@ -153,6 +155,48 @@ def audit_trail(stages: Mapping[str, DataFrame], changes: DataFrame, schema_vers
     )
 
 
+class ObservedStages:
+    """Rows and durations of stages, counted by the stages' own actions.
+
+    `watch` attaches the counts to a DataFrame, `stage` times the action that runs
+    it. Nothing is read a second time; asking for the counts of a watched DataFrame
+    that no action has run waits for one.
+    """
+
+    def __init__(self, spark: SparkSession, schema_version: str) -> None:
+        self.spark, self.schema_version = spark, schema_version
+        self.seen: dict[str, Observation] = {}
+        self.times: dict[str, float] = {}
+
+    def watch(self, name: str, df: DataFrame, **extra: Column) -> DataFrame:
+        """`df` with its rows counted as `<name>_rows`, and other aggregates under their own names."""
+        self.seen[name] = Observation()
+        return df.observe(
+            self.seen[name], F.count(F.lit(1)).alias(f"{name}_rows"), *[column.alias(label) for label, column in extra.items()]
+        )
+
+    @contextmanager
+    def stage(self, name: str) -> Iterator[None]:
+        start = time.monotonic()
+        yield
+        self.times[name] = time.monotonic() - start
+
+    def counts(self) -> dict[str, int]:
+        return {label: value for seen in self.seen.values() for label, value in seen.get.items()}
+
+    def trail(self) -> DataFrame:
+        """One row: the counts, schema version and time."""
+        values = [F.lit(v).cast("bigint").alias(label) for label, v in self.counts().items()]
+        return self.spark.range(1).select(
+            *values, F.lit(self.schema_version).alias("schema_version"), F.current_timestamp().alias("recorded_at")
+        )
+
+    def runs(self) -> DataFrame:
+        """(task, duration, rows) of the timed stages, as `sla_breaches` takes them."""
+        rows = [(name, took, self.seen[name].get[f"{name}_rows"] if name in self.seen else None) for name, took in self.times.items()]
+        return self.spark.createDataFrame(rows, "task string, duration double, rows bigint")
+
+
 def medallion(
     raw: DataFrame, doc: str, root: str, schema: str, silver: Mapping[str, Column], required: Sequence[str],
     group: str, gold: Sequence[Column],

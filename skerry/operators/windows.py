@@ -8,13 +8,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skerry.functions.measures import nan_to_null
 from skerry.operators.ordering import (
+    HALO,
+    RANGE,
     carry_forward,
     first_rows,
+    latest_key,
     latest_rows,
     positions,
     previous_value,
+    range_slices,
+    row_struct,
     values_at_ranks,
+    with_halo,
 )
+from skerry.workspace import pin
 
 
 def row_number_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -49,17 +56,27 @@ def pct_change(
 
 
 def rolling_volatility(
-    df: DataFrame, order: str, columns: Sequence[str], n: int = 30, periods: int = 252, keys: Sequence[str] = ()
+    df: DataFrame, order: str, columns: Sequence[str], n: int = 30, periods: int = 252, keys: Sequence[str] = (), ranges: bool = False
 ) -> DataFrame:
     """Annualized sample deviation of the last `n` values, NULL until there are n.
 
-    For aggregated series: one window per key (or one for all rows).
+    One window per key, or one for all rows. With `ranges` the rows are first dealt
+    to stored ranges of (keys, order), and each range takes the n - 1 rows before
+    it along, so that a series of any length uses all tasks.
     """
-    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)
     scale = float(periods) ** 0.5
-    return df.withColumns({
-        f"{c}_vol": F.when(F.count(c).over(frame) == n, F.stddev_samp(c).over(frame) * scale) for c in columns
-    })
+
+    def over(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+        frame = Window.partitionBy(*parts).orderBy(order).rowsBetween(-(n - 1), 0)
+        return rows.withColumns({
+            f"{c}_vol": F.when(F.count(c).over(frame) == n, F.stddev_samp(c).over(frame) * scale) for c in columns
+        })
+
+    if not ranges:
+        return over(df, keys)
+    dealt = range_slices(df, keys, [F.col(order)])
+    whole = over(with_halo(dealt, keys, [F.col(order)], n - 1), [*keys, RANGE])
+    return whole.where(~F.col(HALO)).drop(RANGE, HALO)
 
 
 def latest_row(df: DataFrame, order: str) -> DataFrame:
@@ -222,13 +239,40 @@ def largest_events(events: DataFrame, col: str, ties: Sequence[str], n: int = 20
     return events.withColumn("total_events", total).orderBy(F.desc(F.abs(F.col(col))), *ties).limit(n)
 
 
+def residuals_in_one_pass(df: DataFrame, keys: Sequence[str], order: Sequence[Column], x: str, y: str) -> DataFrame:
+    """`residual_rank` against the log model of the same rows, which are read once.
+
+    Each key is reduced to its latest row and its share of the sums of the fit;
+    these rows are checkpointed, then added up for the line and ranked by it.
+    """
+    pin(df.sparkSession)
+    lx, ys = F.ln(F.col(x).cast("double")), F.col(y).cast("double")
+    usable = lx.isNotNull() & ~F.isnan(lx) & ys.isNotNull() & ~F.isnan(ys)
+    sums = {"n": F.lit(1.0), "sx": lx, "sy": ys, "sxx": lx * lx, "sxy": lx * ys}
+    present = F.col(x).isNotNull() & F.col(y).isNotNull()
+    reduced = df.groupBy(*keys).agg(
+        F.max_by(F.when(present, row_struct(df)), F.when(present, latest_key(order))).alias("__row"),
+        *[F.coalesce(F.sum(F.when(usable, v)), F.lit(0.0)).alias(f"__{name}") for name, v in sums.items()],
+    ).checkpoint()
+    n, sx, sy, sxx, sxy = (F.sum(f"__{name}") for name in sums)
+    spread = n * sxx - sx * sx
+    # A line needs three rows and two places; else it is zero, as in `log_regression`.
+    slope = F.coalesce(F.when((n >= 3) & (spread > 1e-9 * n * sxx), (n * sxy - sx * sy) / spread), F.lit(0.0))
+    level = F.coalesce(F.when((n >= 3) & (spread > 1e-9 * n * sxx), (sy - slope * sx) / n), F.lit(0.0))
+    model = reduced.agg(slope.alias("slope"), level.alias("intercept"))
+    return _against(reduced.where("__row IS NOT NULL").select("__row.*"), model, x, y)
+
+
 def residual_rank(
     df: DataFrame, model: DataFrame, keys: Sequence[str], order: Sequence[Column], x: str, y: str
 ) -> DataFrame:
     """Latest row per key against a one-row log model: prediction, residual and direction."""
+    return _against(latest_rows(df.dropna(subset=[x, y]), keys, order), model, x, y)
+
+
+def _against(latest: DataFrame, model: DataFrame, x: str, y: str) -> DataFrame:
     fit = model.select(F.struct("slope", "intercept")).scalar()
     predicted = fit.getField("slope") * F.ln(F.col(x)) + fit.getField("intercept")
-    latest = latest_rows(df.dropna(subset=[x, y]), keys, order)
     return (
         latest.withColumn("predicted", predicted)
         .withColumn("residual", F.col(y) - F.col("predicted"))

@@ -259,8 +259,7 @@ SELECT DISTINCT k AS country_key FROM (SELECT c_nationkey AS k FROM customer JOI
  UNION SELECT s_nationkey FROM supplier JOIN lineitem ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey)
 """)
 def graph_nodes(t: Tables) -> DataFrame:
-    linked = neighbours(t)
-    return joins.graph_nodes(linked, "country_key", joins.edges_undirected(linked, "country_key", "borders"))
+    return joins.nodes_of(neighbours(t), "country_key", "borders")
 
 
 @query("""
@@ -272,10 +271,9 @@ UNION ALL SELECT event_id, 'signup' FROM b SEMI JOIN r ON b.user_id = r.user_id
 """)
 def inputs_ready(t: Tables) -> DataFrame:
     """Purchases and signups of the user-days that have both."""
-    slotted = t.events.withColumn("slot", F.struct("user_id", F.to_date("ts").alias("day")))
-    kinds = ("purchase", "signup")
-    ready = joins.inputs_ready([slotted.filter(F.col("event_type") == k) for k in kinds], "slot")
-    return sets.concat_frames([df.select("event_id", F.lit(k).alias("input")) for df, k in zip(ready, kinds)])
+    slotted = t.events.select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type")
+    ready = joins.tagged_inputs_ready(slotted, ["user_id", "day"], "event_type", ("purchase", "signup"))
+    return ready.select("event_id", F.col("event_type").alias("input"))
 
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from skerry.operators.sets import concat_frames
 from skerry.plans.registry import SCHEMAS, Tables, query, round_half_up
 from skerry.sources import files, payloads
+from skerry.sources.json_arrays import scan_json_arrays
 from skerry.workspace import scratch, write_bytes
 
 LINE_STAMP = "yyyy-MM-dd'T'HH:mm"
@@ -44,7 +45,7 @@ def scan_json_array(t: Tables) -> DataFrame:
     )
     # One line per array: each line is a file's content, split on write by rows per file.
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    out = files.scan_json_array(t.spark, path, "conv_id bigint, turn bigint, body struct<role: string, text: string>")
+    out = scan_json_arrays(t.spark, path, "conv_id bigint, turn bigint, body struct<role: string, text: string>")
     return out.select("conv_id", "turn", "body.role", F.char_length("body.text").alias("size"))
 
 

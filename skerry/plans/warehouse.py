@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from skerry.operators import warehouse as w
+from skerry.operators import quality as q, warehouse as w
 from skerry.operators.history import history_schema, load_delivery, snapshots as full_dates, versions
 from skerry.plans.registry import INDICATORS, Tables, query
 from skerry.sources.tables import KeyedTable
@@ -190,9 +190,28 @@ SELECT (SELECT COUNT(*) FROM customer) AS staging_rows, (SELECT COUNT(*) FROM {S
  (SELECT COUNT(*) FROM {SCD_SQL} s WHERE NOT is_current) AS scd_changes, '1.0' AS schema_version
 """)
 def audit_trail(t: Tables) -> DataFrame:
-    versions = history(t)
-    trail = w.audit_trail({"staging": t.customer, "scd": versions, "fact": t.pinned_ind}, versions, "1.0")
-    return trail.drop("recorded_at")
+    """Counts observed while the stages are written; nothing is counted again."""
+    return observed_stages(t).trail().drop("recorded_at")
+
+
+def observed_stages(t: Tables) -> w.ObservedStages:
+    """Staging, history and facts written one after the other, watched and timed."""
+    root, audit = scratch(t.spark, "audit"), w.ObservedStages(t.spark, "1.0")
+    stages = {"staging": (t.customer, {}), "scd": (history(t), {"scd_changes": F.count_if(~F.col("is_current"))}), "fact": (t.v_ind, {})}
+    for name, (df, extra) in stages.items():
+        with audit.stage(name):
+            audit.watch(name, df, **extra).write.parquet(f"{root}/{name}")
+    return audit
+
+
+@query(f"""
+SELECT task, rows, 'OK' AS status FROM (SELECT 'staging' AS task, COUNT(*) AS rows FROM customer UNION ALL SELECT 'scd', COUNT(*) FROM {SCD_SQL} s
+ UNION ALL SELECT 'fact', COUNT(*) FROM @v_ind) r
+""")
+def stage_runs(t: Tables) -> DataFrame:
+    """The stages' own runs against a generous limit."""
+    limits = t.spark.createDataFrame([(name, 86_400.0) for name in ("staging", "scd", "fact")], "task string, limit_s double")
+    return q.sla_breaches(observed_stages(t).runs(), "task", "duration", limits).select("task", "rows", "status")
 
 
 @query("""

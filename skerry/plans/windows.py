@@ -79,6 +79,17 @@ def rolling_volatility(t: Tables) -> DataFrame:
     return month_text(rounded(out, *[f"{c}_vol" for c in RATE_NAMES], digits=6))
 
 
+@query("""
+SELECT o_orderkey, ROUND(CASE WHEN COUNT(o_totalprice) OVER w = 30 THEN STDDEV_SAMP(o_totalprice) OVER w * SQRT(252) END, 2) AS o_totalprice_vol
+FROM orders WINDOW w AS (ORDER BY o_orderkey ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
+""")
+def rolling_volatility_ranges(t: Tables) -> DataFrame:
+    """One series of all orders, in ranges that each take the rows before them along."""
+    prices = t.orders.select("o_orderkey", "o_totalprice")
+    out = windows.rolling_volatility(prices, "o_orderkey", ["o_totalprice"], ranges=True)
+    return rounded(out, "o_totalprice_vol", digits=2).select("o_orderkey", "o_totalprice_vol")
+
+
 @query(f"SELECT * FROM ({VOL_SQL}) ORDER BY month DESC LIMIT 1")
 def latest_volatility(t: Tables) -> DataFrame:
     out = windows.rolling_volatility(monthly_returns(t), "month", RATE_NAMES).drop(*RATE_NAMES)
@@ -253,10 +264,8 @@ SELECT o_custkey, lines, ROUND(s * LN(o_totalprice) + i, 6) AS predicted, ROUND(
  CASE WHEN lines - (s * LN(o_totalprice) + i) < 0 THEN 'better' ELSE 'worse' END AS direction FROM l, m WHERE rn = 1
 """)
 def residual_rank(t: Tables) -> DataFrame:
-    data = order_lines(t)
-    model = stats.log_regression(data, "o_totalprice", "lines")
     order = [F.col("o_orderdate"), F.col("o_orderkey")]
-    out = windows.residual_rank(data, model, ["o_custkey"], order, "o_totalprice", "lines").orderBy("residual", "o_custkey")
+    out = windows.residuals_in_one_pass(order_lines(t), ["o_custkey"], order, "o_totalprice", "lines").orderBy("residual", "o_custkey")
     return rounded(out, "predicted", "residual", digits=6).select(
         "o_custkey", "lines", "predicted", "residual", "direction"
     )

@@ -44,21 +44,21 @@ def open_ends(text: Column) -> Column:
     return F.when(F.contains(text, F.lit('"')), F.aggregate(before, start, step)).otherwise(start)
 
 
-def _joined_steps(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """What `_before` needs: the last row before this one whose step forgets its start, and the flips since and in all."""
+def join_steps(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """What `open_before` needs: the last row before this one whose step forgets its start, and the flips since and in all."""
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     flips = F.coalesce(F.sum((F.col("closed") & ~F.col("opened")).cast("int")).over(before), F.lit(0))
     fixed = F.when(F.col("closed") == F.col("opened"), F.struct(F.col("closed").alias("to"), F.col("__flips").alias("flips")))
     return df.withColumn("__flips", flips).withColumn("__fixed", F.last(fixed, ignorenulls=True).over(before))
 
 
-def _before(start: Column) -> Column:
+def open_before(start: Column) -> Column:
     """Whether a cell is open before the row, given whether one was before the first row of its group."""
     since = (F.col("__flips") - F.col("__fixed.flips")) % 2 == 1
     return F.when(F.col("__fixed").isNotNull(), F.col("__fixed.to") != since).otherwise(start != (F.col("__flips") % 2 == 1))
 
 
-def _after(before: Column) -> Column:
+def open_after(before: Column) -> Column:
     return F.when(before, F.col("opened")).otherwise(F.col("closed"))
 
 
@@ -72,10 +72,10 @@ def _broken_blocks(lines: DataFrame, file: str, at: str) -> DataFrame:
     steps = lines.where(F.contains("value", F.lit('"'))).select(file, at, "line", open_ends(F.col("value")).alias("s")).select(
         file, at, "line", "s.closed", "s.opened"
     )
-    joined = _joined_steps(steps.where(F.col("closed") | ~F.col("opened")), [file, at], "line")
-    either = {"closed": _before(F.lit(False)), "opened": _before(F.lit(True))}
+    joined = join_steps(steps.where(F.col("closed") | ~F.col("opened")), [file, at], "line")
+    either = {"closed": open_before(F.lit(False)), "opened": open_before(F.lit(True))}
     summed = joined.groupBy(file, at).agg(
-        *[F.max_by(_after(b), "line").alias(f"__{name}") for name, b in either.items()],
+        *[F.max_by(open_after(b), "line").alias(f"__{name}") for name, b in either.items()],
         *[F.count_if(~b & F.col("closed")).alias(f"__from_{name}") for name, b in either.items()],
     )
     blocks = lines.select(file, at).distinct().join(summed, [file, at], "left").select(
@@ -85,9 +85,9 @@ def _broken_blocks(lines: DataFrame, file: str, at: str) -> DataFrame:
     )
     whole = Window.partitionBy(file)
     earlier = whole.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    start = _before(F.lit(False))
-    known = _joined_steps(blocks, [file], at).withColumns(
-        {"start": start, "opens": F.when(start, F.col("from_opened")).otherwise(F.col("from_closed")), "end": _after(start)}
+    start = open_before(F.lit(False))
+    known = join_steps(blocks, [file], at).withColumns(
+        {"start": start, "opens": F.when(start, F.col("from_opened")).otherwise(F.col("from_closed")), "end": open_after(start)}
     ).withColumns({
         "before": F.coalesce(F.sum("opens").over(earlier), F.lit(0)),
         "total": F.sum("opens").over(whole),
@@ -115,11 +115,11 @@ def whole_records(lines: DataFrame, file: str = "source_file", at: str = "block_
     stepped = lines.join(side, [file, at]).withColumn("__s", open_ends(F.col("value"))).select(
         file, at, "line", "value", "start", "before", "lost", "__s.closed", "__s.opened"
     )
-    inside = _before(F.col("start"))
+    inside = open_before(F.col("start"))
     opens = ~F.col("inside") & F.col("closed")
     so_far = Window.partitionBy(file, at).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        _joined_steps(stepped, [file, at], "line").withColumn("inside", inside)
+        join_steps(stepped, [file, at], "line").withColumn("inside", inside)
         .withColumn("number", F.col("before") + F.sum(opens.cast("int")).over(so_far))
         .withColumn("gone", F.coalesce(F.col("number") >= F.col("lost"), F.lit(False)))
         .withColumn("part", (F.col("inside") | opens) & ~F.col("gone"))

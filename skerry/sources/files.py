@@ -27,7 +27,7 @@ def scan_csv(spark: SparkSession, path: str, schema: str, corrupt: str = "_corru
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files that each hold one JSON array. Such files do not split; land JSON Lines where you can choose."""
+    """Small files that each hold one JSON array, a task each; `json_arrays.scan_json_arrays` splits large ones."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

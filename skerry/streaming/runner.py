@@ -51,3 +51,9 @@ def write_batch(df: DataFrame, root: str, batch_id: int, by: Sequence[str] = ())
 
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, batch_id bigint").parquet(root)
+
+
+def run_rows(spark: SparkSession, task: str, reports: Sequence[dict]) -> DataFrame:
+    """(task, batch_id, duration, rows) of the batches of a run, as `sla_breaches` takes them."""
+    rows = [(task, r["batchId"], r["batchDuration"] / 1000, r["numInputRows"]) for r in reports if r["numInputRows"]]
+    return spark.createDataFrame(rows, "task string, batch_id bigint, duration double, rows bigint")
