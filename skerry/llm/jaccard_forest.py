@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skerry.llm.shared import SLICE_ROWS, stored
 
@@ -241,6 +241,15 @@ def near_duplicates(
     with a NULL id has a NULL class and counts among the links of its copies
     only. Repeated rows are copies. An empty table gives an empty result.
     """
+    found = _classes(docs, threshold, shingle, trees, deepest, target, block, id_col, text_col)
+    return found.select("doc_id", "class_id", "n_links")
+
+
+def _classes(
+    docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, trees: int = TREES, deepest: int = DEEPEST,
+    target: float = TARGET, block: int = BLOCK_NODES, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """`near_duplicates` with the row's node, and whether the row is the head of its class: the least id, then node."""
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     )
@@ -265,15 +274,18 @@ def near_duplicates(
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     ties = checked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     tied = components(ties.distinct()).join(named.select("node", "doc_id"), "node")
-    classes = tied.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    classes = tied.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("first")).select(
+        "root", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("head")
+    )
     found = (
         nodes.select("node", "size", "doc_id", "copies")
         .join(links, "node", "left")
-        .join(tied.select("node", "root").join(classes, "root").select("node", "class_id"), "node", "left")
+        .join(tied.select("node", "root").join(classes, "root").select("node", "class_id", "head"), "node", "left")
         .select(
             "node",
             "size",
             F.coalesce("class_id", "doc_id").alias("class_id"),
+            F.coalesce("head", "node").alias("head"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
@@ -281,6 +293,8 @@ def near_duplicates(
         "doc_id",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "node",
+        F.coalesce((F.col("node") == F.col("head")) & (F.col("doc_id") == F.col("class_id")), F.lit(False)).alias("head"),
     )
 
 
@@ -311,19 +325,47 @@ def _verified(texts: DataFrame, wanted: DataFrame, threshold: float, shingle: in
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` that name their class: one document of each class, all columns kept.
+    """The rows of `docs` that head their class: one row of each class, all columns kept.
 
-    Rows without words or id stay. Of repeated rows of the named document one stays.
+    Rows without words or id stay. An id may stand for several texts: each is
+    judged as a text of its own, so no text goes without a linked one that stays.
     """
-    found = near_duplicates(docs, id_col=id_col, **options)
-    heads = stored(found.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("__rows")), "heads")
-    key = heads.withColumnRenamed("doc_id", "__head")
-    # One head per class grows with the corpus too.
-    named = docs.join(key.hint("merge"), F.col(f"`{id_col}`") == key["__head"]).drop("__head")
-    kept = named.drop("__rows") if heads.where("__rows > 1").isEmpty() else _first_of_repeated(named, docs.columns, id_col)
-    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull())).select(*[f"`{c}`" for c in docs.columns])
-
-
-def _first_of_repeated(named: DataFrame, columns: list[str], id_col: str) -> DataFrame:
-    single, several = named.where("__rows = 1"), named.where("__rows > 1")
-    return single.unionByName(several.dropDuplicates([id_col])).select(*[f"`{c}`" for c in columns])
+    found = stored(_classes(docs, id_col=id_col, **options).select("doc_id", "node", "head"), "heads")
+    stays = F.col("head") | F.col("node").isNull()
+    ids = stored(
+        found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("__rows"), F.max(stays).alias("stays"))
+        .where("stays").select(F.col("doc_id").alias("__head"), "__rows"), "head-ids",
+    )
+    columns = [f"`{c}`" for c in docs.columns]
+    # One head per class grows with the corpus, so it is never broadcast.
+    named = docs.join(ids.hint("merge"), F.col(f"`{id_col}`") == F.col("__head"))
+    parts = [docs.where(F.col(f"`{id_col}`").isNull()), named.where("__rows = 1").select(*columns)]
+    if not ids.where("__rows > 1").isEmpty():
+        heads = found.where("head").select(F.col("doc_id").alias("__id"), F.col("node").alias("__own")).distinct()
+        several = _with_node(named.where("__rows > 1").select(*columns), options.get("text_col", "text"), options.get("shingle", SHINGLE))
+        same = (F.col(f"`{id_col}`") == F.col("__id")) & (F.col("__node") == F.col("__own"))
+        parts += [
+            several.where("__node IS NULL").select(*columns),
+            several.join(heads.hint("merge"), same).dropDuplicates([id_col, "__node"]).select(*columns),
+        ]
+    kept = parts[0].select(*columns)
+    for part in parts[1:]:
+        kept = kept.unionAll(part)
+    return kept
+
+
+def _with_node(df: DataFrame, text_col: str, size: int) -> DataFrame:
+    """`df` with `__node`, the name of the text's shingle set; NULL without words."""
+    at = df.columns.index(text_col)
+    names = [*df.columns, "__node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = shingler(size)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                found = (shingles(t or "") for t in part.column(at).to_pylist())
+                nodes = pa.array([node_of(f) if len(f) else None for f in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, nodes], names=names)
+
+    return df.mapInArrow(run, StructType([*df.schema, StructField("__node", LongType())]))

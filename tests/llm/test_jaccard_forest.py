@@ -74,6 +74,18 @@ def test_one_of_each_class_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c, _ in brute(rows)})
 
 
+def test_no_text_is_lost_where_an_id_stands_for_several(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [
+        (1, a, 0), (1, b, 0), (2, b, 0), (3, c, 0), (4, c + " more", 0), (4, d, 0), (5, "", 0), (5, d, 0), (5, "...", 0), (6, b, 0), (6, a, 0),
+        (None, a, 0), (7, None, 0), (1, a, 0),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, node int")
+    kept = sorted(((r["doc_id"], r["text"]) for r in forest.drop_near_duplicates(frame).collect()), key=str)
+    want = [(1, a), (1, b), (3, c), (4, d), (5, ""), (5, "..."), (7, None), (None, a)]
+    assert kept == sorted(want, key=str)
+
+
 def test_components(spark):
     rng = random.Random(5)
     path = list(range(200))
