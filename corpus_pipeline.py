@@ -18,7 +18,7 @@ from skerry.llm.shared import read_table, stored
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows under the threshold of their language; the classifier is fitted on labelled rows of `docs`."""
-    return toxicity.reject(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
