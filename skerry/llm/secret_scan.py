@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 
@@ -121,22 +122,27 @@ def entropy_spans(
                     continue
                 searched.add(run.span())
                 if alphabet is CLASSES[-1][1]:
-                    token = _token_ends(candidate)
-                    starts = (at for at in hot_starts(run[0], window, threshold) if not known(token[at][0], token[at + window - 1][1]))
+                    first, last = _token_bounds(candidate)
+                    starts = (at for at in hot_starts(run[0], window, threshold) if not known(first[at], last[at + window - 1]))
                 elif known(*run.span()):
                     continue
                 else:
                     starts = (run.start() + at for at in hot_starts(run[0], window, threshold))
-                hot += [(at, at + window) for at in starts]
+                hot += _united((at, at + window) for at in starts)
         for start, end in _united(sorted(hot)):
             kind = next(name for name, alphabet, _ in CLASSES if alphabet.fullmatch(candidate, start, end))
             found.append((match.start() + start, match.start() + end, kind))
     return found
 
 
-def _token_ends(candidate: str) -> list[tuple[int, int]]:
-    """Per character the [start, end) of its token; '=' and '/' stand alone."""
-    return [m.span() for m in TOKEN.finditer(candidate) for _ in range(m.end() - m.start())]
+def _token_bounds(candidate: str) -> tuple[array, array]:
+    """Per character the start and the end of its token; '=' and '/' stand alone."""
+    first, last = array("i"), array("i")
+    for token in TOKEN.finditer(candidate):
+        size = token.end() - token.start()
+        first.extend(array("i", [token.start()]) * size)
+        last.extend(array("i", [token.end()]) * size)
+    return first, last
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
