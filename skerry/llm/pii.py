@@ -140,8 +140,19 @@ def ipv4(feistel: Feistel, match: re.Match, back: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+# Valid numbers of three parts: areas 001 to 899 without 666, groups from 01, serials from 0001.
+AREAS = [a for a in range(1, 900) if a != 666]
+AREA_AT = {a: i for i, a in enumerate(AREAS)}
+
+
 def ssn(feistel: Feistel, match: re.Match, back: bool) -> str | None:
-    return _refill(match[0], _permuted_digits(feistel, "ssn", _digits(match[0]), back))
+    area, group, serial = map(int, match[0].split("-"))
+    if area not in AREA_AT or not group or not serial:
+        return None
+    value = (AREA_AT[area] * 99 + group - 1) * 9999 + serial - 1
+    value, serial = divmod(feistel.permute(value, "ssn", len(AREAS) * 99 * 9999, back), 9999)
+    area, group = divmod(value, 99)
+    return f"{AREAS[area]:03}-{group + 1:02}-{serial + 1:04}"
 
 
 # Country codes; no code begins another.
@@ -266,6 +277,8 @@ def find_private(text: str, feistel: Feistel, back: bool = False) -> list[tuple[
     if not re.search(r"[0-9@]", text):
         return []
     found: list[tuple[int, int, str, str]] = []
+    starts: list[int] = []  # of the values found, ascending, and their ends
+    ends: list[int] = []
     for kind, pattern, change in FINDERS:
         if kind == "email" and "@" not in text:
             continue
@@ -274,8 +287,12 @@ def find_private(text: str, feistel: Feistel, back: bool = False) -> list[tuple[
             # An IBAN run may hold further words; its pseudonym is as long as the IBAN.
             new = change(feistel, match, back)
             end = match.start() + len(new) if new is not None and kind == "iban" else match.end()
-            if new is not None and not any(match.start() < e and s < end for s, e, _, _ in found):
+            # Values do not overlap, so only the last one that starts before the end can be in the way.
+            at = bisect_left(starts, end)
+            if new is not None and not (at and ends[at - 1] > match.start()):
                 found.append((match.start(), end, kind, new))
+                starts.insert(at, match.start())
+                ends.insert(at, end)
             elif kind == "iban":
                 end = match.start() + 1
             match = pattern.search(text, end)
