@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from skerry.llm.shared import SLICE_ROWS, keyed_texts, map_slices, stored, with_values
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 250_000
 # Bytes of words: digits, a to z, everything above ASCII. Upper-case ASCII is lowered, the rest separates.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -41,7 +41,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton of word sequences with the windows marked at their states."""
 
-    def __init__(self, items: list[tuple[int, str | None]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int) -> None:
         self.window = window
         self.number: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -159,6 +159,17 @@ class Automaton:
         return [(a, b) for a, b in spans], items
 
 
+_BUILT: list = []
+
+
+def automaton_of(items: list[tuple[str | None, str | None]], window: int) -> Automaton:
+    """The automaton of a broadcast block of items, built once per worker and not per task; the last one is kept."""
+    if not _BUILT or _BUILT[0] is not items or _BUILT[1] != window:
+        _BUILT.clear()  # before the next one is built, so that two are never held
+        _BUILT.extend((items, window, Automaton(items, window)))
+    return _BUILT[2]
+
+
 def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, int]:
     """Items with a block number; the blocks hold about `block_words` words at most."""
     size = F.size(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), r"[^0-9A-Za-z\u0080-\x{10FFFF}]+")).cast("long")
@@ -190,7 +201,7 @@ def find_contamination(
     texts = keyed_texts(docs, id_col, text_col)
     parts = [_scan_block(texts, items, block, window) for block in range(blocks)]
     found = parts[0] if blocks == 1 else _merge_blocks(reduce(DataFrame.unionByName, parts), blocks)
-    listed = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    listed = F.array_sort("items")
     return found.select(
         "doc_id",
         "n_words",
@@ -202,16 +213,16 @@ def find_contamination(
     )
 
 
-FOUND = "text_key string, n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<bigint>"
+FOUND = "text_key string, n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<string>"
 
 
 def _scan_block(texts: DataFrame, items: DataFrame, block: int, window: int) -> DataFrame:
-    rows = items.where(F.col("block") == block).select(F.col("item_id").cast("long"), "text").collect()
+    rows = items.where(F.col("block") == block).select(F.col("item_id").cast("string"), "text").collect()
     held = texts.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
     types = to_arrow_schema(StructType.fromDDL(f"doc_id bigint, {FOUND}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(held.value, window)
+        automaton = automaton_of(held.value, window)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part, rows = batch.slice(start, SLICE_ROWS), []
@@ -332,7 +343,7 @@ SPANS = "__spans"
 
 
 def _held(items: DataFrame, block: int) -> Broadcast:
-    rows = items.where(F.col("block") == block).select(F.col("item_id").cast("long"), "text").collect()
+    rows = items.where(F.col("block") == block).select(F.col("item_id").cast("string"), "text").collect()
     return items.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
 
 
@@ -340,7 +351,7 @@ def _mark_block(docs: DataFrame, held: Broadcast, window: int, text_col: str) ->
     """`docs` with the passages of one block united with those marked already."""
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        automaton = Automaton(held.value, window)
+        automaton = automaton_of(held.value, window)
 
         def mark(part: pa.RecordBatch) -> pa.RecordBatch:
             marked = []
@@ -373,7 +384,7 @@ def _clean_block(
     docs: DataFrame, held: Broadcast, window: int, max_coverage: float, text_col: str, length_col: str | None
 ) -> DataFrame:
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        automaton = Automaton(held.value, window)
+        automaton = automaton_of(held.value, window)
 
         def clean(part: pa.RecordBatch) -> pa.RecordBatch:
             old = part.column(text_col).to_pylist()
