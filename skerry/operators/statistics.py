@@ -22,7 +22,8 @@ def exact_medians(df: DataFrame, rows: Mapping[str, int]) -> dict[str, float | N
     """Mean of the two middle values per column, given how many values each has."""
     middle = {c: ((n + 1) // 2, n // 2 + 1) for c, n in rows.items() if n}
     found = values_at_ranks(df, middle) if middle else {}
-    return {c: sum(map(float, found[c])) / 2 if c in found else None for c in rows}
+    # Whole numbers are added as such, so that large ones are rounded once.
+    return {c: float(sum(found[c]) / 2) if c in found else None for c in rows}
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

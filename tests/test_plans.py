@@ -18,7 +18,7 @@ BATCH = [n for n, x in REGISTRY.items() if not x.build.__module__.endswith((".st
 # These number bins, months, nations, years or slices: tables that do not grow with the rows.
 SMALL_ORDERED = {
     "b_value", "magnitude_counts", "seasonal_anomaly", "log_returns", "rolling_volatility", "latest_volatility", "rank_by",
-    "sequence_keys", "sequence_keys_sliced", "sigma_events", "largest_events", "build_dimension", "build_fact",
+    "sequence_keys", "sequence_keys_sliced", "rolling_volatility_ranges", "sigma_events", "largest_events", "build_dimension", "build_fact",
 }
 
 
