@@ -4,13 +4,12 @@ Candidates are dealt into blocks. A task takes one block and one batch of
 queries and builds, for every dimension, the list of the block's rows sorted by
 that component. A query reads the lists in step, best contributions first: by
 value from above where the query's component is positive, from below where it
-is negative. What was read gives every row an upper bound (unread lists at their
-frontier). Lower bounds with unread lists at their worst entry are useless here
-(on dense vectors the k-th stays below zero to the end), so the rows that lead
-by upper bound are resolved early and the k-th of their scores is the bound to
-reach. Reading goes deeper until only a small set of rows can reach it; the
-final scores of that set are then resolved. Rows that tie with the bound stay in
-the set, so ties go to the smaller id.
+is negative. What was read gives every row a lower bound (unread entries are the
+worst of their list, whose ends are stored) and an upper bound (unread entries
+are at the frontier of their list). Rows whose upper bound is under the k-th
+lower bound drop out. No row is looked up while lists are read: only when reading
+has stopped, because few rows can still qualify, are their final scores made.
+Rows that tie with the bound stay, so ties go to the smaller id.
 
 The best k of every block meet in one window per query.
 """
@@ -28,7 +27,7 @@ from pyspark.sql.types import StructType
 BLOCK_ROWS = 32_768
 BATCH_QUERIES = 512
 # Shares of the lists read before the bounds are looked at.
-DEPTHS = (0.5, 0.65, 0.8, 1.0)
+DEPTHS = (0.5, 0.8, 0.95, 1.0)
 # Reading stops when at most this share of the block, or this many rows, can still qualify.
 RESOLVE_SHARE, RESOLVE_ROWS = 0.25, 64
 MADE = "query_id bigint, vec_id bigint, score bigint"
@@ -38,11 +37,12 @@ def integer_vectors(vectors: DataFrame, factor: int = 64, id_col: str = "vec_id"
     """(vec_id, vec): components floor(factor * x). Rows without a usable vector or id are left out.
 
     A row counts once however often it is repeated; of different vectors under
-    one id the greatest array counts.
+    one id the greatest array counts. A component beyond 64 bits is an error.
     """
     x = F.col(f"`{col}`").cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    whole = F.transform(x, lambda v: F.floor(v * factor).cast("bigint"))
+    far = F.raise_error(F.lit(f"a component times {factor} exceeds 64 bits")).cast("bigint")
+    whole = F.transform(x, lambda v: F.when(F.abs(v * factor) < 2.0**63, F.floor(v * factor).cast("bigint")).otherwise(far))
     return (
         vectors.where(F.col(f"`{id_col}`").isNotNull() & x.isNotNull() & ~bad & (F.size(x) > 0))
         .groupBy(F.col(f"`{id_col}`").cast("long").alias("vec_id"))
@@ -51,7 +51,7 @@ def integer_vectors(vectors: DataFrame, factor: int = 64, id_col: str = "vec_id"
 
 
 class SortedLists:
-    """The sorted lists of one block of integer vectors."""
+    """One block of integer vectors, and the sorted list of every dimension."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
         order = np.argsort(ids)
@@ -59,8 +59,7 @@ class SortedLists:
         self.most = float(np.abs(rows).max(initial=0))
         self.whole = rows[order]
         self.rows = self.whole.astype(np.float32 if self.most < 2**24 else np.float64)
-        self.rank = np.ascontiguousarray(np.argsort(self.rows, axis=0, kind="stable").T)  # per dimension, ascending
-        self.value = np.ascontiguousarray(np.take_along_axis(self.rows.T, self.rank, axis=1))
+        self.value = np.sort(self.rows, axis=0)  # per dimension, ascending
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Final scores of some rows, in the fastest type in which every partial sum is exact."""
@@ -68,7 +67,12 @@ class SortedLists:
         if reach < 2**52:
             kind = np.float32 if reach < 2**24 else np.float64
             return (self.rows[rows].astype(kind, copy=False) @ query.astype(kind)).astype(np.int64)
-        return self.whole[rows] @ query
+        if reach < 2**63:
+            return self.whole[rows] @ query
+        exact = self.whole[rows].astype(object) @ query.astype(object)
+        if any(abs(score) >= 2**63 for score in exact):
+            raise OverflowError("a score exceeds 64 bits")
+        return exact.astype(np.int64)
 
     def reach(self, query: np.ndarray) -> float:
         """What no sum of products of a row and the query can exceed."""
@@ -77,43 +81,54 @@ class SortedLists:
     def top(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows other than `skip`.
 
-        The lower bound of the leaders (the rows with the greatest upper bounds)
-        is their final score; the k-th of these is what an outsider must reach.
+        All lists are read in step. Rows whose upper bound is under the k-th lower
+        bound cannot qualify and drop out; reading stops when few are left, and
+        only then are final scores made.
         """
         size = len(self.ids)
         few = max(RESOLVE_ROWS, k + 1, int(size * RESOLVE_SHARE))
-        left = np.flatnonzero(self.ids != skip)
-        for share in DEPTHS if query.any() and size > few else ():
-            upper = self.upper_bounds(query.astype(np.float64), max(1, int(size * share)))[left]
-            leaders = left[np.argpartition(-upper, 4 * k)[: 4 * k]] if len(left) > 4 * k else left
-            if len(leaders) >= k:
-                bound = np.partition(self.scores(leaders, query), len(leaders) - k)[len(leaders) - k]
-                left = left[upper >= bound]
+        left, slack = np.flatnonzero(self.ids != skip), self.slack(query)
+        for share in DEPTHS if query.any() else ():
             if len(left) <= few:
                 break
+            depth = max(1, int(size * share))
+            upper = self.upper_bounds(query, depth, left)
+            # The k-th lower bound among the rows that lead by upper bound is one of all rows, if not the greatest.
+            leaders = np.argpartition(-upper, 4 * k)[: 4 * k] if len(left) > 4 * k else np.arange(len(left))
+            lower = self.lower_bounds(query, depth, left[leaders])
+            left = left[upper + slack >= np.partition(lower, len(lower) - k)[len(lower) - k] - slack]
         found = self.scores(left, query)
         best = np.lexsort((self.ids[left], -found))[:k]
         return self.ids[left][best], found[best]
 
-    def upper_bounds(self, query: np.ndarray, depth: int) -> np.ndarray:
-        """Upper bounds of all rows from the first `depth` entries of every list, best contributions first.
+    def slack(self, query: np.ndarray) -> float:
+        """What rounding may take from a bound: nothing in whole numbers, unless they are huge."""
+        reach = self.reach(query)
+        return 0.0 if reach < 2**50 else 1e-9 * reach
+
+    def _read(self, query: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of some rows, the same not better than the frontier of their list at `depth`, and the query.
 
-        An unread entry is at best the frontier of its list; a read one adds
-        what it is above the frontier to the sum of its row.
+        An entry is read if it stands before the frontier or equals it, so ties are
+        read together; the two arrays are equal just there.
         """
-        size = len(self.ids)
-        total = np.zeros(size)
-        rest = 0.0
-        for at in np.flatnonzero(query):
-            up = query[at] > 0
-            entries = slice(size - depth, None) if up else slice(None, depth)
-            read = self.value[at, entries].astype(np.float64)
-            frontier = read[0 if up else -1]
-            rest += frontier * query[at]
-            total[self.rank[at, entries]] += (read - frontier) * query[at]
-        # Whole numbers are exact here unless they are huge; then the bound is widened by what rounding may take.
-        reach = self.reach(query)
-        return total + rest + (0.5 if reach < 2**50 else 1e-9 * reach)
+        kind = np.float32 if self.reach(query) < 2**24 else np.float64
+        up = query > 0
+        frontier = np.where(up, self.value[-depth], self.value[depth - 1]).astype(kind)
+        entries = (self.rows if len(rows) == len(self.ids) else self.rows[rows]).astype(kind, copy=False)
+        floor, ceiling = np.where(up, frontier, -np.inf).astype(kind), np.where(up, np.inf, frontier).astype(kind)
+        return entries, np.clip(entries, floor, ceiling), query.astype(kind)
+
+    def upper_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+        """Scores if every entry not read were at the frontier of its list; its own value does not enter."""
+        _, best, weight = self._read(query, depth, rows)
+        return best @ weight
+
+    def lower_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+        """Scores if every entry not read were the worst of its list; its own value does not enter."""
+        entries, best, weight = self._read(query, depth, rows)
+        worst = np.where(query > 0, self.value[0], self.value[-1]).astype(entries.dtype)
+        return np.where(best == entries, entries, worst) @ weight
 
 
 def _search(k: int):

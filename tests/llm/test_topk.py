@@ -52,3 +52,41 @@ def test_reads_less_than_all():
 def test_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(topk.integer_vectors(frame), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("scale", [20, 10**5])
+def test_bounds_hold_at_every_depth(scale):
+    """Against bounds from the lists themselves, entry by entry."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.normal(0, scale, (200, 6))).astype(np.int64)
+    lists, every = topk.SortedLists(np.arange(200), rows), np.arange(200)
+    for query in np.floor(rng.normal(0, scale, (4, 6))).astype(np.int64):
+        query[0] = 0
+        direct, former = rows @ query, None
+        for depth in (1, 60, 150, 199, 200):
+            lower, upper = lists.lower_bounds(query, depth, every), lists.upper_bounds(query, depth, every)
+            for r in range(0, 200, 17):
+                low = high = 0
+                for j, q in enumerate(query):
+                    column = sorted(rows[:, j], reverse=q > 0)
+                    edge, end = column[depth - 1], column[-1]
+                    read = rows[r, j] >= edge if q > 0 else rows[r, j] <= edge
+                    low, high = low + q * (rows[r, j] if read else end), high + q * (rows[r, j] if read else edge)
+                assert (lower[r], upper[r]) == (low, high)
+            assert (lower <= direct).all() and (direct <= upper).all()
+            assert former is None or ((former[0] <= lower).all() and (upper <= former[1]).all())
+            former = lower, upper
+        assert (lower == direct).all() and (upper == direct).all()
+        some = np.array([3, 50, 199])
+        assert (lists.upper_bounds(query, 60, some) == lists.upper_bounds(query, 60, every)[some]).all()
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    far = spark.createDataFrame([(0, [1e300]), (20, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        topk.top_k(topk.integer_vectors(far), F.col("vec_id") % 20 == 0).collect()
+    lists = topk.SortedLists(np.arange(2), np.array([[2**40, 2**40], [2**40, -(2**40)]]))
+    query = np.array([2**23, 2**22])
+    with pytest.raises(OverflowError):
+        lists.scores(np.arange(2), query)
+    assert list(lists.scores(np.array([1]), query)) == [2**62]
