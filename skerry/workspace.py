@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 
+FOLDER = "skerry"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under `spark.checkpoint.dir`; nothing is created yet.
 
@@ -16,12 +20,32 @@ def scratch(spark: SparkSession, label: str) -> str:
     temporary folder. A cluster without it is an error: executors on other
     hosts could not see such a folder.
     """
+    return f"{_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/skerry/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{FOLDER}"
+
+
+def sweep(spark: SparkSession, hours: float) -> list[str]:
+    """Remove scratch folders that were made more than `hours` ago, and name them.
+
+    Results of queries read their scratch tables when they are used, so choose a
+    time beyond which none is.
+    """
+    fs, target = hadoop_path(spark, _base(spark))
+    if not fs.exists(target):
+        return []
+    limit = (time.time() - hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(target) if s.getModificationTime() < limit]
+    for path in old:
+        fs.delete(path, True)
+    return sorted(p.getName() for p in old)
 
 
 def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:

@@ -184,3 +184,17 @@ def test_runaway_stream_is_stopped(spark, tmp_path):
 
     with pytest.raises(TimeoutError):
         run_to_end(stream.writeStream.foreachBatch(slow), str(tmp_path / "state"), timeout=1)
+
+
+def test_old_scratch_is_swept(spark, tmp_path, monkeypatch):
+    import os
+
+    from skerry import workspace
+
+    monkeypatch.setattr(workspace, "_base", lambda session: str(tmp_path / "skerry"))
+    for name, age in (("old", 7200), ("new", 0)):
+        spark.range(3).write.parquet(str(tmp_path / "skerry" / name))
+        made = os.stat(tmp_path / "skerry" / name).st_mtime - age
+        os.utime(tmp_path / "skerry" / name, (made, made))
+    assert workspace.sweep(spark, 1.0) == ["old"] and spark.read.parquet(workspace.scratch(spark, "x").rsplit("/", 1)[0] + "/new").count() == 3
+    assert workspace.sweep(spark, 1.0) == []
