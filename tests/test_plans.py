@@ -14,7 +14,7 @@ from tests.oracle import TESTDATA
 
 REGISTRY = load_all()
 SF_DIR = f"{TESTDATA}/sf0.001"
-BATCH = [n for n, x in REGISTRY.items() if not x.build.__module__.endswith((".streams", ".scans"))]
+BATCH = [n for n, x in REGISTRY.items() if not x.build.__module__.endswith(".streams")]
 # These number bins, months, nations, years or slices: tables that do not grow with the rows.
 SMALL_ORDERED = {
     "b_value", "magnitude_counts", "seasonal_anomaly", "log_returns", "rolling_volatility", "latest_volatility", "rank_by",
