@@ -121,8 +121,9 @@ def stream_quarantine(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        # Lines are read once for the checks, the records and the manifest, and parsed once for both outputs.
+        batch = batch.persist()
         table, unusable = csv_by_header(batch, columns, required, strict=True)
-        # Parsed once for both outputs; lost blocks are computed again from the files.
         table = table.persist()
         try:
             good, bad = quarantine_rows(table, rules, F.col("source_file"))
@@ -133,6 +134,7 @@ def stream_quarantine(
             write_batch(listed.where("status = 'dead'").select("source_file", "modified", "reason"), f"{target}/dead_letters", batch_id)
         finally:
             table.unpersist()
+            batch.unpersist()
 
     reports = run_to_end(text_lines(spark, landing, glob).writeStream.foreachBatch(handle), checkpoint)
     _record_empty(spark, f"{landing.rstrip('/')}/{glob}", target)
