@@ -327,8 +327,9 @@ def _verified(texts: DataFrame, wanted: DataFrame, threshold: float, shingle: in
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of `docs` that head their class: one row of each class, all columns kept.
 
-    Rows without words or id stay. An id may stand for several texts: each is
-    judged as a text of its own, so no text goes without a linked one that stays.
+    Rows without words or id stay; of repeated ones of one id and text one does.
+    An id may stand for several texts: each is judged as a text of its own, so no
+    text goes without a linked one that stays.
     """
     found = stored(_classes(docs, id_col=id_col, **options).select("doc_id", "node", "head"), "heads")
     stays = F.col("head") | F.col("node").isNull()
@@ -342,10 +343,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) ->
     parts = [docs.where(F.col(f"`{id_col}`").isNull()), named.where("__rows = 1").select(*columns)]
     if not ids.where("__rows > 1").isEmpty():
         heads = found.where("head").select(F.col("doc_id").alias("__id"), F.col("node").alias("__own")).distinct()
-        several = _with_node(named.where("__rows > 1").select(*columns), options.get("text_col", "text"), options.get("shingle", SHINGLE))
+        text_col = options.get("text_col", "text")
+        several = _with_node(named.where("__rows > 1").select(*columns), text_col, options.get("shingle", SHINGLE))
         same = (F.col(f"`{id_col}`") == F.col("__id")) & (F.col("__node") == F.col("__own"))
         parts += [
-            several.where("__node IS NULL").select(*columns),
+            several.where("__node IS NULL").dropDuplicates([id_col, text_col]).select(*columns),
             several.join(heads.hint("merge"), same).dropDuplicates([id_col, "__node"]).select(*columns),
         ]
     kept = parts[0].select(*columns)
