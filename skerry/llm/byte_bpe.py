@@ -84,6 +84,7 @@ class ByteBpe:
         )
         # The way back: the characters of each token through the byte table.
         self.bytes_of = {rank: bytes(self.byte_of[c] for c in token) for token, rank in vocabulary.items()}
+        self.bytes_named = {str(rank): token for rank, token in self.bytes_of.items()}
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,6 +97,17 @@ class ByteBpe:
             at += len(self.bytes_of[token])
         return out
 
+    def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int, int, int, int]]:
+        """`encode_with_offsets` for ids that are there: bytes by adding up tokens, characters by counting their first bytes."""
+        ends = np.cumsum([len(self.bytes_of[i]) for i in ids], dtype=np.int64)
+        starts = ends - [len(self.bytes_of[i]) for i in ids]
+        number = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
+        return list(zip(ids, starts.tolist(), ends.tolist(), (number[starts] - 1).tolist(), number[ends - 1].tolist())) if ids else []
+
+    def decode_listed(self, listed: str) -> bytes:
+        """The bytes of decimal ids joined by commas."""
+        return b"".join(map(self.bytes_named.__getitem__, listed.split(","))) if listed else b""
+
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -162,11 +174,15 @@ def pieces_of(path: str, pattern: str) -> Pieces:
 
 
 def round_trip(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+    keep_offsets: bool = False,
 ) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (bytes decoded from the ids).
+    """Per row: doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (bytes decoded from those ids).
 
-    With `keep_ids` the ids follow as an array. A NULL text is the empty text: no tokens, the hash of nothing twice.
+    With `keep_ids` the ids follow as an array, with `keep_offsets` an array of
+    (id, start, end, first, last): bytes, then characters, ends exclusive; tokens
+    of one split character share its characters. A NULL text is the empty text: no
+    tokens, the hash of nothing twice.
     """
 
     def make():
@@ -174,16 +190,24 @@ def round_trip(
 
         def work(texts: list[str]) -> list[tuple]:
             rows = []
-            for own in pieces.split(texts):
+            for text, own in zip(texts, pieces.split(texts)):
                 listed = ",".join(map(pieces.listed.__getitem__, own))
-                decoded = b"".join(map(pieces.decoded.__getitem__, own))
-                digests = hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
-                count = listed.count(",") + 1 if listed else 0
-                ids = [np.fromstring(listed, np.int64, sep=",") if listed else np.empty(0, np.int64)] if keep_ids else []
-                rows.append((count, *digests, *ids))
+                decoded = pieces.codec.decode_listed(listed)
+                row = [listed.count(",") + 1 if listed else 0]
+                row += [hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
+                ids = list(map(int, listed.split(","))) if listed and (keep_ids or keep_offsets) else []
+                if keep_ids:
+                    row.append(ids)
+                if keep_offsets:
+                    row.append([dict(zip(OFFSET, found)) for found in pieces.codec.offsets(text, ids)])
+                rows.append(tuple(row))
             return rows
 
         return work
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<bigint>" * keep_ids
+    schema += f", offsets array<struct<{', '.join(f'{name}: bigint' for name in OFFSET)}>>" * keep_offsets
     return map_texts(keyed_texts(docs, id_col, text_col), make, schema)
+
+
+OFFSET = ("id", "start", "end", "first", "last")
