@@ -12,7 +12,9 @@ ASCII white space or digit takes part in the canonical composition of the
 characters before it. Whatever stands left of an ASCII space or digit therefore
 cannot change a token from there on. The same fact lets shorter texts share the
 counts of their white-space separated pieces: each distinct piece is encoded by
-the library once per worker as long as it is remembered.
+the library once per worker as long as it is remembered. Not every vocabulary has
+such a splitter: `cuts_hold` tries each cut between characters of all kinds when
+a file is loaded, and texts of a vocabulary that fails are encoded whole.
 """
 
 from __future__ import annotations
@@ -45,6 +47,23 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+# What stands on either side of a cut when it is tried: letters, marks, digits, signs, white space and their mixtures.
+PROBES = ("a", "Ab", "the", "é", "e\u0301", "漢字", "ß", "5", "12", "!", "?!", "...", "'s", "x'", "<|", "_", "\u00a0", " ", "\n\n", "a b", "😀", "")
+
+
+def cuts_hold(tokenizer) -> bool:
+    """Whether tokens never reach over the cuts, and pieces between white space are counted apart, for all probes."""
+    ids = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for cut in sorted(CUTS):
+        pairs = [(left, cut + right) for left in PROBES for right in PROBES]
+        whole, lefts, rights = ids([a + b for a, b in pairs]), ids([a for a, _ in pairs]), ids([b for _, b in pairs])
+        if any(w != a + b for w, a, b in zip(whole, lefts, rights)):
+            return False
+        if cut.isspace() and any(r != b for r, b in zip(rights, ids([b[1:] for _, b in pairs]))):
+            return False
+    return True
+
+
 def token_offsets(tokenizer, text: str, start: int, end: int) -> list[Token]:
     """(start, end, id) of the tokens of text[start:end], positions counted in the whole text."""
     found = tokenizer.encode(text[start:end], add_special_tokens=False)
@@ -101,6 +120,8 @@ def count_resynchronised(
 def text_counter(path: str, chunk: int = HUGE_CHARS, overlap: int = OVERLAP_CHARS) -> Callable[[list[str]], list[int]]:
     """A function from texts to token counts with a bounded memory of pieces, one per Python worker."""
     tokenizer = load_tokenizer(path)
+    if not cuts_hold(tokenizer):
+        return lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     known: dict[bytes, int] = {}
 
     def count(texts: list[str]) -> list[int]:

@@ -67,6 +67,17 @@ class TestTokenCounts:
         assert got == len(tokenizer.encode(text, add_special_tokens=False))
         assert widened
 
+    def test_splitters_that_reach_over_white_space(self, spark, tokenizer):
+        assert token_counts.cuts_hold(tokenizer)
+        other = public_tokenizers.path("byte_bpe_50k.json")
+        library = token_counts.load_tokenizer(other)
+        assert not token_counts.cuts_hold(library)
+        texts = [noise(s, 80, MIXED + ["  ", "\n"]) for s in range(30)] + ["", " a  b", "word " * 9000]
+        rows = token_counts.count_tokens(docs(spark, *texts), other).collect()
+        assert {r["doc_id"]: r["n_tokens"] for r in rows} == {
+            i: len(library.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)
+        }
+
     def test_rows(self, spark):
         got = token_counts.count_tokens(docs(spark, None, "", "two words", "two words", "a " * 3000), WORDS, limit=2048)
         rows = sorted(map(tuple, got.collect()))
@@ -105,6 +116,17 @@ class TestByteBpe:
         assert codec.decode(ids) == text
         assert any(codec.decode([i]) == "�" * len(codec.decode([i])) for i in ids)
 
+    def test_offsets_of_rows(self, spark, codec):
+        texts = [None, "", "x 😀 日本é", *(noise(s, 60, MIXED + ["😀", "漢"]) for s in range(40))]
+        rows = byte_bpe.round_trip(docs(spark, *texts), RANKS, public_tokenizers.PATTERN, keep_offsets=True).collect()
+        assert len(rows) == len(texts)
+        for row in rows:
+            text = texts[row["doc_id"]] or ""
+            found = [tuple(o) for o in row["offsets"]]
+            assert found == codec.encode_with_offsets(text)
+            assert row["decoded_sha256"] == hashlib.sha256(codec.decode_bytes([f[0] for f in found])).hexdigest()
+            assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
     def test_rows(self, spark, reference):
         got = byte_bpe.round_trip(docs(spark, None, "", "Hi  there", "Hi  there"), RANKS, public_tokenizers.PATTERN, keep_ids=True)
         rows = sorted(map(tuple, got.collect()))
@@ -129,6 +151,63 @@ class TestSecrets:
         spans = secret_scan.hot_windows(text, 20, 3.0)
         assert {p for a, b in spans for p in range(a, b)} == hot
 
+    def test_spans_equal_brute_force(self):
+        """Every window of every class on its own, without running counts."""
+        import math
+        import re
+        from collections import Counter
+
+        rng = random.Random(9)
+        rules = [re.compile(r) for r in secret_scan.ALLOWED]
+        candidates = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+        alphabets = ["abcdef0123456789", "abcXYZ0189", "ab+/=_-XY12", "abcdefgh", "=/"]
+        for _ in range(150):
+            text = " ".join("".join(noise(rng.random(), rng.randint(5, 40), list(rng.choice(alphabets)))
+                                    for _ in range(rng.randint(1, 4))) for _ in range(3))
+            want = []
+            for match in candidates.finditer(text):
+                word, hot = match[0], set()
+                for _, alphabet, threshold in secret_scan.CLASSES:
+                    for run in alphabet.finditer(word):
+                        if alphabet is not secret_scan.CLASSES[-1][1] and any(r.fullmatch(run[0]) for r in rules):
+                            continue
+                        # A run that a narrower class has searched is left to it.
+                        narrower = secret_scan.CLASSES[: [c[1] for c in secret_scan.CLASSES].index(alphabet)]
+                        if len(run[0]) < 20 or any(m.span() == run.span() for c in narrower for m in c[1].finditer(word)):
+                            continue
+                        for at in range(run.start(), run.end() - 19):
+                            share = Counter(word[at : at + 20]).values()
+                            if -sum(c / 20 * math.log2(c / 20) for c in share) < threshold - 1e-9:
+                                continue
+                            if alphabet is secret_scan.CLASSES[-1][1]:
+                                tokens = [t.span() for t in secret_scan.TOKEN.finditer(word) if t.end() > at and t.start() < at + 20]
+                                if any(r.fullmatch(word[tokens[0][0] : tokens[-1][1]]) for r in rules):
+                                    continue
+                            hot.add(at)
+                places = {p for at in hot for p in range(at, at + 20)}
+                joined = [p for p in sorted(places) if p - 1 not in places]
+                for start in joined:
+                    end = start
+                    while end in places:
+                        end += 1
+                    # Windows that only touch are one span too.
+                    kind = next(n for n, a, _ in secret_scan.CLASSES if a.fullmatch(word[start:end]))
+                    want.append((match.start() + start, match.start() + end, kind))
+            assert secret_scan.entropy_spans(text, candidates, rules) == want
+
+    def test_memory_of_a_long_run_is_bounded(self):
+        import base64
+        import re
+        import tracemalloc
+
+        text = "data:" + base64.b64encode(random.Random(1).randbytes(240_000)).decode()
+        rules = [re.compile(r) for r in secret_scan.ALLOWED]
+        tracemalloc.start()
+        found = secret_scan.entropy_spans(text, re.compile(r"[A-Za-z0-9+/_=-]{20,}"), rules)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found and peak < 13_000_000  # 320,000 characters
+
     def test_rows(self, spark):
         secret = "0a1b2c3d4e5f60718293a4b5c6d7e8f9"
         texts = [
@@ -229,6 +308,28 @@ class TestPii:
             assert pii._replaced(masked, pii.find_private(masked, feistel, back=True)) == text
 
 
+    def test_long_lists_of_values_take_no_square(self):
+        import time
+
+        text = "".join(f"me{i}@host{i % 7}.example.org 2021-0{1 + i % 9}-1{i % 10}\n" for i in range(30_000))
+        feistel, start = pii.Feistel(b"k"), time.monotonic()
+        found = pii.find_private(text, feistel)
+        assert len(found) == 60_000 and len(text) > 900_000 and time.monotonic() - start < 60
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+    def test_social_numbers_are_validated_and_stay_valid(self):
+        feistel = pii.Feistel(b"k")
+        rejected = "000-12-3456 666-12-3456 900-12-3456 999-99-9999 123-00-4567 123-45-0000"
+        assert pii.find_private(rejected, feistel) == []
+        rng, seen = random.Random(5), set()
+        for _ in range(500):
+            text = f"{rng.choice(pii.AREAS):03}-{rng.randint(1, 99):02}-{rng.randint(1, 9999):04}"
+            ((_, _, kind, new),) = pii.find_private(text, feistel)
+            assert kind == "ssn" and pii.find_private(new, feistel, back=True)[0][3] == text
+            seen.add(new)
+        assert len(seen) >= 499
+
+
 class TestDecontaminate:
     ITEMS = [
         (1, "a b c d e f g h i j k l"),
@@ -272,6 +373,17 @@ class TestDecontaminate:
                 assert row["items_sha256"] == decontaminate.items_digest(found)
                 assert row["contaminated"] == (hit > 0)
 
+    def test_textual_ids(self, spark):
+        bench = spark.createDataFrame([("b-10", "one two three"), ("B-9", "one two three"), (None, "two")], "item_id string, text string")
+        (row,) = decontaminate.find_contamination(docs(spark, "x one two three y"), bench).collect()
+        assert row["n_items"] == 2 and row["items_sha256"] == decontaminate.items_digest(["b-10", "B-9"]) and row["n_hit"] == 3
+
+    def test_one_automaton_per_worker(self):
+        items = [("1", "one two three")]
+        first = decontaminate.automaton_of(items, 10)
+        assert decontaminate.automaton_of(items, 10) is first and decontaminate.automaton_of(items, 3) is not first
+        assert decontaminate.automaton_of([("1", "one two three")], 3) is not first
+
     def test_removal(self, spark):
         passage = "a b c d e f g h i j k"
         texts = [f"{'clean ' * 30}{passage.upper()}; after", passage, "clean", None, f"{'w ' * 40} a b c d {passage} e f g h i j k"]
