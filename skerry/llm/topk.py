@@ -2,14 +2,16 @@
 
 Candidates are dealt into blocks. A task takes one block and one batch of
 queries and builds, for every dimension, the list of the block's rows sorted by
-that component. A query reads the lists in step, best contributions first: by
-value from above where the query's component is positive, from below where it
+that component. Queries read the lists in step, best contributions first: by
+value from above where a query's component is positive, from below where it
 is negative. What was read gives every row a lower bound (unread entries are the
 worst of their list, whose ends are stored) and an upper bound (unread entries
 are at the frontier of their list). Rows whose upper bound is under the k-th
-lower bound drop out. No row is looked up while lists are read: only when reading
-has stopped, because few rows can still qualify, are their final scores made.
-Rows that tie with the bound stay, so ties go to the smaller id.
+lower bound drop out. What a depth makes known of a row depends on no query but
+for the direction of each list, so one matrix product gives the bounds of many
+queries. No row is looked up while lists are read: only when reading has
+stopped, because few rows can still qualify, are their final scores made. Rows
+that tie with the bound stay, so ties go to the smaller id.
 
 The best k of every block meet in one window per query.
 """
@@ -23,13 +25,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 # Rows of a block and queries of a batch: the two bound what one task holds. A large block has a high k-th score, so
-# its lists can be left early; a batch is what one task does.
+# its lists can be left early; a batch is what one task does, and every batch has the block sent and sorted once more.
 BLOCK_ROWS = 32_768
-BATCH_QUERIES = 512
+BATCH_QUERIES = 2048
 # Shares of the lists read before the bounds are looked at.
 DEPTHS = (0.5, 0.8, 0.95, 1.0)
 # Reading stops when at most this share of the block, or this many rows, can still qualify.
 RESOLVE_SHARE, RESOLVE_ROWS = 0.25, 64
+# Queries and rows whose bounds are made by one product.
+STEP_QUERIES, STEP_ROWS = 256, 4096
 MADE = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -74,61 +78,106 @@ class SortedLists:
             raise OverflowError("a score exceeds 64 bits")
         return exact.astype(np.int64)
 
-    def reach(self, query: np.ndarray) -> float:
-        """What no sum of products of a row and the query can exceed."""
-        return float(np.abs(query.astype(np.float64)).sum()) * self.most
+    def reach(self, query: np.ndarray) -> np.ndarray:
+        """What no sum of products of a row and the query (or each of several) can exceed."""
+        return np.abs(query.astype(np.float64)).sum(axis=-1) * self.most
 
     def top(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows other than `skip`.
+        """Ids and scores of the k best rows other than `skip`."""
+        return self.tops(query[None], k, np.array([skip]))[0]
 
-        All lists are read in step. Rows whose upper bound is under the k-th lower
-        bound cannot qualify and drop out; reading stops when few are left, and
-        only then are final scores made.
+    def tops(self, queries: np.ndarray, k: int, skips: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and scores of the k best rows other than the one it skips.
+
+        All lists are read in step, for many queries at once. Rows whose upper bound
+        is under the k-th lower bound cannot qualify and drop out; reading stops when
+        few are left, and only then are final scores made. Bounds only tighten, so a
+        row that has dropped out stays out at greater depths.
         """
-        size = len(self.ids)
+        size, reach = len(self.ids), self.reach(queries)
         few = max(RESOLVE_ROWS, k + 1, int(size * RESOLVE_SHARE))
-        left, slack = np.flatnonzero(self.ids != skip), self.slack(query)
-        for share in DEPTHS if query.any() else ():
-            if len(left) <= few:
-                break
-            depth = max(1, int(size * share))
-            upper = self.upper_bounds(query, depth, left)
-            # The k-th lower bound among the rows that lead by upper bound is one of all rows, if not the greatest.
-            leaders = np.argpartition(-upper, 4 * k)[: 4 * k] if len(left) > 4 * k else np.arange(len(left))
-            lower = self.lower_bounds(query, depth, left[leaders])
-            left = left[upper + slack >= np.partition(lower, len(lower) - k)[len(lower) - k] - slack]
-        found = self.scores(left, query)
-        best = np.lexsort((self.ids[left], -found))[:k]
-        return self.ids[left][best], found[best]
-
-    def slack(self, query: np.ndarray) -> float:
+        own = [slice(*edges) for edges in zip(np.searchsorted(self.ids, skips), np.searchsorted(self.ids, skips, "right"))]
+        found: list = [None] * len(queries)
+        still = np.argsort(reach)  # queries of like reach together, so that huge ones do not widen the others' type
+        for share in DEPTHS if size > few else (1.0,):
+            depth, later = max(1, int(size * share)), []
+            for start in range(0, len(still), STEP_QUERIES):
+                some = still[start : start + STEP_QUERIES]
+                if size > few:
+                    can = self.candidates(queries[some], depth, k, [own[at] for at in some])
+                else:
+                    can = np.ones((len(some), size), bool)
+                for at, mine in zip(some, can):
+                    mine[own[at]] = False
+                    if share < 1 and np.count_nonzero(mine) > few:
+                        later.append(at)
+                    else:
+                        found[at] = self.best(queries[at], np.flatnonzero(mine), k)
+                if len(later) == len(some) == STEP_QUERIES and not start:  # too early for the first: no look for the others
+                    later.extend(still[STEP_QUERIES:])
+                    break
+            still = np.array(later, int)
+        return found
+
+    def candidates(self, queries: np.ndarray, depth: int, k: int, own: list[slice]) -> np.ndarray:
+        """Whether a row (column) can still be one of a query's k best when its lists are read to `depth`."""
+        size, kind = len(self.ids), self.kind(queries)
+        lower, upper = np.empty((len(queries), size), kind), np.empty((len(queries), size), kind)
+        for start in range(0, size, STEP_ROWS):
+            rows = slice(start, start + STEP_ROWS)
+            lower[:, rows] = self.lower_bounds(queries, depth, rows)
+            upper[:, rows] = self.upper_bounds(queries, depth, rows)
+        for line, rows in zip(lower, own):
+            line[rows] = -np.inf
+        lower.partition(size - k, axis=1)
+        return upper >= (lower[:, size - k].astype(np.float64) - 2 * self.slack(queries)).astype(kind)[:, None]
+
+    def best(self, query: np.ndarray, left: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and final scores of the k best among some rows."""
+        scores = self.scores(left, query)
+        if len(left) > k:
+            among = scores >= np.partition(scores, len(left) - k)[len(left) - k]
+            left, scores = left[among], scores[among]
+        first = np.lexsort((self.ids[left], -scores))[:k]
+        return self.ids[left][first], scores[first]
+
+    def slack(self, query: np.ndarray) -> np.ndarray:
         """What rounding may take from a bound: nothing in whole numbers, unless they are huge."""
         reach = self.reach(query)
-        return 0.0 if reach < 2**50 else 1e-9 * reach
+        return np.where(reach < 2**50, 0.0, 1e-9 * reach)
 
-    def _read(self, query: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Entries of some rows, the same not better than the frontier of their list at `depth`, and the query.
+    def kind(self, query: np.ndarray) -> type:
+        """The smaller float in which bounds of the query, or of all queries, are exact, else the larger."""
+        return np.float32 if self.reach(query).max() < 2**24 else np.float64
 
-        An entry is read if it stands before the frontier or equals it, so ties are
-        read together; the two arrays are equal just there.
-        """
-        kind = np.float32 if self.reach(query) < 2**24 else np.float64
-        up = query > 0
-        frontier = np.where(up, self.value[-depth], self.value[depth - 1]).astype(kind)
-        entries = (self.rows if len(rows) == len(self.ids) else self.rows[rows]).astype(kind, copy=False)
-        floor, ceiling = np.where(up, frontier, -np.inf).astype(kind), np.where(up, np.inf, frontier).astype(kind)
-        return entries, np.clip(entries, floor, ceiling), query.astype(kind)
-
-    def upper_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+    def upper_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray | slice) -> np.ndarray:
         """Scores if every entry not read were at the frontier of its list; its own value does not enter."""
-        _, best, weight = self._read(query, depth, rows)
-        return best @ weight
+        entries, high, low = self._read(query, depth, rows)
+        return self._halves(query) @ np.hstack([np.maximum(entries, high), np.minimum(entries, low)]).T
 
-    def lower_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+    def lower_bounds(self, query: np.ndarray, depth: int, rows: np.ndarray | slice) -> np.ndarray:
         """Scores if every entry not read were the worst of its list; its own value does not enter."""
-        entries, best, weight = self._read(query, depth, rows)
-        worst = np.where(query > 0, self.value[0], self.value[-1]).astype(entries.dtype)
-        return np.where(best == entries, entries, worst) @ weight
+        entries, high, low = self._read(query, depth, rows)
+        worst, most = self.value[0].astype(entries.dtype), self.value[-1].astype(entries.dtype)
+        return self._halves(query) @ np.hstack([np.where(entries >= high, entries, worst), np.where(entries <= low, entries, most)]).T
+
+    def _read(self, query: np.ndarray, depth: int, rows: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of some rows, and the frontiers at `depth` of lists read from above and from below.
+
+        An entry is read if it stands before the frontier or equals it, so ties are
+        read together.
+        """
+        kind = self.kind(query)
+        entries = self.rows[rows].astype(kind, copy=False)
+        return entries, self.value[-depth].astype(kind), self.value[depth - 1].astype(kind)
+
+    def _halves(self, query: np.ndarray) -> np.ndarray:
+        """The components whose lists are read from above, then those whose lists are read from below, else 0.
+
+        What a depth makes known of a row depends on no query but for this
+        choice, so one product with it gives the bounds of many queries.
+        """
+        return np.concatenate([np.maximum(query, 0), np.minimum(query, 0)], axis=-1).astype(self.kind(query))
 
 
 def _search(k: int):
@@ -147,10 +196,8 @@ def _search(k: int):
                 continue
             matrix = flat[starts[rows][:, None] + np.arange(dim)]
             lists = SortedLists(ids[rows], matrix)
-            for at in queries:
-                query = flat[starts[at] : starts[at + 1]]
-                found, scores = lists.top(query, min(k, len(rows)), ids[at])
-                out.append((np.full(len(found), ids[at]), found, scores))
+            tops = lists.tops(flat[starts[queries][:, None] + np.arange(dim)], min(k, len(rows)), ids[queries])
+            out += [(np.full(len(found), at), found, scores) for at, (found, scores) in zip(ids[queries], tops)]
         parts = [np.concatenate(c) if out else np.array([], np.int64) for c in (zip(*out) if out else [[], [], []])]
         return pa.table([pa.array(p, pa.int64()) for p in parts], schema=types)
 

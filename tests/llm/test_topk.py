@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,47 @@ def test_scores_beyond_64_bits_are_an_error(spark):
     with pytest.raises(OverflowError):
         lists.scores(np.arange(2), query)
     assert list(lists.scores(np.array([1]), query)) == [2**62]
+
+
+def table(ids, rows, queries):
+    vec = [list(map(int, v)) for v in (*rows, *rows[queries])]
+    asks = [False] * len(rows) + [True] * len(queries)
+    return pa.table({"vec_id": [*ids, *ids[queries]], "vec": pa.array(vec, pa.list_(pa.int64())), "ask": asks})
+
+
+def test_bounds_are_made_for_many_queries_at_once(spark, monkeypatch):
+    """The bounds of 300 queries against a block take a few products, not some for each query."""
+    made = []
+    for name in ("lower_bounds", "upper_bounds"):
+        one = getattr(topk.SortedLists, name)
+        monkeypatch.setattr(topk.SortedLists, name, lambda *a, one=one: made.append(1) or one(*a))
+    rng = np.random.default_rng(5)
+    rows, ids, queries = np.floor(rng.normal(0, 8, (3000, 24))).astype(np.int64), np.arange(3000) * 3, np.arange(300) * 10
+    found = topk._search(20)(table(ids, rows, queries)).to_pylist()
+    assert len(made) <= 2 * len(topk.DEPTHS) * 2
+    direct = rows[queries] @ rows.T
+    direct[np.arange(300), queries] = -(2**40)
+    for i, q in enumerate(queries):
+        best = np.lexsort((ids, -direct[i]))[:20]
+        assert [(f["query_id"], f["vec_id"], f["score"]) for f in found[20 * i : 20 * i + 20]] == [(ids[q], ids[b], direct[i][b]) for b in best]
+
+
+@pytest.mark.parametrize("step", [1, 7, 256])
+def test_queries_of_any_size_side_by_side(monkeypatch, step):
+    """Zero, small and huge queries, copies and a repeated id in one batch, with products of any width."""
+    monkeypatch.setattr(topk, "STEP_QUERIES", step)
+    monkeypatch.setattr(topk, "STEP_ROWS", 50)
+    rng = np.random.default_rng(6)
+    rows = np.floor(rng.normal(0, 8, (400, 12))).astype(np.int64)
+    rows[100:220], rows[220] = rows[100], 0
+    rows[230:240] *= 10**6
+    rows[240:250] *= 10**7
+    ids = rng.permutation(400)
+    ids[7] = ids[8]
+    lists = topk.SortedLists(ids, rows)
+    queries = np.r_[0:20, 95:110, 215:250]
+    for q, (found, scores) in zip(queries, lists.tops(rows[queries], 20, ids[queries])):
+        others = np.flatnonzero(ids != ids[q])
+        direct = rows[others] @ rows[q]
+        best = np.lexsort((ids[others], -direct))[:20]
+        assert list(found) == list(ids[others][best]) and list(scores) == list(direct[best])
