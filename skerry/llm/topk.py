@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 # Rows of a block and queries of a batch: the two bound what one task holds. A large block has a high k-th score, so
 # its lists can be left early; a batch is what one task does, and every batch has the block sent and sorted once more.
 BLOCK_ROWS = 32_768
-BATCH_QUERIES = 2048
+BATCH_QUERIES = 8192
 # Shares of the lists read before the bounds are looked at.
 DEPTHS = (0.5, 0.8, 0.95, 1.0)
 # Reading stops when at most this share of the block, or this many rows, can still qualify.
@@ -159,7 +159,8 @@ class SortedLists:
         """Scores if every entry not read were the worst of its list; its own value does not enter."""
         entries, high, low = self._read(query, depth, rows)
         worst, most = self.value[0].astype(entries.dtype), self.value[-1].astype(entries.dtype)
-        return self._halves(query) @ np.hstack([np.where(entries >= high, entries, worst), np.where(entries <= low, entries, most)]).T
+        known = [np.where(entries >= high, entries, worst), np.where(entries <= low, entries, most)]
+        return self._halves(query) @ np.hstack(known).T
 
     def _read(self, query: np.ndarray, depth: int, rows: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Entries of some rows, and the frontiers at `depth` of lists read from above and from below.
@@ -210,10 +211,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK_
     query_id, rank (from 1), vec_id, score. Fewer than k other rows give all of
     them; ties go to the smaller vec_id. Vectors of different length are not
     compared. Every query meets every block: the number of tasks is blocks
-    times batches.
+    times batches, and batches are smaller where there would be fewer tasks than
+    cores.
     """
     sizes = vectors.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
-    blocks, batches = -(-sizes["n"] // block) or 1, -(-sizes["q"] // batch) or 1
+    blocks = -(-sizes["n"] // block) or 1
+    spread = min(-(-vectors.sparkSession.sparkContext.defaultParallelism // blocks), -(-sizes["q"] // STEP_QUERIES))
+    batches = max(-(-sizes["q"] // batch), spread, 1)
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     candidates = vectors.select(
